@@ -6,26 +6,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from chorale.config import LYRIC_FEATURES
+from chorale.functions.arrays import with_runs
 from chorale.functions.text import WS, line_count, words
 
 
-def _longest_run(sorted_words: Column) -> Column:
-    """Length of the longest run of equal neighbours in a sorted array."""
-    start = F.struct(
-        F.lit(None).cast("string").alias("word"),
-        F.lit(0).alias("run"),
-        F.lit(0).alias("best"),
-    )
-
-    def step(acc: Column, word: Column) -> Column:
-        run = F.when(acc["word"].eqNullSafe(word), acc["run"] + 1).otherwise(1)
-        return F.struct(
-            word.alias("word"), run.alias("run"), F.greatest(acc["best"], run).alias("best")
-        )
-
-    return F.aggregate(sorted_words, start, step, lambda acc: acc["best"])
-
-
 def _occurrences(text: Column, char: str) -> Column:
     return F.length(text) - F.length(F.replace(text, F.lit(char), F.lit("")))
 
@@ -33,7 +17,7 @@ def _occurrences(text: Column, char: str) -> Column:
 def lexical_features(df: DataFrame, text_col: str, prefix: str = "lyr_") -> DataFrame:
     """Append the ten features. Blank and null texts get zero everywhere."""
     text = F.coalesce(F.col(text_col), F.lit(""))
-    folded = F.array_sort(words(F.lower(text)))
+    folded = words(F.lower(text))
     n = F.col("_n_words")
     lines = line_count(text)
     letters = F.length(F.regexp_replace(text, r"\P{L}+", ""))
@@ -43,13 +27,12 @@ def lexical_features(df: DataFrame, text_col: str, prefix: str = "lyr_") -> Data
     def ratio(top: Column, bottom: Column) -> Column:
         return F.when((n > 0) & (bottom > 0), top / bottom).otherwise(0.0)
 
-    # Size, distinct count and longest run come from one sorted array, so it is
-    # built in its own projection and dropped at the end.
-    staged = df.withColumn("_folded", folded).withColumns(
+    # Size, distinct count and top frequency all come from the counted words.
+    staged = with_runs(df.withColumn("_folded", folded), "_folded", "_runs").withColumns(
         {
             "_n_words": F.size("_folded"),
-            "_n_unique": F.size(F.array_distinct("_folded")),
-            "_top_word": _longest_run(F.col("_folded")),
+            "_n_unique": F.coalesce(F.size("_runs"), F.lit(0)),
+            "_top_word": F.array_max("_runs.n"),
         }
     )
     values = {
