@@ -163,7 +163,10 @@ def fit_mixture(
         d = points.select(F.size("x")).first()[0]
         best = None
         for start in range(restarts):
-            centres = np.array(fit_kmeans(points, "x", k, 1, 50, seed + start).clusterCenters())
+            if k == 1:
+                centres = np.zeros((1, d))
+            else:
+                centres = np.array(fit_kmeans(points, "x", k, 1, 50, seed + start).clusterCenters())
 
             def hard(x, centres=centres):
                 gap = ((x[:, None, :] - centres[None]) ** 2).sum(axis=2)

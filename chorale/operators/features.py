@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -14,7 +13,7 @@ from pyspark.sql import types as T
 from chorale.config import AUDIO_FEATURES, LYRIC_FEATURES
 from chorale.operators.scaling import Scaler, fit_scaler
 from chorale.operators.tfidf import TfidfModel, fit_tfidf
-from chorale.session import shared_dir
+from chorale.session import scratch_path
 
 LYRIC_COLUMNS = tuple(f"lyr_{name}" for name in LYRIC_FEATURES)
 
@@ -34,8 +33,8 @@ class FeatureBundle:
     scaler: Scaler | None
 
 
-def as_vectors(df: DataFrame, indices, values, size: int, name: str) -> tuple[DataFrame, DataFrame]:
-    """Attach a sparse vector built from two array columns.
+def as_vectors(df: DataFrame, size: int, name: str) -> tuple[DataFrame, DataFrame]:
+    """Turn the array columns _i and _v (positions, values) into a sparse vector.
 
     Spark has no expression that makes a sparse ML vector, but a vector is
     stored as a plain struct: the struct is written once and read back under
@@ -44,11 +43,11 @@ def as_vectors(df: DataFrame, indices, values, size: int, name: str) -> tuple[Da
     struct = F.struct(
         F.lit(0).cast("tinyint").alias("type"),
         F.lit(size).alias("size"),
-        indices.cast("array<int>").alias("indices"),
-        values.cast("array<double>").alias("values"),
+        F.col("_i").cast("array<int>").alias("indices"),
+        F.col("_v").cast("array<double>").alias("values"),
     )
-    built = df.withColumn("features", struct)
-    path = f"{shared_dir(df.sparkSession).rstrip('/')}/chorale/{name}-{uuid.uuid4().hex}"
+    built = df.withColumn("features", struct).drop("_i", "_v")
+    path = scratch_path(df.sparkSession, name)
     built.write.parquet(path)
     plain = [f for f in built.schema.fields if f.name != "features"]
     reader = df.sparkSession.read
@@ -100,9 +99,8 @@ def build_features(
     table = parts.select(
         *dict.fromkeys([*keep, split]), F.concat(*indices).alias("_i"), F.concat(*values).alias("_v")
     )
-    vectors, arrays = as_vectors(table, F.col("_i"), F.col("_v"), len(names), "features")
-    drop = [c for c in ("_i", "_v")]
-    return FeatureBundle(vectors.drop(*drop), arrays.drop(*drop), names, tfidf, scaler)
+    vectors, arrays = as_vectors(table, len(names), "features")
+    return FeatureBundle(vectors, arrays, names, tfidf, scaler)
 
 
 def dense_matrix(df: DataFrame, mode: str, keep: Sequence[str]) -> tuple[DataFrame, list[str]]:

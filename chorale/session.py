@@ -43,19 +43,24 @@ def shared_dir(spark: SparkSession) -> str:
     return folder
 
 
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A path nobody used before, in the shared folder."""
+    return f"{shared_dir(spark).rstrip('/')}/chorale/{name}-{uuid.uuid4().hex}"
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once as Parquet in the shared folder and read it back.
 
     Cuts the lineage in a form that outlives executors, and lets the passes
     that follow read only the columns they need.
     """
-    path = f"{shared_dir(df.sparkSession).rstrip('/')}/chorale/{name}-{uuid.uuid4().hex}"
+    path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 # A table with at most this many rows may be copied to every executor.
-SMALL_ROWS = 20_000
+SMALL_ROWS = 100_000
 
 
 def small_side(df: DataFrame, max_rows: int = SMALL_ROWS) -> DataFrame:

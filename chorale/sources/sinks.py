@@ -15,7 +15,9 @@ def write_table(df: DataFrame, path: str) -> None:
 
 
 def write_csv(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").csv(path, header=True)
+    df.write.mode("overwrite").csv(
+        path, header=True, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False
+    )
 
 
 def write_dataset(full: DataFrame, parts: DataFrame, label: str, path: str, mode: str) -> dict:
