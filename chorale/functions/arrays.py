@@ -16,6 +16,28 @@ def _run_starts(items: Column) -> Column:
     return F.filter(placed, lambda s: s["item"].isNotNull())
 
 
+def _runs(starts: Column, n: Column) -> Column:
+    ends = F.concat(F.slice(starts["at"], 2, F.size(starts)), F.array(n))
+    return F.zip_with(
+        starts,
+        ends,
+        lambda s, e: F.when(s.isNotNull(), F.struct(s["item"].alias("item"), (e - s["at"]).alias("n"))),
+    )
+
+
+def numbered(items: Column) -> Column:
+    """Each string marked with how many equal ones came before, sorted."""
+    ordered = F.sort_array(items)
+    runs = _runs(_run_starts(ordered), F.size(ordered))
+    marked = F.transform(
+        runs,
+        lambda r: F.transform(
+            F.sequence(F.lit(0), r["n"] - 1), lambda k: F.concat(r["item"], F.lit("#"), k.cast("string"))
+        ),
+    )
+    return F.when(F.size(ordered) > 0, F.flatten(marked)).otherwise(F.array().cast("array<string>"))
+
+
 def with_runs(df: DataFrame, array_col: str, out: str) -> DataFrame:
     """Add array<struct<item, n>>: each distinct string and its count.
 
@@ -24,12 +46,8 @@ def with_runs(df: DataFrame, array_col: str, out: str) -> DataFrame:
     is built once. No lambda refers to a whole array: when a later filter is
     pushed below these projections, the work stays n log n.
     """
-    items, starts = F.col("_sorted"), F.col("_starts")
+    items = F.col("_sorted")
     staged = df.withColumn("_sorted", F.sort_array(array_col)).withColumn(
         "_starts", F.when(F.size(items) > 0, _run_starts(items))
     )
-    ends = F.concat(F.slice("_starts.at", 2, F.size(starts)), F.array(F.size(items)))
-    runs = F.zip_with(
-        starts, ends, lambda s, e: F.when(s.isNotNull(), F.struct(s["item"].alias("item"), (e - s["at"]).alias("n")))
-    )
-    return staged.withColumn(out, runs).drop("_sorted", "_starts")
+    return staged.withColumn(out, _runs(F.col("_starts"), F.size(items))).drop("_sorted", "_starts")

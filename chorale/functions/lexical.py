@@ -22,7 +22,7 @@ def lexical_features(df: DataFrame, text_col: str, prefix: str = "lyr_") -> Data
     lines = line_count(text)
     letters = F.length(F.regexp_replace(text, r"\P{L}+", ""))
     capitals = F.length(F.regexp_replace(text, r"\P{IsUppercase}+", ""))
-    visible = F.length(F.regexp_replace(text, f"[{WS}]+", ""))
+    visible = F.length(F.regexp_replace(text, f"(?U)[{WS}]+", ""))
 
     def ratio(top: Column, bottom: Column) -> Column:
         return F.when((n > 0) & (bottom > 0), top / bottom).otherwise(0.0)

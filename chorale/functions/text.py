@@ -20,12 +20,9 @@ from pyspark.sql import types as T
 from chorale.config import CleaningConfig
 
 # --- Fixed values ------------------------------------------------------------
-# Unicode white space plus the four ASCII separators, spelled out because the
-# engines disagree on what \s covers.
-WS = (
-    r"\x09-\x0d\x1c-\x20\x85\xa0\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}"
-    r"\x{202f}\x{205f}\x{3000}"
-)
+# Unicode white space plus the four ASCII separators. Patterns that use it
+# carry the flag (?U), without which \s is ASCII only.
+WS = r"\s\x1c-\x1f"
 WS_CHARS = "".join(
     chr(c)
     for c in (
@@ -50,8 +47,11 @@ PRODUCER_TAG = (
 )
 SINGLE_QUOTES = "ʼ‘’‚‛"
 DOUBLE_QUOTES = "“”„‟"
-CONTROL_CHARS = (
-    r"[\x00-\x08\x0b\x0e-\x1f\x7f\x{206a}-\x{206f}\x{feff}\x{fff9}-\x{fffc}]"
+LINE_ENDS = "\r\x85\u2028\u2029"
+# Code points dropped: control and layout characters, first and last of a range.
+DROPPED_RANGES = (
+    (0x00, 0x08), (0x0B, 0x0B), (0x0E, 0x1F), (0x7F, 0x7F),
+    (0x206A, 0x206F), (0xFEFF, 0xFEFF), (0xFFF9, 0xFFFC),
 )
 # --- end of fixed values -----------------------------------------------------
 
@@ -86,24 +86,29 @@ def _repair(text: str) -> str:
     return _MOJIBAKE.sub(_undo_cp1252, text)
 
 
-@F.pandas_udf(T.StringType())
-def _repair_encoding(texts: pd.Series) -> pd.Series:
-    return texts.map(_repair, na_action="ignore")
+def _nfkc_if_changed(text: str) -> str | None:
+    return None if unicodedata.is_normalized("NFKC", text) else unicodedata.normalize("NFKC", text)
+
 
+def _over_texts(fn):
+    """An Arrow function over the non-null texts of a batch.
 
-@F.pandas_udf(T.StringType())
-def _unescape_html(texts: pd.Series) -> pd.Series:
-    return texts.map(html.unescape, na_action="ignore")
+    Declared non-deterministic so that the optimiser leaves it in place: a
+    filter on the result would otherwise be pushed down with a copy of every
+    rule inside it, and each text would be cleaned several times.
+    """
 
+    def apply(texts: pd.Series) -> pd.Series:
+        return texts.map(fn, na_action="ignore")
 
-@F.pandas_udf(T.StringType())
-def _repair_and_unescape(texts: pd.Series) -> pd.Series:
-    return texts.map(lambda t: html.unescape(_repair(t)), na_action="ignore")
+    apply.__annotations__ = {"texts": pd.Series, "return": pd.Series}
+    return F.pandas_udf(apply, T.StringType()).asNondeterministic()
 
 
-@F.pandas_udf(T.StringType())
-def _nfkc(texts: pd.Series) -> pd.Series:
-    return texts.map(lambda t: unicodedata.normalize("NFKC", t), na_action="ignore")
+_repair_encoding = _over_texts(_repair)
+_unescape_html = _over_texts(html.unescape)
+_repair_and_unescape = _over_texts(lambda text: html.unescape(_repair(text)))
+_nfkc = _over_texts(_nfkc_if_changed)
 
 
 def _only_where(udf, text: Column, marked: Column) -> Column:
@@ -123,17 +128,22 @@ def unescape_html(text: Column) -> Column:
 
 def tidy_characters(text: Column) -> Column:
     """Straight quotes, LF line ends, no control characters."""
-    quotes = SINGLE_QUOTES + DOUBLE_QUOTES
-    plain = "'" * len(SINGLE_QUOTES) + '"' * len(DOUBLE_QUOTES)
-    text = F.translate(text, quotes, plain)
-    text = F.regexp_replace(text, r"\r\n|[\r\x85\x{2028}\x{2029}]", "\n")
-    return F.regexp_replace(text, CONTROL_CHARS, "")
+    dropped = "".join(chr(c) for low, high in DROPPED_RANGES for c in range(low, high + 1))
+    source = SINGLE_QUOTES + DOUBLE_QUOTES + LINE_ENDS + dropped
+    # Characters beyond the end of the target are deleted.
+    target = "'" * len(SINGLE_QUOTES) + '"' * len(DOUBLE_QUOTES) + "\n" * len(LINE_ENDS)
+    return F.translate(F.replace(text, F.lit("\r\n"), F.lit("\n")), source, target)
 
 
 def nfkc(text: Column) -> Column:
-    """NFKC. Latin-1 letters and common punctuation are already stable."""
-    unstable = text.rlike(r"[^\x00-\x7f\xc0-\xff\x{2013}\x{2014}\x{2018}-\x{201d}]")
-    return _only_where(_nfkc, text, unstable)
+    """NFKC. ASCII text is stable; it has as many bytes as characters."""
+    return _only_where(_nfkc, text, F.octet_length(text) > F.length(text))
+
+
+def between(n: Column, low: int, high: int) -> Column:
+    """low <= n <= high with ``n`` written once: a filter evaluates every
+    mention of an expression, and counting words is not cheap."""
+    return F.abs(2 * n - (low + high)) <= high - low
 
 
 def strip(text: Column) -> Column:
@@ -200,16 +210,19 @@ def clean(
 
 def words(text: Column) -> Column:
     """White-space separated words of ``text``; none for null or blank."""
-    return F.array_remove(F.split(F.coalesce(text, F.lit("")), f"[{WS}]+"), "")
+    return F.array_remove(F.split(F.coalesce(text, F.lit("")), f"(?U)[{WS}]+"), "")
 
 
 def word_count(text: Column) -> Column:
-    return F.coalesce(F.regexp_count(text, F.lit(f"[^{WS}]+")), F.lit(0))
+    return F.size(words(text))
 
 
 def line_count(text: Column) -> Column:
-    """Lines with something on them: from a visible character to the line end."""
-    return F.coalesce(F.regexp_count(text, F.lit(f"[^{WS}][^{LINE_BREAKS}]*")), F.lit(0))
+    """Lines with something on them: the pieces between line breaks, where a
+    break takes all white space around it."""
+    stripped = strip(F.coalesce(text, F.lit("")))
+    pieces = F.split(stripped, f"(?U)[{WS}]*[{LINE_BREAKS}][{WS}]*")
+    return F.size(F.array_remove(pieces, ""))
 
 
 def casefold_key(col: Column) -> Column:

@@ -29,9 +29,11 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from chorale.functions.arrays import numbered
 from chorale.functions.text import normalize_artist, normalize_title
+from chorale.session import materialize
 
-FREQUENT = 1_000
+FREQUENT = 256
 
 
 def edit_similarity(a: Column, b: Column) -> Column:
@@ -64,23 +66,10 @@ def _gram_size(t: float) -> int:
 def _grams(title: Column, q: int) -> Column:
     """The q-grams, the n-th copy of one marked with n so that bags compare."""
     last = F.length(title) - (q - 1)
-    # A split on the empty pattern is not used: substrings keep code points whole.
     raw = F.when(
         last >= 1, F.transform(F.sequence(F.lit(1), F.greatest(last, F.lit(1))), lambda i: F.substr(title, i, F.lit(q)))
     ).otherwise(F.array().cast("array<string>"))
-    ordered = F.array_sort(raw)
-    start = F.struct(
-        F.array().cast("array<string>").alias("out"), F.lit("").alias("gram"), F.lit(0).alias("copy")
-    )
-
-    def step(acc: Column, gram: Column) -> Column:
-        copy = F.when(acc["gram"] == gram, acc["copy"] + 1).otherwise(0)
-        marked = F.concat(gram, F.lit("#"), copy.cast("string"))
-        return F.struct(
-            F.array_append(acc["out"], marked).alias("out"), gram.alias("gram"), copy.alias("copy")
-        )
-
-    return F.aggregate(ordered, start, step, lambda acc: acc["out"])
+    return numbered(raw)
 
 
 def _frequent(df: DataFrame, items: Column) -> list[str]:
@@ -150,8 +139,11 @@ class DatasetMatcher:
         """(left_id, right_id, left_title, right_title, match_score)."""
         lhs = self._normalised(left, left_keys, left_id)
         rhs = self._normalised(right, right_keys, right_id)
-        left_titles = lhs.select("artist", F.col("title").alias("lt")).distinct()
-        right_titles = rhs.groupBy("artist", F.col("title").alias("rt")).agg(F.min("id").alias("rid"))
+        # Both are read several times below; stored, they are normalised once.
+        left_titles = materialize(lhs.select("artist", F.col("title").alias("lt")).distinct(), "titles")
+        right_titles = materialize(
+            rhs.groupBy("artist", F.col("title").alias("rt")).agg(F.min("id").alias("rid")), "titles"
+        )
 
         equal = left_titles.join(
             right_titles.withColumn("lt", F.col("rt")), ["artist", "lt"]

@@ -161,9 +161,10 @@ def purity(df: DataFrame, cluster: str, label: str) -> DataFrame:
 def adjusted_rand(df: DataFrame, cluster: str, label: str) -> DataFrame:
     """Adjusted Rand index from pair counts of cells, rows, columns and all."""
     n = F.col("n").cast("double")
+    cells = df.groupBy(cluster, label).agg(F.count(F.lit(1)).alias("_c"))
     cube = (
-        df.cube(cluster, label)
-        .agg(F.count(F.lit(1)).alias("n"), F.grouping_id().alias("level"))
+        cells.cube(cluster, label)
+        .agg(F.sum("_c").alias("n"), F.grouping_id().alias("level"))
         .groupBy()
         .pivot("level", [0, 1, 2, 3])
         .agg(F.sum(n * (n - 1) / 2))

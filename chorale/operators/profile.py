@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from chorale.config import REPORT_STOP_WORDS
 from chorale.functions.text import words
 from chorale.operators.sampling import first_per_group
+from chorale.session import small_side
 
 
 def class_counts(df: DataFrame, label: str) -> DataFrame:
@@ -99,7 +100,9 @@ def top_words(
     """
     rows = df.filter(F.col(label).isNotNull()).select(*dict.fromkeys([label, text, *key]))
     if texts_per_label is not None:
-        rows = first_per_group(rows, label, list(key), texts_per_label, key)
+        # Only keys are ranked; the texts of the chosen keys are fetched after.
+        chosen = first_per_group(rows.select(label, *key), label, list(key), texts_per_label, key)
+        rows = rows.join(small_side(chosen.select(*key)), list(key), "left_semi")
     word = F.col("word")
     counted = (
         rows.select(label, F.explode(report_words(F.col(text))).alias("word"))
@@ -113,7 +116,5 @@ def top_words(
 
 def split_report(df: DataFrame, label: str, split: str = "split") -> DataFrame:
     """Rows per split and class with totals: null marks a total."""
-    return (
-        df.rollup(split, label)
-        .agg(F.count(F.lit(1)).alias("n"), F.grouping_id().alias("level"))
-    )
+    cells = df.groupBy(split, label).agg(F.count(F.lit(1)).alias("_c"))
+    return cells.rollup(split, label).agg(F.sum("_c").alias("n"), F.grouping_id().alias("level"))

@@ -8,13 +8,13 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from chorale.config import AUDIO_FEATURES, PipelineConfig
+from chorale.config import AUDIO_FEATURES, BalancingConfig, PipelineConfig
 from chorale.functions.labels import map_by_substring, map_by_tag
 from chorale.functions.lexical import lexical_features
-from chorale.functions.text import clean, word_count
+from chorale.functions.text import between, clean, word_count
 from chorale.operators.catalogue import CatalogueTables
 from chorale.operators.guards import keep_columns, require_columns
-from chorale.operators.sampling import balance, filter_targets, stratified_split
+from chorale.operators.sampling import balance, stratified_split
 from chorale.session import materialize
 from chorale.sources.readers import load_catalogue, load_lyrics
 from chorale.sources.sinks import write_dataset
@@ -37,6 +37,23 @@ def _balanced(df: DataFrame, key: Sequence[str], cfg: PipelineConfig) -> DataFra
     return balance(df, "genre", key, b.strategy, b.samples_per_class, b.seed, cfg.target_genres)
 
 
+def balance_by_key(
+    df: DataFrame, key: Sequence[str], label: str, b: BalancingConfig, targets: Sequence[str] | None = None
+) -> DataFrame:
+    """Balance a wide or costly table through its keys and labels only.
+
+    Balancing passes over its input several times. Here ``df`` is evaluated
+    once for (key, label), which are stored and balanced; the chosen keys then
+    select the rows. The store knows its size, so Spark copies the keys to
+    every task when they are few and shuffles otherwise.
+    """
+    if b.strategy == "none":
+        return balance(df, label, key, "none", targets=targets)
+    narrow = materialize(df.select(*key, label), "labelled-keys")
+    chosen = balance(narrow, label, key, b.strategy, b.samples_per_class, b.seed, targets)
+    return df.join(materialize(chosen.select(*key), "chosen-keys"), list(key), "left_semi")
+
+
 def _split(full: DataFrame, key: Sequence[str], on: Sequence[str], cfg: PipelineConfig) -> DataFrame:
     s = cfg.splitting
     return stratified_split(full, s.stratify_on, key, on, s.test_size, s.val_size, s.seed)
@@ -71,7 +88,7 @@ def labelled_lyrics(lyrics: DataFrame, cfg: PipelineConfig = PipelineConfig()) -
     c = cfg.cleaning
     return (
         early_filter(lyrics, c.languages_to_keep)
-        .filter(word_count(F.col("lyrics")).between(c.min_word_count, 2 * c.max_word_count))
+        .filter(between(word_count(F.col("lyrics")), c.min_word_count, 2 * c.max_word_count))
         .withColumn("genre", map_by_tag(F.col("tag")))
         .filter(F.col("genre").isNotNull())
     )
@@ -83,28 +100,21 @@ def cleaned_lyrics(labelled: DataFrame, cfg: PipelineConfig = PipelineConfig())
     return (
         clean(labelled, "lyrics", "lyrics_clean", c)
         .withColumn("word_count", word_count(F.col("lyrics_clean")).cast("int"))
-        .filter(F.col("word_count").between(c.min_word_count, c.max_word_count))
+        .filter(between(F.col("word_count"), c.min_word_count, c.max_word_count))
     )
 
 
 def build_lyrics(lyrics: DataFrame, cfg: PipelineConfig = PipelineConfig(), key: str = "id") -> Dataset:
     """Filter, label, clean, balance, featurise and split a lyrics table.
 
-    Balancing keeps a few rows of many, so the long texts are not carried
-    through it: the survivors' keys and labels are stored, balanced, and joined
-    back; only the chosen rows are cleaned for output and get features. The
-    features depend on their own row only, so computing them after balancing
-    changes nothing.
+    Balancing keeps a few rows of many, so only keys and labels go through it
+    and only the chosen rows get features. Features depend on their own row
+    alone, so computing them after balancing changes nothing.
     """
     require_columns(lyrics, ("title", "artist", "lyrics", key))
-    labelled = filter_targets(labelled_lyrics(lyrics, cfg), "genre", cfg.target_genres)
-    if cfg.balancing.strategy == "none":
-        chosen = labelled
-    else:
-        survivors = materialize(cleaned_lyrics(labelled, cfg).select(key, "genre"), "survivors")
-        keys = materialize(_balanced(survivors, [key], cfg).select(key), "chosen")
-        chosen = labelled.join(keys, key, "left_semi")
-    full = lexical_features(cleaned_lyrics(chosen, cfg), "lyrics_clean")
+    cleaned = cleaned_lyrics(labelled_lyrics(lyrics, cfg), cfg)
+    chosen = balance_by_key(cleaned, [key], "genre", cfg.balancing, cfg.target_genres)
+    full = lexical_features(chosen, "lyrics_clean")
     full = materialize(full, "balanced")
     return Dataset(full, _split(full, [key], ("artist", "title"), cfg))
 

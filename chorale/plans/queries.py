@@ -16,7 +16,6 @@ from chorale.config import CATALOGUE_PATTERNS, REPORT_STOP_WORDS, TAG_LABELS, Ba
 from chorale.functions import labels as lb
 from chorale.functions import text as tx
 from chorale.functions.lexical import lexical_features
-from chorale.functions.text import WS
 from chorale.operators import (
     catalogue,
     classify,
@@ -80,6 +79,12 @@ def big(df: DataFrame) -> DataFrame:
 
 # --- SQL pieces --------------------------------------------------------------
 
+# White space as RE2 has to spell it.
+WS = (
+    r"\x09-\x0d\x1c-\x20\x85\xa0\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}"
+    r"\x{202f}\x{205f}\x{3000}"
+)
+
 
 def words_sql(t: str) -> str:
     return f"list_filter(regexp_split_to_array({t}, '[{WS}]+'), lambda w: w <> '')"
@@ -263,7 +268,7 @@ def _(spark, d):
 def _(spark, d):
     cfg = CleaningConfig()
     n = tx.word_count(F.col("text"))
-    return documents(spark, d).filter(n.between(cfg.min_word_count, 2 * cfg.max_word_count)).select("doc_id")
+    return documents(spark, d).filter(tx.between(n, cfg.min_word_count, 2 * cfg.max_word_count)).select("doc_id")
 
 
 @query(
@@ -1224,8 +1229,8 @@ def document_split_report(spark: SparkSession, d: str) -> DataFrame:
     """Clean and featurise documents, balance by language, split, count."""
     docs = documents(spark, d).filter(F.col("lang").isin("en", "fr", "de", "es"))
     text = docs.withColumn("text", tx.strip(tx.squeeze_whitespace(F.col("text"))))
-    kept = text.filter(tx.word_count(F.col("text")).between(50, 2000)).select("doc_id", "lang", "text")
-    chosen = sampling.balance(kept, "lang", ["doc_id"], samples_per_class=100)
+    kept = text.filter(tx.between(tx.word_count(F.col("text")), 50, 2000)).select("doc_id", "lang", "text")
+    chosen = build.balance_by_key(kept, ["doc_id"], "lang", BalancingConfig(samples_per_class=100))
     full = materialize(lexical_features(chosen, "text"), "featured")
     parts = sampling.stratified_split(full, "lang", ["doc_id"], ["text"])
     return parts.groupBy("split", "lang").agg(
