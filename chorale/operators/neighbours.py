@@ -50,36 +50,57 @@ def _unit(x: np.ndarray) -> np.ndarray:
     return x / np.where(norm == 0, 1.0, norm)
 
 
-def _distances(q: np.ndarray, s: np.ndarray, metric: str) -> np.ndarray:
+def _exact(q: np.ndarray, s: np.ndarray, rows: np.ndarray, cols: np.ndarray, metric: str) -> np.ndarray:
+    """Distances of chosen pairs, term by term, so that equal rows tie exactly."""
+    out = np.empty(len(rows))
+    step = max(1, _DENSE_CELLS // max(q.shape[1], 1))
+    for lo in range(0, len(rows), step):
+        a, b = q[rows[lo : lo + step]], s[cols[lo : lo + step]]
+        if metric == "cosine":
+            out[lo : lo + step] = np.maximum(1.0 - (a * b).sum(axis=1), 0.0)
+        else:
+            out[lo : lo + step] = np.sqrt(((a - b) ** 2).sum(axis=1))
+    return out
+
+
+def _shortlist(q: np.ndarray, s: np.ndarray, k: int, metric: str):
+    """Pairs that may be among the k nearest: a matrix product finds the k-th
+    distance up to rounding, and everything within the rounding stays."""
     if metric == "cosine":
-        return np.maximum(1.0 - _unit(q) @ _unit(s).T, 0.0)
-    squared = (q * q).sum(axis=1)[:, None] + (s * s).sum(axis=1)[None, :] - 2 * q @ s.T
-    near = squared < 1e-6 * ((q * q).sum(axis=1)[:, None] + 1e-300)
-    if near.any():
-        # The product form loses digits for close points: recompute those.
-        i, j = np.nonzero(near)
-        for lo in range(0, len(i), 10_000):
-            a, b = i[lo : lo + 10_000], j[lo : lo + 10_000]
-            squared[a, b] = ((q[a] - s[b]) ** 2).sum(axis=1)
-    return np.sqrt(np.maximum(squared, 0.0))
+        rough, slack = 1.0 - q @ s.T, 1e-9
+    else:
+        q2, s2 = (q * q).sum(axis=1)[:, None], (s * s).sum(axis=1)[None, :]
+        rough, slack = q2 + s2 - 2 * q @ s.T, 1e-9 * (q2 + s2.max() + 1.0)
+    if rough.shape[1] <= k:
+        return np.nonzero(np.ones_like(rough, dtype=bool))
+    limit = np.partition(rough, k - 1, axis=1)[:, k - 1 : k]
+    return np.nonzero(rough <= limit + slack)
 
 
 def _k_best(queries: pd.DataFrame, stored: pd.DataFrame, width: int, k: int, metric: str):
-    """Per query row: distances and stored positions of the k nearest.
+    """(query row, stored position, distance) of the k nearest per query.
 
     Stored rows arrive sorted by key, so equal distances go to the lower key.
     """
-    best_d = np.full((len(queries), 0), np.inf)
-    best_p = np.zeros((len(queries), 0), dtype=int)
-    step = max(1, _DENSE_CELLS // max(width, 1))
     q = _dense(queries, width)
+    if metric == "cosine":
+        q = _unit(q)
+    row, pos, dist = np.empty(0, int), np.empty(0, int), np.empty(0)
+    step = max(1, _DENSE_CELLS // max(width, 1))
     for lo in range(0, len(stored), step):
         s = _dense(stored.iloc[lo : lo + step], width)
-        d = np.hstack([best_d, _distances(q, s, metric)])
-        p = np.hstack([best_p, np.broadcast_to(np.arange(lo, lo + len(s)), (len(q), len(s)))])
-        keep = np.argsort(d, axis=1, kind="stable")[:, :k]
-        best_d, best_p = np.take_along_axis(d, keep, 1), np.take_along_axis(p, keep, 1)
-    return best_d, best_p
+        if metric == "cosine":
+            s = _unit(s)
+        r, c = _shortlist(q, s, k, metric)
+        row = np.concatenate([row, r])
+        pos = np.concatenate([pos, c + lo])
+        dist = np.concatenate([dist, _exact(q, s, r, c, metric)])
+        order = np.lexsort((pos, dist, row))
+        row, pos, dist = row[order], pos[order], dist[order]
+        first = np.searchsorted(row, row, side="left")
+        keep = np.arange(len(row)) - first < k
+        row, pos, dist = row[keep], pos[keep], dist[keep]
+    return row, pos, dist
 
 
 def _candidates(batches, stored: pd.DataFrame, width: int, k: int, metric: str):
@@ -88,14 +109,13 @@ def _candidates(batches, stored: pd.DataFrame, width: int, k: int, metric: str):
     for pdf in batches:
         for lo in range(0, len(pdf), step):
             part = pdf.iloc[lo : lo + step]
-            d, p = _k_best(part, stored, width, k, metric)
-            rows = np.repeat(np.arange(len(part)), d.shape[1])
+            row, pos, dist = _k_best(part, stored, width, k, metric)
             yield pd.DataFrame(
                 {
-                    "_q": part["_key"].to_numpy()[rows],
-                    "neighbour": keys[p.ravel()],
-                    "label": labels[p.ravel()],
-                    "distance": d.ravel(),
+                    "_q": part["_key"].to_numpy()[row],
+                    "neighbour": keys[pos],
+                    "label": labels[pos],
+                    "distance": dist,
                 }
             )
 

@@ -12,7 +12,15 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chorale.config import CATALOGUE_PATTERNS, REPORT_STOP_WORDS, TAG_LABELS, BalancingConfig, CleaningConfig, PipelineConfig
+from chorale.config import (
+    CATALOGUE_PATTERNS,
+    LYRIC_FEATURES,
+    REPORT_STOP_WORDS,
+    TAG_LABELS,
+    BalancingConfig,
+    CleaningConfig,
+    PipelineConfig,
+)
 from chorale.functions import labels as lb
 from chorale.functions import text as tx
 from chorale.functions.lexical import lexical_features
@@ -1259,14 +1267,30 @@ def _audio_parts(spark, d) -> DataFrame:
     )
 
 
-@query("feature_table")
+FEATURES_SQL = f"""WITH rows AS (SELECT doc_id AS k, lang AS c, doc_id AS u FROM documents),
+{split_sql('rows')},
+lex AS ({LEXICAL_SQL}),
+{TERMS_SQL.replace('df AS (', 'unused AS (')},
+seen AS (SELECT term, count(*) AS df, sum(tf) AS total FROM tf JOIN parts ON parts.k = doc_id AND split = 'train' GROUP BY term),
+vocab AS (SELECT term, df FROM seen WHERE df >= 2 ORDER BY total DESC, term LIMIT 1000),
+w AS (SELECT doc_id, (1 + ln(tf)) * (ln((1 + (SELECT count(*) FROM parts WHERE split = 'train'))::DOUBLE / (1 + df)) + 1) AS w
+      FROM tf JOIN vocab USING (term)),
+t AS (SELECT doc_id, count(*) AS n, sum(w) / sqrt(sum(w * w)) AS total FROM w GROUP BY doc_id)
+SELECT k AS doc_id, split, 1010::BIGINT AS width, coalesce(t.n, 0) + 10 AS stored,
+  round(coalesce(t.total, 0) + {' + '.join(f'lyr_{name}::FLOAT::DOUBLE' for name in LYRIC_FEATURES)}, 4) AS total
+FROM parts JOIN lex ON lex.doc_id = k LEFT JOIN t ON t.doc_id = k"""
+
+
+@query("feature_table", FEATURES_SQL)
 def _(spark, d):
     parts, size = _doc_bundle(spark, d)
     bundle = features.build_features(parts, ["doc_id", "genre"], max_features=size)
-    values = F.col("features.values")
-    return bundle.arrays.select(
-        "doc_id", "split", F.col("features.size").alias("width"), F.size("features.indices").alias("stored"),
-        r6(F.aggregate(values, F.lit(0.0), lambda s, x: s + x)).alias("total"),
+    total = F.aggregate("features.values", F.lit(0.0), lambda s, x: s + x)
+    return big(
+        bundle.arrays.select(
+            "doc_id", "split", F.col("features.size").alias("width"), F.size("features.indices").alias("stored"),
+            F.round(total, 4).alias("total"),
+        )
     )
 
 
@@ -1385,6 +1409,21 @@ def _(spark, d):
     return reduce.pca_scores(reduce.fit_pca(matrix, "x", 10), matrix, "x")
 
 
+@query(
+    "pca_two_features",
+    """SELECT round((1 + abs(corr(l_quantity, l_extendedprice))) / 2, 6) AS first_share,
+  round((1 - abs(corr(l_quantity, l_extendedprice))) / 2, 6) AS mse FROM lineitem""",
+)
+def _(spark, d):
+    scaler = scaling.fit_scaler(table(spark, d, "lineitem"), ("l_quantity", "l_extendedprice"))
+    pair = F.array(scaler.scaled("l_quantity"), scaler.scaled("l_extendedprice"))
+    matrix = table(spark, d, "lineitem").select(pair.alias("x"))
+    scores = reduce.pca_scores(reduce.fit_pca(matrix, "x", 1), matrix, "x")
+    return scores.select(
+        r6(F.col("explained_variance_ratio")[0]).alias("first_share"), r6("reconstruction_mse").alias("mse")
+    )
+
+
 @query("pca_loadings")
 def _(spark, d):
     return reduce.loadings(spark, reduce.fit_pca(_matrix(spark, d), "x", 2), [f"x{i}" for i in range(64)])
