@@ -74,6 +74,28 @@ def _cuts(
     )
 
 
+# Up to this many classes, their cuts are written into the plan as one CASE.
+INLINE_CLASSES = 64
+
+
+def _with_cuts(df: DataFrame, cls: Column, cuts: DataFrame, names: Sequence[str]) -> DataFrame:
+    """Add each row's cuts (null where its class has none).
+
+    A handful of classes needs no join at all; more are joined, the cuts being
+    copied to every task when their counted number allows.
+    """
+    rows = cuts.limit(INLINE_CLASSES + 1).collect()
+    if len(rows) > INLINE_CLASSES:
+        return df.join(small_side(cuts), cls.eqNullSafe(F.col("_class")), "left").drop("_class")
+    columns = {}
+    for name in names:
+        cut = F.lit(None).cast("string")
+        for row in rows:
+            cut = F.when(cls.eqNullSafe(F.lit(row["_class"])), F.lit(row[name])).otherwise(cut)
+        columns[name] = cut
+    return df.withColumns(columns)
+
+
 def take_per_class(
     df: DataFrame, cls: Column, key: Sequence[str], n: int, seed: int
 ) -> DataFrame:
@@ -85,14 +107,10 @@ def take_per_class(
         takes = [(c, "n", n) for c, total in totals.items() if total > n]
         if not takes:
             return df
-        cuts = small_side(_cuts(df, cls, rank, prefixes, takes).drop("_cut"))
+        marked = _with_cuts(df, cls, _cuts(df, cls, rank, prefixes, takes).drop("_cut"), ["_at"])
     finally:
         prefixes.unpersist()
-    return (
-        df.join(cuts, cls == F.col("_class"), "left")
-        .filter(F.col("_at").isNull() | (rank <= F.col("_at")))
-        .select(*[F.col(f"`{c}`") for c in df.columns])
-    )
+    return marked.filter(F.col("_at").isNull() | (rank <= F.col("_at"))).drop("_at")
 
 
 def sample_exact(df: DataFrame, n: int, key: Sequence[str], seed: int = 42) -> DataFrame:
@@ -246,7 +264,7 @@ def stratified_split(
             .agg(F.first("_at"))
             .withColumnsRenamed({"train": "_train", "val": "_val"})
         )
-        cuts = small_side(cuts)
+        marked = _with_cuts(df, cls, cuts, ["_train", "_val"])
     finally:
         prefixes.unpersist()
     side = (
@@ -254,9 +272,7 @@ def stratified_split(
         .when(rank <= F.coalesce("_val", F.lit("")), "val")
         .otherwise("test")
     )
-    return df.join(cuts, cls.eqNullSafe(F.col("_class")), "left").select(
-        *[F.col(f"`{c}`") for c in df.columns], side.alias("split")
-    )
+    return marked.withColumn("split", side).drop("_train", "_val")
 
 
 def shuffle_rows(df: DataFrame, key: Sequence[str], seed: int = 42) -> DataFrame:
