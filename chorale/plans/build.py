@@ -14,7 +14,7 @@ from chorale.functions.lexical import lexical_features
 from chorale.functions.text import between, clean, word_count
 from chorale.operators.catalogue import CatalogueTables
 from chorale.operators.guards import keep_columns, require_columns
-from chorale.operators.sampling import balance, stratified_split
+from chorale.operators.sampling import balance, filter_targets, stratified_split
 from chorale.session import materialize
 from chorale.sources.readers import load_catalogue, load_lyrics
 from chorale.sources.sinks import write_dataset
@@ -38,20 +38,24 @@ def _balanced(df: DataFrame, key: Sequence[str], cfg: PipelineConfig) -> DataFra
 
 
 def balance_by_key(
-    df: DataFrame, key: Sequence[str], label: str, b: BalancingConfig, targets: Sequence[str] | None = None
+    source: DataFrame,
+    survivors: DataFrame,
+    key: Sequence[str],
+    label: str,
+    b: BalancingConfig,
+    targets: Sequence[str] | None = None,
 ) -> DataFrame:
-    """Balance a wide or costly table through its keys and labels only.
+    """Rows of ``source`` that a balanced choice among ``survivors`` keeps.
 
-    Balancing passes over its input several times. Here ``df`` is evaluated
-    once for (key, label), which are stored and balanced; the chosen keys then
-    select the rows. The store knows its size, so Spark copies the keys to
-    every task when they are few and shuffles otherwise.
+    ``survivors`` holds the keys and labels of the rows that passed the costly
+    filters. It is evaluated once, stored, and balanced in narrow passes; the
+    chosen keys then select whole rows, which need no filtering again. The
+    stored keys have a known size, so Spark copies them to every task when
+    they are few and shuffles otherwise.
     """
-    if b.strategy == "none":
-        return balance(df, label, key, "none", targets=targets)
-    narrow = materialize(df.select(*key, label), "labelled-keys")
+    narrow = materialize(survivors.select(*key, label), "survivors")
     chosen = balance(narrow, label, key, b.strategy, b.samples_per_class, b.seed, targets)
-    return df.join(materialize(chosen.select(*key), "chosen-keys"), list(key), "left_semi")
+    return source.join(materialize(chosen.select(*key), "chosen"), list(key), "left_semi")
 
 
 def _split(full: DataFrame, key: Sequence[str], on: Sequence[str], cfg: PipelineConfig) -> DataFrame:
@@ -86,34 +90,43 @@ def labelled_lyrics(lyrics: DataFrame, cfg: PipelineConfig = PipelineConfig()) -
     the limit because cleaning only removes text.
     """
     c = cfg.cleaning
-    return (
-        early_filter(lyrics, c.languages_to_keep)
-        .filter(between(word_count(F.col("lyrics")), c.min_word_count, 2 * c.max_word_count))
-        .withColumn("genre", map_by_tag(F.col("tag")))
-        .filter(F.col("genre").isNotNull())
+    kept = early_filter(lyrics, c.languages_to_keep).filter(
+        between(word_count(F.col("lyrics")), c.min_word_count, 2 * c.max_word_count)
     )
+    return with_genre(kept).filter(F.col("genre").isNotNull())
+
+
+def with_genre(lyrics: DataFrame) -> DataFrame:
+    return lyrics.withColumn("genre", map_by_tag(F.col("tag")))
+
+
+def with_clean_text(labelled: DataFrame, cfg: PipelineConfig = PipelineConfig()) -> DataFrame:
+    """Add lyrics_clean and word_count."""
+    cleaned = clean(labelled, "lyrics", "lyrics_clean", cfg.cleaning)
+    return cleaned.withColumn("word_count", word_count(F.col("lyrics_clean")).cast("int"))
 
 
 def cleaned_lyrics(labelled: DataFrame, cfg: PipelineConfig = PipelineConfig()) -> DataFrame:
-    """Add lyrics_clean and word_count and keep texts of usable length."""
+    """Clean, and keep texts of usable length."""
     c = cfg.cleaning
-    return (
-        clean(labelled, "lyrics", "lyrics_clean", c)
-        .withColumn("word_count", word_count(F.col("lyrics_clean")).cast("int"))
-        .filter(between(F.col("word_count"), c.min_word_count, c.max_word_count))
-    )
+    return with_clean_text(labelled, cfg).filter(between(F.col("word_count"), c.min_word_count, c.max_word_count))
 
 
 def build_lyrics(lyrics: DataFrame, cfg: PipelineConfig = PipelineConfig(), key: str = "id") -> Dataset:
     """Filter, label, clean, balance, featurise and split a lyrics table.
 
-    Balancing keeps a few rows of many, so only keys and labels go through it
-    and only the chosen rows get features. Features depend on their own row
-    alone, so computing them after balancing changes nothing.
+    Balancing keeps a few rows of many, so only keys and labels go through it.
+    The chosen rows are fetched, cleaned again for output, and get features.
+    Features depend on their own row alone, so computing them after balancing
+    changes nothing.
     """
     require_columns(lyrics, ("title", "artist", "lyrics", key))
-    cleaned = cleaned_lyrics(labelled_lyrics(lyrics, cfg), cfg)
-    chosen = balance_by_key(cleaned, [key], "genre", cfg.balancing, cfg.target_genres)
+    survivors = cleaned_lyrics(labelled_lyrics(lyrics, cfg), cfg)
+    if cfg.balancing.strategy == "none":
+        chosen = filter_targets(survivors, "genre", cfg.target_genres)
+    else:
+        rows = balance_by_key(lyrics, survivors, [key], "genre", cfg.balancing, cfg.target_genres)
+        chosen = with_clean_text(with_genre(rows), cfg)
     full = lexical_features(chosen, "lyrics_clean")
     full = materialize(full, "balanced")
     return Dataset(full, _split(full, [key], ("artist", "title"), cfg))

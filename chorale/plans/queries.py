@@ -1235,10 +1235,12 @@ SELECT split, c AS lang, count(*) AS n, sum(n)::BIGINT AS words FROM parts GROUP
 )
 def document_split_report(spark: SparkSession, d: str) -> DataFrame:
     """Clean and featurise documents, balance by language, split, count."""
-    docs = documents(spark, d).filter(F.col("lang").isin("en", "fr", "de", "es"))
+    docs = documents(spark, d).select("doc_id", "lang", "text")
     text = docs.withColumn("text", tx.strip(tx.squeeze_whitespace(F.col("text"))))
-    kept = text.filter(tx.between(tx.word_count(F.col("text")), 50, 2000)).select("doc_id", "lang", "text")
-    chosen = build.balance_by_key(kept, ["doc_id"], "lang", BalancingConfig(samples_per_class=100))
+    kept = classify.LanguageFilter(("en", "fr", "de", "es")).filter_dataframe(text, "text", "lang")
+    kept = kept.filter(tx.between(tx.word_count(F.col("text")), 50, 2000))
+    chosen = build.balance_by_key(docs, kept, ["doc_id"], "lang", BalancingConfig(samples_per_class=100))
+    chosen = chosen.withColumn("text", tx.strip(tx.squeeze_whitespace(F.col("text"))))
     full = materialize(lexical_features(chosen, "text"), "featured")
     parts = sampling.stratified_split(full, "lang", ["doc_id"], ["text"])
     return parts.groupBy("split", "lang").agg(

@@ -49,7 +49,11 @@ def spread(df: DataFrame) -> DataFrame:
     splits is returned as it is.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    if df.rdd.getNumPartitions() >= cores:
+        return df
+    # Always true; but filters are not pushed past a non-deterministic one, so
+    # costly tests run after the rows were dealt and not in the one scan task.
+    return df.repartition(cores).filter(F.rand() >= 0)
 
 
 def load_lyrics(
