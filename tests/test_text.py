@@ -52,7 +52,7 @@ def test_whole_messy_text(spark):
         ("It&#39;s &amp; you&#x27;re", "It's & you're"),
         ("&amp;&amp;&amp;", "&&&"),
         ("Iâ€™m heading home", "I'm heading home"),
-        ("CafÃ© Ã la mode", "Café à la mode"),
+        ("CafÃ© dÃ©jÃ\xa0 vu", "Café déjà vu"),
         ("Hello    world\n\n\n\nfoo", "Hello world\n\nfoo"),
         ("a \t b \n  c", "a b\nc"),
         ("one\ttab", "one\ttab"),
