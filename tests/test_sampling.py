@@ -143,3 +143,14 @@ def test_box_stats(spark):
     row = quantiles.box_stats(df, "g", ["x"]).first()
     assert (row["q1"], row["median"], row["q3"]) == (2.75, 4.5, 6.25)
     assert (row["whisker_low"], row["whisker_high"]) == (1.0, 7.0)
+
+
+def test_many_classes_and_the_shuffled_fallback(spark, monkeypatch):
+    df = spark.range(2000).select("id", (F.col("id") % 80).cast("string").alias("genre"))
+    want = sorted((r["id"], r["split"]) for r in sampling.stratified_split(df, "genre", ["id"]).collect())
+    assert len(want) == 2000
+    kept = Counter(r["genre"] for r in sampling.balance(df, "genre", ["id"], samples_per_class=10).collect())
+    assert set(kept.values()) == {10} and len(kept) == 80
+    monkeypatch.setattr(sampling, "small_side", lambda side: side)
+    again = sorted((r["id"], r["split"]) for r in sampling.stratified_split(df, "genre", ["id"]).collect())
+    assert again == want
