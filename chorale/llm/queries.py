@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chorale.llm import chat
+from chorale.llm import chat, quality, shards
 from chorale.llm.common import ranked, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -70,3 +70,70 @@ def _(spark, d):
         F.length("formatted").cast("long").alias("formatted_chars"),
         "rank",
     )
+
+
+@query(
+    "op2_quality_rules",
+    r"""WITH w AS (
+  SELECT doc_id, lang, source, coalesce(text, '') AS t,
+    list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws,
+    list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS ls
+  FROM documents),
+win AS (
+  SELECT doc_id, unnest(list_transform(range(1, len(ws) - 6), lambda i: array_to_string(ws[i:i + 7], ' '))) AS win,
+    unnest(range(1, len(ws) - 6)) AS i FROM w WHERE len(ws) >= 8),
+rep AS (SELECT doc_id, unnest(range(i, i + 8)) AS p FROM win QUALIFY count(*) OVER (PARTITION BY doc_id, win) > 1),
+r AS (SELECT doc_id, count(DISTINCT p) AS n FROM rep GROUP BY doc_id),
+m AS (
+  SELECT w.doc_id, lang, source, len(ws) AS n_words, length(regexp_replace(t, '[\x20\x09-\x0D]+', '', 'g')) AS word_chars,
+    length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS n_symbols, len(ls) AS n_lines,
+    len(ls) - len(list_distinct(ls)) AS n_dup_lines, coalesce(r.n, 0) AS n_repeat_words
+  FROM w LEFT JOIN r ON r.doc_id = w.doc_id),
+b AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed,
+    {'symbols': 10000 * n_symbols // greatest(word_chars, 1), 'dup_lines': 10000 * n_dup_lines // greatest(n_lines, 1),
+     'repeats': 10000 * n_repeat_words // greatest(n_words, 1), 'word_length': 1000 * word_chars // greatest(n_words, 1)} AS v
+  FROM m),
+f AS (
+  SELECT doc_id, lang, source, k, x, (x >> e) << e AS cell, least FROM (
+    SELECT *, greatest(length(bin(x)) - 7, 0) AS e FROM (
+      SELECT doc_id, lang, source, unnest(['symbols', 'dup_lines', 'repeats', 'word_length']) AS k,
+        unnest([v.symbols, v.dup_lines, v.repeats, v.word_length]) AS x, unnest([100, 1000, 1000, 500]) AS least
+      FROM b WHERE NOT base_failed))),
+lev AS (
+  SELECT doc_id, k, x, least, cell, lang, source, unnest([0, 1, 2]) AS lv FROM f),
+grp AS (
+  SELECT lv, CASE WHEN lv < 2 THEN lang END AS lang, CASE WHEN lv < 1 THEN source END AS source, k, any_value(least) AS least,
+    count(*) AS n, list_sort(list(cell)) AS cells FROM lev GROUP BY 1, 2, 3, 4),
+fen AS (
+  SELECT lv, lang, source, k, n, cells[(n + 3) // 4] AS q1, cells[(3 * n + 3) // 4] AS q3, least FROM grp),
+cut AS (SELECT lv, lang, source, k, n, q1 - 4 * greatest(q3 - q1, least) AS low, q3 + 4 * greatest(q3 - q1, least) AS high FROM fen),
+ver AS (
+  SELECT f.doc_id, f.k, f.x NOT BETWEEN CASE WHEN a.n >= 200 THEN a.low WHEN c.n >= 200 THEN c.low ELSE e.low END
+    AND CASE WHEN a.n >= 200 THEN a.high WHEN c.n >= 200 THEN c.high ELSE e.high END AS bad
+  FROM f JOIN cut a ON a.lv = 0 AND a.k = f.k AND a.lang IS NOT DISTINCT FROM f.lang AND a.source IS NOT DISTINCT FROM f.source
+  JOIN cut c ON c.lv = 1 AND c.k = f.k AND c.lang IS NOT DISTINCT FROM f.lang JOIN cut e ON e.lv = 2 AND e.k = f.k),
+vd AS (SELECT doc_id, bool_or(bad) AS bad FROM ver GROUP BY doc_id)
+SELECT b.doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+  NOT base_failed AND NOT coalesce(bad, false) AS kept
+FROM b LEFT JOIN vd ON vd.doc_id = b.doc_id""",
+)
+def _(spark, d):
+    judged = quality.judge(table(spark, d, "documents"))
+    return judged.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
+    )
+
+
+@query("op7_sharding")
+def _(spark, d):
+    """No SQL: the order is drawn at random. Tests hold the law, and every row against its input."""
+    done = shards.shuffled_shards(table(spark, d, "documents").select("doc_id", "text"), 40, "doc_id")
+    return done.select(
+        "row.doc_id",
+        (F.coalesce(F.octet_length("row.text"), F.lit(0)) + 16).cast("long").alias("size"),
+        F.crc32(F.coalesce(F.col("row.text"), F.lit("")).cast("binary")).alias("text_crc32"),
+        F.lit("rows").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
