@@ -70,8 +70,15 @@ def repeated_words(words: Column) -> Column:
 
         return let(placed, covered)
 
-    # Few texts repeat a window: distinct hashes prove that one doesn't.
-    hashes = F.transform(starts, lambda i: F.xxhash64(window(i)))
+    def paired(hashes: Column, ahead: int) -> Column:
+        return F.transform(hashes, lambda x, i: F.xxhash64(x, F.get(hashes, i + ahead)))
+
+    # Hashes of 2, 4, then 8 words from each place. Few texts repeat a window, and distinct
+    # hashes prove that one doesn't; shorter ends can only send a text to the exact way.
+    hashes = let(
+        F.transform(words, lambda w: F.xxhash64(w)),
+        lambda a: let(paired(a, 1), lambda b: let(paired(b, 2), lambda c: paired(c, 4))),
+    )
     return F.when(F.size(words) < SPAN, 0).otherwise(
         let(hashes, lambda h: F.when(F.size(F.array_distinct(h)) == F.size(h), 0).otherwise(exact()))
     )
@@ -82,20 +89,24 @@ def measured(docs: DataFrame, text: str = "text") -> DataFrame:
     t = F.coalesce(F.col(text), F.lit(""))
     words = F.filter(F.split(t, SPACE), lambda w: w != "")
     lines = F.filter(F.split(t, "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
-    counts = let(words, lambda w: F.struct(F.size(w).alias("n"), repeated_words(w).alias("r")))
+    counts = let(
+        words,
+        lambda w: F.struct(
+            F.size(w).alias("n"), F.length(F.array_join(w, "")).alias("c"), repeated_words(w).alias("r")
+        ),
+    )
     doubled = let(lines, lambda x: F.struct(F.size(x).alias("n"), (F.size(x) - F.size(F.array_distinct(x))).alias("d")))
     others = [c for c in docs.columns if c != text]
     once = docs.select(
         *others,
         counts.alias("_words"),
         doubled.alias("_lines"),
-        F.length(F.regexp_replace(t, SPACE, "")).cast("long").alias("word_chars"),
         F.length(F.regexp_replace(t, r"[^#*$%&|<>]+", "")).cast("long").alias("n_symbols"),
     )
     return once.select(
         *others,
         F.col("_words.n").cast("long").alias("n_words"),
-        "word_chars",
+        F.col("_words.c").cast("long").alias("word_chars"),
         "n_symbols",
         F.col("_lines.n").cast("long").alias("n_lines"),
         F.col("_lines.d").cast("long").alias("n_dup_lines"),
