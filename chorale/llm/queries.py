@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chorale.llm import chat, quality, shards
-from chorale.llm.common import ranked, table
+from chorale.llm import chat, mixing, quality, shards, urls
+from chorale.llm.common import SPACE, md5_int, ranked, table
+from chorale.session import materialize
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -137,3 +138,98 @@ def _(spark, d):
         "slot",
         F.lit(None).cast("int").alias("grown_shard"),
     )
+
+
+@query(
+    "op8_mixing_sources",
+    r"""WITH RECURSIVE t AS (
+  SELECT doc_id, source, len(list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> ''))::BIGINT AS n
+  FROM documents),
+s AS (SELECT source, sum(n)::BIGINT AS tokens FROM t GROUP BY source),
+x AS (SELECT max(tokens)::DOUBLE AS most, min(tokens)::DOUBLE AS least, sum(tokens)::DOUBLE AS total FROM s WHERE tokens > 0),
+bis AS (
+  SELECT 0 AS k, CASE WHEN most / least > 1.5 THEN 0.0::DOUBLE ELSE 1.0::DOUBLE END AS lo, 1.0::DOUBLE AS hi FROM x
+  UNION ALL
+  SELECT k + 1, CASE WHEN pow(least / most, (lo + hi) / 2 - 1) > 1.5 THEN (lo + hi) / 2 ELSE lo END,
+    CASE WHEN pow(least / most, (lo + hi) / 2 - 1) > 1.5 THEN hi ELSE (lo + hi) / 2 END FROM bis, x WHERE k < 50),
+a AS (SELECT hi AS a FROM bis WHERE k = 50),
+r AS (SELECT source, tokens, CASE WHEN tokens > 0 THEN pow(tokens / total, a) ELSE 0 END AS r FROM s, x, a),
+w AS (SELECT source, tokens, round(r / sum(r) OVER (), 9) AS weight FROM r),
+b AS (SELECT max(ceil(tokens / weight)) AS budget FROM w WHERE tokens > 0),
+g AS (SELECT source, weight, tokens, greatest(tokens, floor(weight * budget)::BIGINT) AS share FROM w, b),
+q AS (SELECT source, weight, CASE WHEN tokens > 0 THEN share // tokens ELSE 1 END AS passes,
+  CASE WHEN tokens > 0 THEN share % tokens ELSE 0 END AS rest FROM g),
+d AS (SELECT doc_id, source, n, ('0x' || md5('5|block|' || doc_id)[1:8])::BIGINT % 1024 AS block FROM t),
+z AS (SELECT source, block, sum(n)::BIGINT AS size FROM d GROUP BY 1, 2),
+e AS (SELECT z.source, block, size, weight, passes, rest, unnest(range(0, passes + 1)) AS copy FROM z JOIN q ON q.source = z.source),
+o AS (SELECT *, ('0x' || md5('5|pass|' || copy || '|' || source || '|' || block)[1:8])::BIGINT AS drawn FROM e),
+p AS (SELECT *, coalesce(sum(size) OVER (PARTITION BY source, copy ORDER BY drawn, block ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before,
+  row_number() OVER (PARTITION BY source, copy ORDER BY drawn, block) - 1 AS block_at FROM o),
+c AS (SELECT d.doc_id, d.source, n, p.weight, p.copy, d.block, p.block_at, p.before, p.passes, p.rest,
+    ('0x' || md5('5|row|' || copy || '|' || doc_id)[1:8])::BIGINT AS tm
+  FROM d JOIN p ON p.source = d.source AND p.block = d.block),
+f AS (SELECT *, row_number() OVER v - 1 AS slot, sum(n) OVER v AS upto FROM c
+  WINDOW v AS (PARTITION BY source, copy, block ORDER BY tm, doc_id, n ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))
+SELECT doc_id, source, n AS n_tokens, weight, copy, block, block_at, slot FROM f WHERE copy < passes OR before + upto <= rest""",
+)
+def _(spark, d):
+    docs = table(spark, d, "documents")
+    words = F.size(F.filter(F.split(F.coalesce("text", F.lit("")), SPACE), lambda w: w != ""))
+    return mixing.mix(docs.select("doc_id", "source", words.alias("n_tokens")), ["doc_id"], max_repetition=1.5)
+
+
+@query(
+    "op10_url_filters",
+    r"""WITH p AS (
+  SELECT page_id, url, lower(regexp_extract(url, '^[a-zA-Z][a-zA-Z0-9+.\-]*://(?:[^/?#@]*@)?([^/?#:]*)', 1)) AS host,
+    list_filter(string_split(regexp_extract(url, '^[a-zA-Z][a-zA-Z0-9+.\-]*://[^/?#]*([^?#]*)', 1), '/'), lambda x: x <> '') AS parts,
+    ('0x' || md5('fetch|' || page_id)[1:8])::BIGINT % 366 AS tm FROM pages),
+h AS (SELECT DISTINCT host, ('0x' || md5('host|' || host)[1:8])::BIGINT AS n FROM p WHERE host <> ''),
+e AS (
+  SELECT 'block' AS list, host AS pattern, n % 300 AS tm, 'add' AS action FROM h WHERE n % 10 < 5
+  UNION ALL SELECT 'block', host, n % 300 + 40, 'remove' FROM h WHERE n % 10 < 4
+  UNION ALL SELECT 'block', host, n % 300 + 100, 'add' FROM h WHERE n % 10 < 2
+  UNION ALL SELECT 'allow', host || '/en', n % 200, 'add' FROM h WHERE n % 3 = 0
+  UNION ALL SELECT DISTINCT 'block', array_to_string(string_split(host, '.')[-2:], '.'), 200, 'add' FROM h
+  UNION ALL SELECT DISTINCT 'block', array_to_string(string_split(host, '.')[-2:], '.'), 230, 'remove' FROM h
+  UNION ALL SELECT DISTINCT 'block', host || '/' || array_to_string(parts, '/'), 90, 'add' FROM p
+    WHERE len(parts) > 0 AND ('0x' || md5('path|' || host || '/' || array_to_string(parts, '/'))[1:8])::BIGINT % 20 = 0),
+m AS (SELECT list, pattern, tm, max(action = 'add') AS "on" FROM e GROUP BY 1, 2, 3),
+i AS (SELECT list, pattern, tm AS since, lead(tm) OVER (PARTITION BY list, pattern ORDER BY tm) AS until, "on" FROM m),
+k AS (
+  SELECT page_id, tm, unnest(list_concat(
+    list_transform(range(1, len(string_split(host, '.')) + 1), lambda i: array_to_string(string_split(host, '.')[i:], '.')),
+    list_transform(range(1, len(parts) + 1), lambda i: host || '/' || array_to_string(parts[:i], '/')))) AS pattern FROM p WHERE host <> ''),
+j AS (SELECT k.page_id, k.pattern, i.list, i.since, count(*) OVER (PARTITION BY k.page_id) AS n,
+    row_number() OVER (PARTITION BY k.page_id ORDER BY length(k.pattern) DESC, i.list = 'block' DESC, k.pattern DESC) AS rn
+  FROM k JOIN i ON i.pattern = k.pattern AND "on" AND since <= k.tm AND (until IS NULL OR k.tm < until))
+SELECT p.page_id, p.tm AS fetch_day, coalesce(j.n, 0) AS n_active, j.pattern, j.list, j.since, coalesce(j.list = 'block', false) AS blocked
+FROM p LEFT JOIN j ON j.page_id = p.page_id AND rn = 1""",
+)
+def _(spark, d):
+    """Fetch days and list entries are dealt from the pages by digest: hosts come, go and come again."""
+    pages = table(spark, d, "pages").select("page_id", "url", (md5_int("fetch", F.col("page_id")) % 366).alias("at"))
+    hosts = pages.select(urls.host_of(F.col("url")).alias("host")).filter("host <> ''").distinct()
+    hosts = materialize(hosts.withColumn("n", md5_int("host", F.col("host"))), "hosts")
+    labels = F.split("host", r"\.")
+    domain = F.array_join(F.slice(labels, F.greatest(F.size(labels) - 1, F.lit(1)), 2), ".")
+    parts = F.filter(F.split(urls.path_of(F.col("url")), "/"), lambda x: x != "")
+    path = F.concat(urls.host_of(F.col("url")), F.lit("/"), F.array_join(parts, "/"))
+
+    def entry(rows, name, pattern, at, action):
+        return rows.select(F.lit(name).alias("list"), pattern.alias("pattern"), at.cast("long").alias("at"), F.lit(action).alias("action"))
+
+    host, day = F.col("host"), F.col("n") % 300
+    paths = pages.filter(F.size(parts) > 0).select(path.alias("path")).filter(md5_int("path", F.col("path")) % 20 == 0).distinct()
+    entries = (
+        entry(hosts.filter("n % 10 < 5"), "block", host, day, "add")
+        .unionByName(entry(hosts.filter("n % 10 < 4"), "block", host, day + 40, "remove"))
+        .unionByName(entry(hosts.filter("n % 10 < 2"), "block", host, day + 100, "add"))
+        .unionByName(entry(hosts.filter("n % 3 = 0"), "allow", F.concat(host, F.lit("/en")), F.col("n") % 200, "add"))
+        .unionByName(entry(hosts, "block", domain, F.lit(200), "add"))
+        .unionByName(entry(hosts, "block", domain, F.lit(230), "remove"))
+        .unionByName(entry(paths, "block", F.col("path"), F.lit(90), "add"))
+    )
+    return urls.judge(pages, entries).select(
+        "page_id", F.col("at").alias("fetch_day"), "n_active", "pattern", "list", "since", "blocked"
+    )
