@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chorale.llm import chat, mixing, quality, shards, urls
+from chorale.llm import chat, exact, mixing, packing, quality, shards, urls
 from chorale.llm.common import SPACE, md5_int, ranked, table
 from chorale.session import materialize
 
@@ -233,3 +233,23 @@ def _(spark, d):
     return urls.judge(pages, entries).select(
         "page_id", F.col("at").alias("fetch_day"), "n_active", "pattern", "list", "since", "blocked"
     )
+
+
+@query(
+    "op5_exact_dedup",
+    r"""WITH n AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS t FROM documents),
+g AS (SELECT t, min(doc_id) AS keep_id, count(*) AS size FROM n GROUP BY t)
+SELECT doc_id, keep_id, size AS group_size, doc_id = keep_id AS kept, sha256(n.t) AS text_sha256 FROM n JOIN g ON g.t = n.t""",
+)
+def _(spark, d):
+    done = exact.duplicates(table(spark, d, "documents"))
+    return done.select(F.col("key").alias("doc_id"), F.col("keep").alias("keep_id"), "group_size", "kept", "text_sha256")
+
+
+@query("op9_packing")
+def _(spark, d):
+    """No SQL: it has no tokenizer. Tests hold ids against whole texts and sequences against their budget."""
+    import public_tokenizers
+
+    rows = packing.tokenized(table(spark, d, "documents"), *map(public_tokenizers.path, ("byte_bpe_50k.json", "byte_bpe_50k.tiktoken")))
+    return packing.packed(rows).withColumnRenamed("key", "doc_id")
