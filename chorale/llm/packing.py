@@ -56,8 +56,9 @@ class _Words:
 
     def _joined(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all words, each after a space, and how many each has."""
-        text = " ".join(["", *words.to_pylist()])
-        ids = np.array(self.fast.encode_ordinary(text), np.int64)
+        one = pa.ListArray.from_arrays(pa.array([0, len(words)], pa.int32()), words)
+        text = " " + pa.compute.binary_join(one, pa.scalar(" ", words.type))[0].as_py()
+        ids = self.fast.encode_to_numpy(text) if len(words) else np.zeros(0, np.uint32)
         ends = np.cumsum(pa.compute.binary_length(words).to_numpy(zero_copy_only=False).astype(np.int64) + 1)
         upto = np.searchsorted(np.cumsum(self.bytes[ids]), ends, side="right")
         return ids, np.diff(upto, prepend=0)
@@ -83,7 +84,7 @@ class _Words:
         ids, sizes = self._joined(coded.dictionary)
         # The first word of a text follows no space; it stands for itself.
         heads = [np.array(self.fast.encode_ordinary(w), np.int64) for w in words.take(pa.array(first)).to_pylist()]
-        pool = np.concatenate([ids, *heads])
+        pool = np.concatenate([ids.astype(np.int64), *heads])
         sizes = np.concatenate([sizes, np.fromiter(map(len, heads), np.int64, len(heads))])
         starts = np.cumsum(sizes) - sizes
         numbers = np.empty(len(words), np.int64)
