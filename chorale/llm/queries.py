@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chorale.llm import chat, exact, mixing, packing, quality, shards, urls
+from chorale.llm import chat, exact, langid, mixing, packing, quality, shards, urls
 from chorale.llm.common import SPACE, md5_int, ranked, table
 from chorale.session import materialize
 
@@ -253,3 +253,14 @@ def _(spark, d):
 
     rows = packing.tokenized(table(spark, d, "documents"), *map(public_tokenizers.path, ("byte_bpe_50k.json", "byte_bpe_50k.tiktoken")))
     return packing.packed(rows).withColumnRenamed("key", "doc_id")
+
+
+@query("op3_language_id")
+def _(spark, d):
+    """No SQL: EM. Tests hold accuracy on held-out rows and on made mixtures."""
+    docs = table(spark, d, "documents")
+    fold = F.coalesce(langid.remainder("doc_id", 4), F.lit(0))
+    model = langid.fit(docs.filter(fold != 2))
+    done = langid.predict(docs, model)
+    held = F.coalesce(langid.remainder("key", 4) == 2, F.lit(False))
+    return done.select(F.col("key").alias("doc_id"), held.alias("held_out"), "lang_pred", "score", "shares")
