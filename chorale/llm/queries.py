@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chorale.llm import chat, exact, langid, mixing, packing, quality, shards, urls
+from chorale.llm import chat, exact, langid, mixing, packing, quality, scoring, shards, urls
 from chorale.llm.common import SPACE, md5_int, ranked, table
 from chorale.session import materialize
 
@@ -264,3 +264,15 @@ def _(spark, d):
     done = langid.predict(docs, model)
     held = F.coalesce(langid.remainder("key", 4) == 2, F.lit(False))
     return done.select(F.col("key").alias("doc_id"), held.alias("held_out"), "lang_pred", "score", "shares")
+
+
+@query("op4_lm_scoring")
+def _(spark, d):
+    """No SQL for the mixed model. Tests hold the counts against brute force and the score on held-out rows."""
+    docs = table(spark, d, "documents")
+    fold = F.coalesce(langid.remainder("doc_id", 5), F.lit(0))
+    model = scoring.fit(docs.filter(fold != 1))
+    held = F.coalesce(langid.remainder("key", 5) == 1, F.lit(False)).alias("held_out")
+    return scoring.score(docs, model).select(
+        F.col("key").alias("doc_id"), held, "n_tokens", "n_known", "train_tokens", "base_score", "score"
+    )
