@@ -82,8 +82,9 @@ def salted(left: DataFrame, right: DataFrame, keys: Sequence[str], row: str, how
     """``equi`` for a left side in which one key may hold a third of all rows.
 
     Left rows are dealt into ``salts`` parts by their ``row`` id; the right
-    side, which has few rows a key, is repeated for each part.
+    side, which has few rows a key, is repeated for each part and merged: a
+    repeated table is no small one.
     """
     part = F.pmod(F.xxhash64(row), F.lit(salts)).alias("_salt")
     every = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))).alias("_salt")
-    return equi(left.select("*", part), right.select("*", every), [*keys, "_salt"], how).drop("_salt")
+    return equi(left.select("*", part), right.select("*", every).hint("merge"), [*keys, "_salt"], how).drop("_salt")

@@ -71,7 +71,7 @@ def judge(captures: DataFrame, entries: DataFrame, salts: int = SALTS) -> DataFr
     salt = F.pmod(F.xxhash64("row"), F.lit(salts))
     keyed = rows.filter("at IS NOT NULL").select("row", "at", salt.alias("salt"), F.explode(patterns_of(F.col("url"))).alias("pattern"))
     spans = intervals(entries).withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))))
-    active = keyed.join(spans, ["pattern", "salt"]).filter("since <= at AND (until IS NULL OR at < until)")
+    active = keyed.join(spans.hint("merge"), ["pattern", "salt"]).filter("since <= at AND (until IS NULL OR at < until)")
     best = F.max(F.struct(F.length("pattern").alias("size"), (F.col("list") == "block").alias("block"), "pattern", "list", "since"))
     # Captures come along in the grouping, so that none is lost and nothing is joined back.
     both = rows.select("row", "page_id", "url", "at", F.lit(None).cast(active.select(best).dtypes[0][1]).alias("hit"), F.lit(0).alias("n"))
