@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chorale.llm import chat, exact, langid, mixing, packing, quality, scoring, shards, urls
+from chorale.llm import chat, exact, jaccard, langid, mixing, packing, quality, scoring, shards, urls
 from chorale.llm.common import SPACE, md5_int, ranked, table
 from chorale.session import materialize
 
@@ -276,3 +276,12 @@ def _(spark, d):
     return scoring.score(docs, model).select(
         F.col("key").alias("doc_id"), held, "n_tokens", "n_known", "train_tokens", "base_score", "score"
     )
+
+
+@query(
+    "op6_ngram_jaccard_join",
+)
+def _(spark, d):
+    """No SQL: components of all pairs are too slow on whole tables. Tests hold it against all pairs."""
+    done = jaccard.similar(table(spark, d, "documents"), words=4, share=85)
+    return done.select(F.col("key").alias("doc_id"), "n_shingles", F.col("component").alias("component_id"))
