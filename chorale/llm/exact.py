@@ -23,13 +23,15 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from chorale.llm.common import pieces, salted
+from chorale.llm.common import equi, pieces, salted
 from chorale.session import materialize
 
 # Bytes of a chunk: least, most, and the bits that make a cut (2 KB on average beyond the least).
 LEAST, MOST, CUT_BITS = 256, 16_384, 11
 # Bytes that a cut depends on (a power of two), and bytes hashed at once.
 REACH, STRETCH = 32, 1 << 20
+# The column that tells rows of one key apart while documents are joined.
+PRINT = "_chorale_print"
 _BLANKS = bytes.maketrans(b"\t\n\x0b\x0c\r", b"     ")
 _GEAR = np.random.default_rng(20).integers(0, 1 << 32, 256, dtype=np.uint32)
 
@@ -88,8 +90,8 @@ def _recipes(bits: int):
                 digests.append(hashlib.sha256(text).hexdigest())
                 lists.append(_hashes(chunks(text), bits))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("key"), batch.column("row"), pa.array(digests, pa.string()), pa.array(lists, pa.list_(pa.int64()))],
-                names=["key", "row", "text_sha256", "recipe"],
+                [batch.column("key"), batch.column("row"), batch.column("print"), pa.array(digests, pa.string()), pa.array(lists, pa.list_(pa.int64()))],
+                names=["key", "row", "print", "text_sha256", "recipe"],
             )
 
     return run
@@ -115,14 +117,16 @@ def _contents(bits: int):
 
 
 def recipes(docs: DataFrame, key: str = "doc_id", text: str = "text", bits: int = 64) -> DataFrame:
-    """(key, row, text_sha256, recipe, variants): equal normalised texts, and no others, have equal lists.
+    """(key, row, print, text_sha256, recipe, variants): equal normalised texts, and no others, have equal lists.
 
     ``variants`` numbers the contents of hashes that stand for several; it is
     empty for all other texts.
     """
     rows = docs.select(F.col(key).alias("key"), F.monotonically_increasing_id().alias("row"), F.col(text).cast("binary").alias("text"))
     kind = rows.schema["key"].dataType.simpleString()
-    made = rows.mapInArrow(_recipes(bits), f"key {kind}, row long, text_sha256 string, recipe array<long>")
+    # A print of the text as it is tells rows of one key apart.
+    printed = rows.withColumn("print", F.xxhash64("text"))
+    made = printed.mapInArrow(_recipes(bits), f"key {kind}, row long, print long, text_sha256 string, recipe array<long>")
     made = materialize(made, "recipes")
     content = rows.select("row", "text").mapInArrow(_contents(bits), "row long, at long, hash long, chunk binary")
     # Each content moves once: distinct in its task first, then by hash and content.
@@ -142,7 +146,7 @@ def recipes(docs: DataFrame, key: str = "doc_id", text: str = "text", bits: int
 
 
 def duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", bits: int = 64) -> DataFrame:
-    """Per row: key, keep (key of the row that stays), group_size, kept, text_sha256."""
+    """Per row: key, print, keep (key of the row that stays), group_size, kept, text_sha256."""
     lists = recipes(docs, key, text, bits)
     same = ["recipe", "variants"]
     groups = lists.groupBy(*same).agg(F.min(F.struct("key", "row")).alias("first"), F.count("*").alias("size"))
@@ -150,9 +154,21 @@ def duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", bits: i
     # A third of all rows may be copies of one text.
     joined = salted(lists, groups, same, "row", "left")
     return joined.select(
-        "key",
+        "key", "print",
         F.when(F.col("first").isNull(), F.col("key")).otherwise(F.col("first.key")).alias("keep"),
         F.coalesce("size", F.lit(1)).cast("long").alias("group_size"),
         (F.col("first").isNull() | (F.col("first.row") == F.col("row"))).alias("kept"),
         "text_sha256",
     )
+
+
+def unique(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """The rows of ``docs`` that stay, as they are."""
+    kept = duplicates(docs, key, text).filter("kept").select(F.col("key").alias(key), F.col("print").alias(PRINT))
+    kept = materialize(kept, "kept")
+    printed = docs.withColumn(PRINT, F.xxhash64(F.col(text).cast("binary")))
+    stay = equi(printed, kept, [key, PRINT], "left_semi")
+    if docs.count() != docs.select(key).distinct().count():
+        # Rows may repeat key and text; one of them stays.
+        stay = stay.dropDuplicates([key, PRINT])
+    return stay.drop(PRINT)

@@ -378,3 +378,12 @@ def similar(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int
     return salted(done, materialize(table, "named"), ["class"], "row", "left").select(
         "key", F.col("n").alias("n_shingles"), F.coalesce("component", "key").alias("component")
     )
+
+
+def representatives(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = 5, share: int = 80) -> DataFrame:
+    """The rows of ``docs`` whose key names their component, as they are: one document of each group.
+
+    Rows that share a key are one document.
+    """
+    found = similar(docs, key, text, words, share).filter("key <=> component")
+    return equi(docs, materialize(found.select(F.col("key").alias(key)).distinct(), "kept"), [key], "left_semi")

@@ -197,20 +197,28 @@ def infer(scores: np.ndarray, first: np.ndarray) -> np.ndarray:
     return chosen
 
 
+def _judged(texts: list[str | None], langs: list[str], logp: np.ndarray) -> tuple[list[str], list[float], list[np.ndarray | None]]:
+    """Language, its share, and all shares, of each text."""
+    # A letter: any of the alphabet, in whatever script.
+    live = [i for i, t in enumerate(texts) if t and langs and any(map(str.isalpha, t))]
+    pred, score, mix = [UNKNOWN] * len(texts), [0.0] * len(texts), [None] * len(texts)
+    if live:
+        shares = infer(*_stretch_scores([texts[i].encode(errors="replace") for i in live], logp))
+        for i, own in zip(live, shares, strict=True):
+            at = int(own.argmax())
+            pred[i], score[i], mix[i] = langs[at], min(1.0, float(own[at])), own
+    return pred, score, mix
+
+
 def _predictor(langs: list[str], model, schema: pa.Schema):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         logp = model.value
         for batch in pieces(batches, "text"):
-            texts = batch.column("text").to_pylist()
-            # A letter: any of the alphabet, in whatever script.
-            live = [i for i, t in enumerate(texts) if t and langs and any(map(str.isalpha, t))]
-            pred, score, mix = [UNKNOWN] * len(texts), [0.0] * len(texts), [[] for _ in texts]
-            if live:
-                shares = infer(*_stretch_scores([texts[i].encode(errors="replace") for i in live], logp))
-                for i, own in zip(live, shares, strict=True):
-                    at = int(own.argmax())
-                    pred[i], score[i] = langs[at], min(1.0, float(own[at]))
-                    mix[i] = [{"lang": langs[j], "share": float(own[j])} for j in np.flatnonzero(own > 1e-9)]
+            pred, score, shares = _judged(batch.column("text").to_pylist(), langs, logp)
+            mix = [
+                [] if own is None else [{"lang": langs[j], "share": float(own[j])} for j in np.flatnonzero(own > 1e-9)]
+                for own in shares
+            ]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("key"), pa.array(pred), pa.array(score, pa.float64()), pa.array(mix, schema.field("shares").type)],
                 schema=schema,
@@ -233,6 +241,19 @@ def predict(docs: DataFrame, model: tuple[list[str], np.ndarray], key: str = "do
     return rows.mapInArrow(_predictor(langs, held, schema), spark_schema)
 
 
+def identified(docs: DataFrame, model: tuple[list[str], np.ndarray], text: str = "text") -> DataFrame:
+    """The rows of ``docs`` that have a language, as they are; no row moves."""
+    langs, logp = model
+    held = docs.sparkSession.sparkContext.broadcast(logp)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in pieces(batches, text):
+            pred, _, _ = _judged(batch.column(text).to_pylist(), langs, held.value)
+            yield batch.filter(pa.array([p != UNKNOWN for p in pred], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def remainder(key: str, parts: int) -> Column:
     """The fold of a row: a digest of its key."""
     return F.crc32(F.col(key).cast("string").cast("binary")) % parts

@@ -25,10 +25,12 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from chorale.llm.common import equi, md5_int
+from chorale.llm.common import SPACE, equi, md5_int
 from chorale.session import materialize
 
 BLOCKS = 1024
+# Columns that go with documents while they are joined.
+PRINT, COPIES = "_chorale_print", "_chorale_copies"
 # Exponents tried in one pass over the sources: a bisection of several steps at once.
 GRID = 32
 
@@ -138,3 +140,19 @@ def mix(
         ((F.col("copy") < F.col("passes")) | (F.col("before") + upto <= F.col("rest"))).alias("within"),
     )
     return placed.filter("within").drop("within")
+
+
+def mixed(docs: DataFrame, key: str = "doc_id", text: str = "text", max_repetition: float = 1.5) -> DataFrame:
+    """The rows of ``docs`` as often as they are drawn; tokens are words."""
+    words = F.size(F.filter(F.split(F.coalesce(text, F.lit("")), SPACE), lambda w: w != ""))
+    printed = docs.withColumn(PRINT, F.xxhash64(text))
+    counted = printed.select(key, PRINT, "source", words.alias("n_tokens"))
+    drawn = mix(counted, [key, PRINT], max_repetition=max_repetition)
+    # Rows that repeat key and text are drawn each, and share their copies.
+    copies = drawn.groupBy(key, PRINT).agg(F.count("*").alias(COPIES))
+    times = counted.groupBy(key, PRINT).agg(F.count("*").alias("_rows"))
+    copies = materialize(
+        equi(copies, times, [key, PRINT]).select(key, PRINT, F.ceil(F.col(COPIES) / F.col("_rows")).alias(COPIES)), "copies"
+    )
+    joined = equi(printed, copies, [key, PRINT]).withColumn(COPIES, F.explode(F.sequence(F.lit(1).cast("long"), F.col(COPIES))))
+    return joined.drop(PRINT, COPIES)
