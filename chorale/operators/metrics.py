@@ -14,13 +14,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from chorale.operators.sampling import sample_exact
-from chorale.session import SMALL_ROWS, small_side
+from chorale.session import SMALL_ROWS, materialize, small_side
 
 
-def _pair_counts(df: DataFrame, truth: str, pred: str) -> DataFrame:
-    return df.groupBy(F.col(truth).alias("truth"), F.col(pred).alias("pred")).agg(
-        F.count(F.lit(1)).alias("n")
-    )
+def _pair_counts(df: DataFrame, truth: str, pred: str, weight: str | None = None) -> DataFrame:
+    """Rows per pair; with ``weight``, rows are counted already."""
+    n = F.count(F.lit(1)) if weight is None else F.sum(weight)
+    return df.groupBy(F.col(truth).alias("truth"), F.col(pred).alias("pred")).agg(n.alias("n"))
 
 
 def _per_label(pairs: DataFrame) -> DataFrame:
@@ -60,18 +60,20 @@ def _labels_frame(df: DataFrame, labels: Sequence) -> DataFrame:
     return df.sparkSession.createDataFrame([(v,) for v in labels], ["label"])
 
 
-def class_scores(df: DataFrame, truth: str, pred: str, labels: Sequence | None = None) -> DataFrame:
+def class_scores(
+    df: DataFrame, truth: str, pred: str, labels: Sequence | None = None, weight: str | None = None
+) -> DataFrame:
     """(label, precision, recall, f1, support), zero where undefined."""
-    scored = _scored(_per_label(_pair_counts(df, truth, pred))).drop("hits")
+    scored = _scored(_per_label(_pair_counts(df, truth, pred, weight))).drop("hits")
     if labels is None:
         return scored
     return _labels_frame(df, labels).join(scored, "label", "left").na.fill(0)
 
 
-def overall_scores(df: DataFrame, truth: str, pred: str) -> DataFrame:
+def overall_scores(df: DataFrame, truth: str, pred: str, weight: str | None = None) -> DataFrame:
     """(accuracy, macro_f1, weighted_f1, n) in one row."""
     n = F.sum("support")
-    return _scored(_per_label(_pair_counts(df, truth, pred))).agg(
+    return _scored(_per_label(_pair_counts(df, truth, pred, weight))).agg(
         (F.sum("hits") / n).alias("accuracy"),
         F.avg("f1").alias("macro_f1"),
         (F.sum(F.col("f1") * F.col("support")) / n).alias("weighted_f1"),
@@ -223,41 +225,56 @@ def davies_bouldin(df: DataFrame, vector: str, cluster: str) -> DataFrame:
     return df.sparkSession.createDataFrame([(float(np.mean(worst)),)], "davies_bouldin double")
 
 
-SILHOUETTE_ROWS = 3_000
+# Rows in a block of the silhouette's distances.
+BLOCK_ROWS = 2_048
 
 
 def silhouette(
-    df: DataFrame, vector: str, cluster: str, key: Sequence[str], sample: int = SILHOUETTE_ROWS, seed: int = 42
+    df: DataFrame, vector: str, cluster: str, key: Sequence[str], sample: int | None = None, seed: int = 42
 ) -> DataFrame:
-    """Mean Euclidean silhouette of at most ``sample`` rows.
+    """Mean Euclidean silhouette of all rows, or of ``sample`` of them where asked for.
 
-    The sample is the definition of the score, so its rows are a bounded table
-    that every task may hold; the distances are matrix products in Arrow batches.
+    Blocks of rows meet blocks of rows; each meeting gives, for every row of one
+    block, its summed distances to the clusters in the other. No pair of rows
+    leaves a task, and a task holds two blocks.
     """
-    rows = sample_exact(
-        df.select(*key, F.col(vector).cast("array<double>").alias("v"), F.col(cluster).cast("string").alias("c")),
-        sample, key, seed,
-    ).select("v", "c")
-    held = rows.toPandas()
-    points = np.array(held["v"].tolist())
-    names, codes = np.unique(held["c"].to_numpy(dtype=str), return_inverse=True)
-    member = np.eye(len(names))[codes]
-    sizes = member.sum(axis=0)
-    norms = (points**2).sum(axis=1)
-
-    def score(batches):
-        for pdf in batches:
-            x = np.array(pdf["v"].tolist())
-            own = np.searchsorted(names, pdf["c"].to_numpy(dtype=str))
-            squared = (x**2).sum(axis=1)[:, None] + norms[None, :] - 2 * x @ points.T
-            total = np.sqrt(np.maximum(squared, 0)) @ member
-            row = np.arange(len(x))
-            inner = total[row, own] / np.maximum(sizes[own] - 1, 1)
-            mean = total / sizes
-            mean[row, own] = np.inf
-            outer = mean.min(axis=1)
-            s = (outer - inner) / np.maximum(np.maximum(outer, inner), 1e-300)
-            s[sizes[own] == 1] = 0.0
-            yield pd.DataFrame({"s": s})
-
-    return rows.mapInPandas(score, "s double").agg(F.avg("s").alias("silhouette"))
+    rows = df.select(*key, F.col(vector).cast("array<double>").alias("v"), F.col(cluster).cast("string").alias("c"))
+    if sample is not None:
+        rows = sample_exact(rows, sample, key, seed)
+    rows = materialize(rows.select("v", "c", F.xxhash64(*key).alias("k")), "silhouette")
+    sizes = rows.groupBy("c").agg(F.count(F.lit(1)).alias("size"))
+    blocks = -(-rows.count() // BLOCK_ROWS) or 1
+    own = F.pmod("k", F.lit(blocks))
+    every = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long")))
+    asked = rows.select("v", "c", "k", F.lit(0).alias("side"), own.alias("a"), every.alias("b"))
+    held = rows.select("v", "c", "k", F.lit(1).alias("side"), every.alias("a"), own.alias("b"))
+
+    def distances(pdf: pd.DataFrame) -> pd.DataFrame:
+        mine, other = pdf[pdf.side == 0], pdf[pdf.side == 1]
+        if mine.empty or other.empty:
+            return pd.DataFrame({"row": [], "c": [], "other": [], "total": []})
+        x, y = np.array(mine.v.tolist()), np.array(other.v.tolist())
+        names, codes = np.unique(other.c.to_numpy(dtype=str), return_inverse=True)
+        squared = (x**2).sum(axis=1)[:, None] + (y**2).sum(axis=1)[None, :] - 2 * x @ y.T
+        total = np.sqrt(np.maximum(squared, 0)) @ np.eye(len(names))[codes]
+        return pd.DataFrame(
+            {
+                "row": np.repeat(mine["id"].to_numpy(), len(names)),
+                "c": np.repeat(mine.c.to_numpy(), len(names)),
+                "other": np.tile(names, len(mine)),
+                "total": total.ravel(),
+            }
+        )
+
+    both = asked.unionByName(held).withColumn("id", F.col("k"))
+    met = both.groupBy("a", "b").applyInPandas(distances, "row long, c string, other string, total double")
+    summed = met.groupBy("row", "c", "other").agg(F.sum("total").alias("total"))
+    sized = summed.join(sizes.withColumnRenamed("c", "other"), "other")
+    same = F.col("c") == F.col("other")
+    means = sized.groupBy("row", "c").agg(
+        F.max(F.when(same, F.col("total") / F.greatest(F.col("size") - 1, F.lit(1)))).alias("inner"),
+        F.max(F.when(same, F.col("size"))).alias("own"),
+        F.min(F.when(~same, F.col("total") / F.col("size"))).alias("outer"),
+    )
+    s = (F.col("outer") - F.col("inner")) / F.greatest("outer", "inner", F.lit(1e-300))
+    return means.agg(F.avg(F.when(F.col("own") == 1, 0.0).otherwise(s)).alias("silhouette"))

@@ -24,21 +24,21 @@ def class_counts(df: DataFrame, label: str) -> DataFrame:
     )
 
 
-def _share(n: Column) -> Column:
-    """Share of a count in the total of all (already grouped) rows."""
-    return n / F.sum(n).over(Window.partitionBy(F.lit(1)))
+def _share(counts: DataFrame) -> Column:
+    """Share of each ``n`` in their sum: one number from a subquery, however many labels."""
+    return F.col("n") / counts.agg(F.sum("n")).scalar()
 
 
 def distribution_report(df: DataFrame, label: str) -> DataFrame:
     """Rows and percentage per label; null is a label here."""
-    return df.groupBy(label).agg(F.count(F.lit(1)).alias("n")).withColumn(
-        "pct", F.bround(_share(F.col("n")) * 100, 2)
-    )
+    counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("n"))
+    return counts.withColumn("pct", F.bround(_share(counts) * 100, 2))
 
 
 def class_shares(df: DataFrame, label: str) -> DataFrame:
     """Share per label to three digits."""
-    return class_counts(df, label).select(label, F.bround(_share(F.col("n")), 3).alias("share"))
+    counts = class_counts(df, label)
+    return counts.select(label, F.bround(_share(counts), 3).alias("share"))
 
 
 def counts_with_zeros(df: DataFrame, label: str, targets: Sequence[str]) -> DataFrame:
@@ -90,13 +90,13 @@ def top_words(
     text: str,
     key: Sequence[str],
     top_k: int = 25,
-    texts_per_label: int | None = 2000,
+    texts_per_label: int | None = None,
     stop_words: Sequence[str] = REPORT_STOP_WORDS,
 ) -> DataFrame:
     """Most frequent words per label, ties in word order.
 
-    Counts the first ``texts_per_label`` texts of a label in key order, or all
-    of them when it is None.
+    Counts all texts, or the first ``texts_per_label`` of a label in key order
+    where a number is asked for.
     """
     rows = df.filter(F.col(label).isNotNull()).select(*dict.fromkeys([label, text, *key]))
     if texts_per_label is not None:

@@ -57,15 +57,17 @@ def _cuts(
     upto = F.sum("_n").over(Window.partitionBy("_class").orderBy("_prefix"))
     hit = (
         prefixes.withColumn("_hi", upto)
-        .join(wanted, "_class")
+        .join(wanted.withColumnRenamed("_class", "_wanted"), F.col("_class").eqNullSafe(F.col("_wanted")))
         .filter((F.col("_hi") >= F.col("_take")) & (F.col("_hi") - F.col("_n") < F.col("_take")))
         .select("_class", "_prefix", "_cut", (F.col("_take") - F.col("_hi") + F.col("_n")).alias("_nth"))
     )
     inside = (
         df.select(cls.alias("_class"), rank.alias("_rank"))
         .withColumn("_prefix", F.substring("_rank", 1, PREFIX_DIGITS))
-        .join(small_side(hit), ["_class", "_prefix"])
     )
+    hit = small_side(hit.withColumnsRenamed({"_class": "_hit", "_prefix": "_at_prefix"}))
+    same = F.col("_class").eqNullSafe(F.col("_hit")) & (F.col("_prefix") == F.col("_at_prefix"))
+    inside = inside.join(hit, same)
     nth = F.row_number().over(Window.partitionBy("_class", "_prefix", "_cut").orderBy("_rank"))
     return (
         inside.withColumn("_row", nth)
@@ -99,7 +101,11 @@ def _with_cuts(df: DataFrame, cls: Column, cuts: DataFrame, names: Sequence[str]
 def take_per_class(
     df: DataFrame, cls: Column, key: Sequence[str], n: int, seed: int
 ) -> DataFrame:
-    """At most ``n`` rows of every class: those with the lowest digests."""
+    """At most ``n`` rows of every class, null being one: those with the lowest digests."""
+    if n < 0:
+        raise ValueError(f"rows wanted: {n}")
+    if n == 0:
+        return df.limit(0)
     rank = digest_rank(seed, *key)
     prefixes = _prefix_counts(df, cls, rank).persist()
     try:
@@ -119,17 +125,44 @@ def sample_exact(df: DataFrame, n: int, key: Sequence[str], seed: int = 42) -> D
 
 
 def first_n(df: DataFrame, n: int, key: str) -> DataFrame:
-    """The ``n`` rows with the lowest value of a unique numeric key."""
+    """The ``n`` rows with the lowest value of a numeric key; which of equal ones is open."""
     from chorale.operators.quantiles import nth_value
 
+    if n < 0:
+        raise ValueError(f"rows wanted: {n}")
+    if n == 0:
+        return df.limit(0)
     cut = nth_value(df, key, n)
-    return df if cut is None else df.filter(F.col(key) <= F.lit(cut))
+    if cut is None:
+        return df
+    upto = df.filter(F.col(key) <= F.lit(cut))
+    below, at = (df.filter(c).count() for c in (F.col(key) < F.lit(cut), F.col(key) == F.lit(cut)))
+    if below + at == n:
+        return upto
+    return df.filter(F.col(key) < F.lit(cut)).unionByName(df.filter(F.col(key) == F.lit(cut)).limit(n - below))
 
 
 def filter_targets(df: DataFrame, label: str, targets: Iterable[str]) -> DataFrame:
     return df.filter(F.col(label).isin(list(targets)))
 
 
+STRATEGIES = ("undersample", "cap", "none")
+
+
+def check_balancing(strategy: str, samples_per_class: int) -> None:
+    """Settings that no table could satisfy are refused before any job runs."""
+    if strategy not in STRATEGIES:
+        raise ValueError(f"strategy {strategy!r} is none of {', '.join(STRATEGIES)}")
+    if samples_per_class < 0:
+        raise ValueError(f"samples_per_class is below zero: {samples_per_class}")
+
+
+def check_split_sizes(test_size: float, val_size: float) -> None:
+    """Test rows there must be, and rows must be left for training."""
+    if not 0 < test_size < 1 or not 0 <= val_size < 1 or test_size + val_size >= 1:
+        raise ValueError(f"no rows for one side: test {test_size}, validation {val_size}")
+
+
 def balance(
     df: DataFrame,
     label: str,
@@ -144,8 +177,7 @@ def balance(
     ``undersample`` and ``cap`` keep the same rows: both leave a class at or
     below the limit whole. ``none`` only filters to the targets.
     """
-    if strategy not in ("undersample", "cap", "none"):
-        raise ValueError(f"unknown strategy: {strategy!r}")
+    check_balancing(strategy, samples_per_class)
     if targets is not None:
         df = filter_targets(df, label, targets)
     if strategy == "none":
@@ -205,8 +237,8 @@ def split_quotas(counts: dict, test_size: float, val_size: float) -> dict:
         total = sum(sizes.values())
         share = {c: divmod(n * kept, total) for c, n in sizes.items()}
         spare = kept - sum(q for q, _ in share.values())
-        order = sorted(share, key=lambda c: (-share[c][1], str(c)))
-        return {c: share[c][0] + (c in order[:spare]) for c in sizes}
+        extra = set(sorted(share, key=lambda c: (-share[c][1], str(c)))[:spare])
+        return {c: share[c][0] + (c in extra) for c in sizes}
 
     def check(sizes: dict, held_out: int) -> None:
         small = [c for c, n in sizes.items() if n < 2]
@@ -243,17 +275,17 @@ def stratified_split(
     this function are read three times (two narrow passes), so hand it a table
     that is cheap to read.
     """
-    if not 0 < test_size < 1:
-        raise ValueError("test_size must be in (0, 1)")
-    if not 0 <= val_size < 1:
-        raise ValueError("val_size must be in [0, 1)")
+    check_split_sizes(test_size, val_size)
     if dedupe_on:
         df = dedupe(df, dedupe_on, key, seed)
     cls = F.col(label) if label in df.columns else F.lit("all")
     rank = digest_rank(seed, *key)
     prefixes = _prefix_counts(df, cls, rank).persist()
     try:
-        quotas = split_quotas(class_totals(prefixes, "_class", "_n"), test_size, val_size)
+        totals = class_totals(prefixes, "_class", "_n")
+        if None in totals:
+            raise ValueError(f"{totals[None]} rows without {label!r} cannot be split by it")
+        quotas = split_quotas(totals, test_size, val_size)
         takes = []
         for c, (train, val, _) in quotas.items():
             takes += [(c, "train", train), (c, "val", train + val)]

@@ -144,10 +144,8 @@ class Pipeline:
         return write_dataset(data.full, data.parts, "genre", output_dir, "audio")
 
     def run_lyrics(self, spark, path: str, output_dir: str, sample_n: int | None = None) -> dict:
-        if sample_n is None:
-            lyrics = load_lyrics(spark, path)
-        else:
-            lyrics = load_lyrics(spark, path, nrows=min(3 * sample_n, 3_000_000), sample_n=sample_n)
+        # A sample is drawn from all rows: a prefix of the ids would favour old entries.
+        lyrics = load_lyrics(spark, path, sample_n=sample_n)
         data = build_lyrics(lyrics, self.config)
         return write_dataset(data.full, data.parts, "genre", output_dir, "lyrics")
 

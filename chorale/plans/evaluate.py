@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 from collections.abc import Sequence
+from functools import reduce as reduce_frames
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -12,6 +13,7 @@ from chorale.config import TARGET_GENRES
 from chorale.operators import classify, cluster, metrics, reduce
 from chorale.operators.features import build_features, dense_matrix
 from chorale.operators.neighbours import knn_predict
+from chorale.session import materialize
 
 
 def predict_splits(
@@ -50,34 +52,31 @@ def predict_splits(
     return scored, {"bundle": bundle, "model": fitted, "labels": list(encoder.labels)}
 
 
+def prediction_counts(scored: DataFrame, label: str = "genre") -> DataFrame:
+    """(split, label, predicted, n): the one pass over the predictions; every score follows from it."""
+    counts = scored.groupBy("split", label, "predicted").agg(F.count(F.lit(1)).alias("n"))
+    return materialize(counts, "predictions")
+
+
 def supervised_metrics(scored: DataFrame, label: str = "genre", labels: Sequence[str] = TARGET_GENRES) -> DataFrame:
-    """(split, metric, label, value): overall and per-class scores."""
-    out = None
+    """(split, metric, label, predicted, value): overall scores, scores per class and the confusion matrix."""
+    counts = prediction_counts(scored, label)
+    tables = []
     for split in ("val", "test"):
-        rows = scored.filter(F.col("split") == split)
-        whole = metrics.overall_scores(rows, label, "predicted").select(
-            F.inline(
-                F.array(
-                    *[
-                        F.struct(F.lit(m).alias("metric"), F.lit(None).cast("string").alias("label"), F.col(m).alias("value"))
-                        for m in ("accuracy", "macro_f1", "weighted_f1")
-                    ]
-                )
-            )
-        )
-        single = metrics.class_scores(rows, label, "predicted", labels).select(
-            F.inline(
-                F.array(
-                    *[
-                        F.struct(F.lit(m).alias("metric"), F.col("label"), F.col(m).alias("value"))
-                        for m in ("f1", "recall", "precision")
-                    ]
-                )
-            )
-        )
-        both = whole.unionByName(single).withColumn("split", F.lit(split))
-        out = both if out is None else out.unionByName(both)
-    return out
+        rows = counts.filter(F.col("split") == split)
+        whole = metrics.overall_scores(rows, label, "predicted", "n")
+        single = metrics.class_scores(rows, label, "predicted", labels, "n")
+        tables += [
+            whole.unpivot([], ["accuracy", "macro_f1", "weighted_f1"], "metric", "value").withColumn("label", F.lit(None).cast("string")),
+            single.unpivot("label", ["f1", "recall", "precision"], "metric", "value"),
+        ]
+        tables[-2:] = [t.withColumn("split", F.lit(split)).withColumn("predicted", F.lit(None).cast("string")) for t in tables[-2:]]
+    pairs = counts.filter(F.col("split").isin("val", "test"))
+    tables.append(
+        pairs.select("split", F.lit("confusion").alias("metric"), F.col(label).alias("label"), "predicted", F.col("n").cast("double").alias("value"))
+    )
+    order = ["split", "metric", "label", "predicted", "value"]
+    return reduce_frames(DataFrame.unionByName, [t.select(order) for t in tables])
 
 
 def cluster_table(df: DataFrame, model: str, mode: str, key: str, k: int = 6, covariance: str = "full",
@@ -115,5 +114,5 @@ def projection_2d(clustered: DataFrame, key: str, label: str = "genre") -> DataF
 
 
 def to_json(table: DataFrame) -> str:
-    """A metrics table as JSON text; only for tables of a few rows."""
-    return json.dumps([r.asDict(recursive=True) for r in table.limit(10_000).collect()], indent=2, default=str)
+    """All rows of a metrics table as JSON text, fetched partition by partition."""
+    return json.dumps([r.asDict(recursive=True) for r in table.toLocalIterator()], indent=2, default=str)

@@ -663,7 +663,7 @@ SELECT lang, word, "count" FROM c
 QUALIFY row_number() OVER (PARTITION BY lang ORDER BY "count" DESC, word) <= 25"""
 
 
-@query("top_words", _top_words_sql(2000))
+@query("top_words", _top_words_sql(None))
 def _(spark, d):
     return profile.top_words(documents(spark, d), "lang", "text", ["doc_id"])
 
@@ -1401,8 +1401,7 @@ def _(spark, d):
 
 @query("mixture_sweep")
 def _(spark, d):
-    small = _matrix(spark, d).withColumn("x", F.slice("x", 1, 8))
-    return cluster.mixture_sweep(small, "x", (2, 3), restarts=1, max_iter=10)
+    return cluster.mixture_sweep(_matrix(spark, d), "x", (2, 3), restarts=1, max_iter=10)
 
 
 @query("pca_scores")

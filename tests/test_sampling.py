@@ -154,3 +154,34 @@ def test_many_classes_and_the_shuffled_fallback(spark, monkeypatch):
     monkeypatch.setattr(sampling, "small_side", lambda side: side)
     again = sorted((r["id"], r["split"]) for r in sampling.stratified_split(df, "genre", ["id"]).collect())
     assert again == want
+
+
+def test_no_rows_and_negative_numbers(spark):
+    rows = spark.range(100).withColumn("c", F.col("id") % 3)
+    assert sampling.sample_exact(rows, 0, ["id"]).count() == 0
+    assert sampling.first_n(rows, 0, "id").count() == 0
+    assert sampling.balance(rows, "c", ["id"], samples_per_class=0).count() == 0
+    for call in (lambda: sampling.sample_exact(rows, -1, ["id"]), lambda: sampling.first_n(rows, -1, "id"), lambda: sampling.balance(rows, "c", ["id"], samples_per_class=-1)):
+        with pytest.raises(ValueError):
+            call()
+
+
+def test_null_labels(spark):
+    """A null class is cut as others are; a split by a label that rows lack is refused."""
+    rows = spark.range(90).withColumn("c", F.when(F.col("id") % 3 > 0, F.col("id") % 3))
+    kept = sampling.take_per_class(rows, F.col("c"), ["id"], 7, 1)
+    assert {r["c"]: r["count"] for r in kept.groupBy("c").count().collect()} == {None: 7, 1: 7, 2: 7}
+    with pytest.raises(ValueError, match="30 rows"):
+        sampling.stratified_split(rows, "c", ["id"])
+
+
+def test_first_rows_of_equal_keys(spark):
+    rows = spark.createDataFrame([(k,) for k in (1, 2, 2, 2, 3)], "id long")
+    for n in range(6):
+        assert sorted(r.id for r in sampling.first_n(rows, n, "id").collect()) == [1, 2, 2, 2, 3][:n]
+
+
+def test_quotas_of_many_classes():
+    counts = {i: 6 + i % 5 for i in range(20_000)}
+    quotas = sampling.split_quotas(counts, 0.4, 0.3)
+    assert all(sum(quotas[c]) == n for c, n in counts.items())
