@@ -17,7 +17,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from chorale.config import CleaningConfig
 
 # --- Fixed values ------------------------------------------------------------
 # Unicode white space plus the four ASCII separators. Patterns that use it
@@ -173,8 +172,23 @@ def squeeze_whitespace(text: Column) -> Column:
     return F.regexp_replace(text, r"\n{3,}", "\n\n")
 
 
+# Steps of the cleaner that can be left out, and those that run unless told otherwise.
+OPTIONAL_STEPS = frozenset(
+    "fix_encoding normalize_unicode remove_section_markers remove_producer_tags remove_parentheticals lowercase".split()
+)
+USUAL_STEPS = OPTIONAL_STEPS - {"remove_parentheticals", "lowercase"}
+
+
+def cleaning_steps(**switches: bool) -> frozenset[str]:
+    """The usual steps with some switched on or off by name."""
+    unknown = switches.keys() - OPTIONAL_STEPS
+    if unknown:
+        raise ValueError(f"no such cleaning step: {', '.join(sorted(unknown))}")
+    return USUAL_STEPS.union(k for k, on in switches.items() if on).difference(k for k, on in switches.items() if not on)
+
+
 def clean(
-    df: DataFrame, text_col: str, out_col: str, cfg: CleaningConfig = CleaningConfig()
+    df: DataFrame, text_col: str, out_col: str, steps: frozenset[str] = USUAL_STEPS
 ) -> DataFrame:
     """Add ``out_col``: the cleaned text; null gives the empty string.
 
@@ -184,7 +198,7 @@ def clean(
     work = "_text"
     text = F.col(work)
     df = df.withColumn(work, F.coalesce(F.col(text_col).cast("string"), F.lit("")))
-    if cfg.fix_encoding:
+    if "fix_encoding" in steps:
         # One trip for both repairs: the character fixes that follow them do
         # not touch '&' or entity text, so the order is free.
         df = df.withColumn(work, _only_where(_repair_and_unescape, text, text.rlike("[ÂÃâð&]")))
@@ -193,17 +207,17 @@ def clean(
         df = df.withColumn(work, unescape_html(text))
         stage = text
     stage = remove_site_cruft(stage)
-    if cfg.remove_section_markers:
+    if "remove_section_markers" in steps:
         stage = remove_section_markers(stage)
-    if cfg.remove_parentheticals:
+    if "remove_parentheticals" in steps:
         stage = remove_parentheticals(stage)
-    if cfg.remove_producer_tags:
+    if "remove_producer_tags" in steps:
         stage = remove_producer_tags(stage)
     df = df.withColumn(work, stage)
-    if cfg.normalize_unicode:
+    if "normalize_unicode" in steps:
         df = df.withColumn(work, nfkc(text))
     stage = squeeze_whitespace(text)
-    if cfg.lowercase:
+    if "lowercase" in steps:
         stage = F.lower(stage)
     return df.withColumn(out_col, strip(stage)).drop(work)
 

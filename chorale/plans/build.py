@@ -8,10 +8,19 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from chorale.config import AUDIO_FEATURES, BalancingConfig, PipelineConfig
+from chorale.config import (
+    AUDIO_FEATURES,
+    LANGUAGES_KEPT,
+    ROWS_PER_CLASS,
+    SEED,
+    TARGET_GENRES,
+    TEST_SHARE,
+    VAL_SHARE,
+    WORDS_KEPT,
+)
 from chorale.functions.labels import map_by_substring, map_by_tag
 from chorale.functions.lexical import lexical_features
-from chorale.functions.text import between, clean, word_count
+from chorale.functions.text import USUAL_STEPS, between, clean, word_count
 from chorale.operators.catalogue import CatalogueTables
 from chorale.operators.guards import keep_columns, require_columns
 from chorale.operators.sampling import balance, filter_targets, stratified_split
@@ -22,6 +31,27 @@ from chorale.sources.sinks import write_dataset
 AUDIO_COLUMNS = ("track_id", "track_name", "artists", "popularity", "genre", *AUDIO_FEATURES)
 
 
+@dataclass(frozen=True)
+class Choices:
+    """What a build keeps of its input, and how it divides it.
+
+    ``per_class`` rows of each target are chosen (None: all of them); ``words``
+    is the length window of a cleaned text, ``held_out`` the test and
+    validation shares.
+    """
+
+    per_class: int | None = ROWS_PER_CLASS
+    targets: tuple[str, ...] = TARGET_GENRES
+    held_out: tuple[float, float] = (TEST_SHARE, VAL_SHARE)
+    seed: int = SEED
+    words: tuple[int, int] = WORDS_KEPT
+    languages: tuple[str, ...] = LANGUAGES_KEPT
+    steps: frozenset[str] = USUAL_STEPS
+
+
+USUAL = Choices()
+
+
 @dataclass(frozen=True)
 class Dataset:
     """``full`` is the balanced table; ``parts`` the deduplicated rows with a
@@ -32,9 +62,10 @@ class Dataset:
     parts: DataFrame
 
 
-def _balanced(df: DataFrame, key: Sequence[str], cfg: PipelineConfig) -> DataFrame:
-    b = cfg.balancing
-    return balance(df, "genre", key, b.strategy, b.samples_per_class, b.seed, cfg.target_genres)
+def _balanced(df: DataFrame, key: Sequence[str], choices: Choices) -> DataFrame:
+    if choices.per_class is None:
+        return filter_targets(df, "genre", choices.targets)
+    return balance(df, "genre", key, "undersample", choices.per_class, choices.seed, choices.targets)
 
 
 def balance_by_key(
@@ -42,8 +73,9 @@ def balance_by_key(
     survivors: DataFrame,
     key: Sequence[str],
     label: str,
-    b: BalancingConfig,
+    per_class: int,
     targets: Sequence[str] | None = None,
+    seed: int = SEED,
 ) -> DataFrame:
     """Rows of ``source`` that a balanced choice among ``survivors`` keeps.
 
@@ -54,28 +86,27 @@ def balance_by_key(
     they are few and shuffles otherwise.
     """
     narrow = materialize(survivors.select(*key, label), "survivors")
-    chosen = balance(narrow, label, key, b.strategy, b.samples_per_class, b.seed, targets)
+    chosen = balance(narrow, label, key, "undersample", per_class, seed, targets)
     return source.join(materialize(chosen.select(*key), "chosen"), list(key), "left_semi")
 
 
-def _split(full: DataFrame, key: Sequence[str], on: Sequence[str], cfg: PipelineConfig) -> DataFrame:
-    s = cfg.splitting
-    return stratified_split(full, s.stratify_on, key, on, s.test_size, s.val_size, s.seed)
+def _split(full: DataFrame, key: Sequence[str], on: Sequence[str], choices: Choices) -> DataFrame:
+    return stratified_split(full, "genre", key, on, *choices.held_out, choices.seed)
 
 
-def build_audio(catalogue: DataFrame, cfg: PipelineConfig = PipelineConfig()) -> Dataset:
+def build_audio(catalogue: DataFrame, choices: Choices = USUAL) -> Dataset:
     """Label, project, balance and split a joined catalogue.
 
     The labelled rows are stored once because balancing reads them in several
     narrow passes; so is the balanced table, which feeds two outputs.
     """
-    require_columns(catalogue, ("track_name", "artists", "track_genre"))
+    require_columns(catalogue, ("track_name", "artists", "track_genre", "danceability", "energy", "valence", "tempo"))
     labelled = catalogue.withColumn("genre", map_by_substring(F.col("track_genre"))).filter(
         F.col("genre").isNotNull()
     )
     labelled = materialize(keep_columns(labelled, AUDIO_COLUMNS), "labelled")
-    full = materialize(_balanced(labelled, ["track_id"], cfg), "balanced")
-    return Dataset(full, _split(full, ["track_id"], ("artists", "track_name"), cfg))
+    full = materialize(_balanced(labelled, ["track_id"], choices), "balanced")
+    return Dataset(full, _split(full, ["track_id"], ("artists", "track_name"), choices))
 
 
 def early_filter(df: DataFrame, languages: Sequence[str], language: str = "language", tag: str = "tag") -> DataFrame:
@@ -83,16 +114,14 @@ def early_filter(df: DataFrame, languages: Sequence[str], language: str = "langu
     return df.filter(F.col(language).isin(list(languages)) & ~F.col(tag).eqNullSafe("misc"))
 
 
-def labelled_lyrics(lyrics: DataFrame, cfg: PipelineConfig = PipelineConfig()) -> DataFrame:
+def labelled_lyrics(lyrics: DataFrame, choices: Choices = USUAL) -> DataFrame:
     """Rows in a wanted language, of plausible raw length, with a label.
 
     All of it is cheap and sits below the cleaning. The raw length may be twice
     the limit because cleaning only removes text.
     """
-    c = cfg.cleaning
-    kept = early_filter(lyrics, c.languages_to_keep).filter(
-        between(word_count(F.col("lyrics")), c.min_word_count, 2 * c.max_word_count)
-    )
+    fewest, most = choices.words
+    kept = early_filter(lyrics, choices.languages).filter(between(word_count(F.col("lyrics")), fewest, 2 * most))
     return with_genre(kept).filter(F.col("genre").isNotNull())
 
 
@@ -100,19 +129,18 @@ def with_genre(lyrics: DataFrame) -> DataFrame:
     return lyrics.withColumn("genre", map_by_tag(F.col("tag")))
 
 
-def with_clean_text(labelled: DataFrame, cfg: PipelineConfig = PipelineConfig()) -> DataFrame:
+def with_clean_text(labelled: DataFrame, choices: Choices = USUAL) -> DataFrame:
     """Add lyrics_clean and word_count."""
-    cleaned = clean(labelled, "lyrics", "lyrics_clean", cfg.cleaning)
+    cleaned = clean(labelled, "lyrics", "lyrics_clean", choices.steps)
     return cleaned.withColumn("word_count", word_count(F.col("lyrics_clean")).cast("int"))
 
 
-def cleaned_lyrics(labelled: DataFrame, cfg: PipelineConfig = PipelineConfig()) -> DataFrame:
+def cleaned_lyrics(labelled: DataFrame, choices: Choices = USUAL) -> DataFrame:
     """Clean, and keep texts of usable length."""
-    c = cfg.cleaning
-    return with_clean_text(labelled, cfg).filter(between(F.col("word_count"), c.min_word_count, c.max_word_count))
+    return with_clean_text(labelled, choices).filter(between(F.col("word_count"), *choices.words))
 
 
-def build_lyrics(lyrics: DataFrame, cfg: PipelineConfig = PipelineConfig(), key: str = "id") -> Dataset:
+def build_lyrics(lyrics: DataFrame, choices: Choices = USUAL, key: str = "id") -> Dataset:
     """Filter, label, clean, balance, featurise and split a lyrics table.
 
     Balancing keeps a few rows of many, so only keys and labels go through it.
@@ -120,37 +148,36 @@ def build_lyrics(lyrics: DataFrame, cfg: PipelineConfig = PipelineConfig(), key:
     Features depend on their own row alone, so computing them after balancing
     changes nothing.
     """
-    require_columns(lyrics, ("title", "artist", "lyrics", key))
-    survivors = cleaned_lyrics(labelled_lyrics(lyrics, cfg), cfg)
-    if cfg.balancing.strategy == "none":
-        chosen = filter_targets(survivors, "genre", cfg.target_genres)
+    require_columns(lyrics, ("title", "artist", "lyrics", "tag", key))
+    survivors = cleaned_lyrics(labelled_lyrics(lyrics, choices), choices)
+    if choices.per_class is None:
+        chosen = filter_targets(survivors, "genre", choices.targets)
     else:
-        rows = balance_by_key(lyrics, survivors, [key], "genre", cfg.balancing, cfg.target_genres)
-        chosen = with_clean_text(with_genre(rows), cfg)
+        rows = balance_by_key(lyrics, survivors, [key], "genre", choices.per_class, choices.targets, choices.seed)
+        chosen = with_clean_text(with_genre(rows), choices)
     full = lexical_features(chosen, "lyrics_clean")
     full = materialize(full, "balanced")
-    return Dataset(full, _split(full, [key], ("artist", "title"), cfg))
+    return Dataset(full, _split(full, [key], ("artist", "title"), choices))
 
 
 class Pipeline:
     """Both builds from sources to written datasets."""
 
-    def __init__(self, config: PipelineConfig | None = None) -> None:
-        self.config = config or PipelineConfig()
+    def __init__(self, choices: Choices = USUAL) -> None:
+        self.choices = choices
 
     def run_audio(self, tables: CatalogueTables, output_dir: str, min_popularity: int = 10,
                   cache_dir: str | None = None) -> dict:
-        data = build_audio(load_catalogue(tables, min_popularity, cache_dir), self.config)
+        data = build_audio(load_catalogue(tables, min_popularity, cache_dir), self.choices)
         return write_dataset(data.full, data.parts, "genre", output_dir, "audio")
 
     def run_lyrics(self, spark, path: str, output_dir: str, sample_n: int | None = None) -> dict:
         # A sample is drawn from all rows: a prefix of the ids would favour old entries.
         lyrics = load_lyrics(spark, path, sample_n=sample_n)
-        data = build_lyrics(lyrics, self.config)
+        data = build_lyrics(lyrics, self.choices)
         return write_dataset(data.full, data.parts, "genre", output_dir, "lyrics")
 
-    def run_all(self, output_dir: str, mode: str | None = None, **sources) -> dict:
-        mode = mode or self.config.mode
+    def run_all(self, output_dir: str, mode: str = "audio", **sources) -> dict:
         if mode == "audio":
             return self.run_audio(output_dir=output_dir, **sources)
         if mode == "lyrics":

@@ -17,9 +17,7 @@ from chorale.config import (
     LYRIC_FEATURES,
     REPORT_STOP_WORDS,
     TAG_LABELS,
-    BalancingConfig,
-    CleaningConfig,
-    PipelineConfig,
+    WORDS_KEPT,
 )
 from chorale.functions import labels as lb
 from chorale.functions import text as tx
@@ -274,9 +272,8 @@ def _(spark, d):
     f"SELECT doc_id FROM documents WHERE len({words_sql('text')}) BETWEEN 50 AND 4000",
 )
 def _(spark, d):
-    cfg = CleaningConfig()
-    n = tx.word_count(F.col("text"))
-    return documents(spark, d).filter(tx.between(n, cfg.min_word_count, 2 * cfg.max_word_count)).select("doc_id")
+    n, (fewest, most) = tx.word_count(F.col("text")), WORDS_KEPT
+    return documents(spark, d).filter(tx.between(n, fewest, 2 * most)).select("doc_id")
 
 
 @query(
@@ -763,8 +760,8 @@ def _(spark, d):
     + " AS clean FROM documents",
 )
 def _(spark, d):
-    cfg = CleaningConfig(remove_parentheticals=True, lowercase=True, fix_encoding=False, normalize_unicode=False)
-    return tx.clean(_decorated(spark, d), "text", "clean", cfg).select("doc_id", "clean")
+    steps = tx.cleaning_steps(remove_parentheticals=True, lowercase=True, fix_encoding=False, normalize_unicode=False)
+    return tx.clean(_decorated(spark, d), "text", "clean", steps).select("doc_id", "clean")
 
 
 @query(
@@ -1174,12 +1171,12 @@ def _(spark, d):
     )
     full = materialize(sampling.balance(docs, "genre", ["doc_id"], samples_per_class=100), "gate")
     parts = materialize(sampling.stratified_split(full, "genre", ["doc_id"], ["lyrics_clean"]), "gate")
-    return guards.quality_report(full, parts, targets=GATE_TARGETS, min_per_class=50)
+    return guards.quality_report(full, parts, guards.LYRICS_GATE, targets=GATE_TARGETS, min_per_class=50)
 
 
 # --- whole builds ------------------------------------------------------------
 
-SMALL_BUILD = PipelineConfig(balancing=BalancingConfig(samples_per_class=400))
+SMALL_BUILD = build.Choices(per_class=400)
 AUDIO_BUILD_SQL = f"""WITH {RESOLVED_SQL},
 lab AS (SELECT *, {_substring_sql('lower(trim(track_genre))', CATALOGUE_PATTERNS)} AS genre FROM resolved),
 rows AS (SELECT track_id AS k, genre AS c, concat(artists, '|', track_name) AS u, * FROM lab WHERE genre IS NOT NULL),
@@ -1196,9 +1193,7 @@ def _(spark, d):
     return big(data.parts)
 
 
-LYRICS_BUILD = PipelineConfig(
-    cleaning=CleaningConfig(languages_to_keep=("en", "fr", "de", "es")), balancing=BalancingConfig(samples_per_class=90)
-)
+LYRICS_BUILD = build.Choices(per_class=90, languages=("en", "fr", "de", "es"))
 
 
 def _clean_lyrics_sql() -> str:
@@ -1239,7 +1234,7 @@ def document_split_report(spark: SparkSession, d: str) -> DataFrame:
     text = docs.withColumn("text", tx.strip(tx.squeeze_whitespace(F.col("text"))))
     kept = classify.LanguageFilter(("en", "fr", "de", "es")).filter_dataframe(text, "text", "lang")
     kept = kept.filter(tx.between(tx.word_count(F.col("text")), 50, 2000))
-    chosen = build.balance_by_key(docs, kept, ["doc_id"], "lang", BalancingConfig(samples_per_class=100))
+    chosen = build.balance_by_key(docs, kept, ["doc_id"], "lang", 100)
     chosen = chosen.withColumn("text", tx.strip(tx.squeeze_whitespace(F.col("text"))))
     full = materialize(lexical_features(chosen, "text"), "featured")
     parts = sampling.stratified_split(full, "lang", ["doc_id"], ["text"])

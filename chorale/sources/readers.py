@@ -69,7 +69,7 @@ def load_lyrics(
     an exact sample of those. One quoted CSV is one task; land it as Parquet."""
     schema = LYRICS_SCHEMA if not path.endswith(".parquet") else None
     df = read_table(spark, path, schema)
-    require_columns(df, ("title", "artist", "lyrics"))
+    require_columns(df, ("title", "artist", "lyrics", "tag"))
     df = df.select([c for c in columns if c in df.columns])
     if nrows is not None:
         df = first_n(df, nrows, key)

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import dataclasses
 import json
 
 import pytest
 from pyspark.sql import functions as F
 
 from chorale.api import FeatureEngineer, Pipeline
-from chorale.config import AUDIO_FEATURES, BalancingConfig, CleaningConfig, PipelineConfig
+from chorale.config import AUDIO_FEATURES
 from chorale.operators import guards, profile
 from chorale.operators.catalogue import CatalogueTables
 from chorale.plans import build, evaluate
@@ -16,10 +17,7 @@ from chorale.plans.sample_tables import catalogue_tables, lyrics_table
 from chorale.sources import readers, sinks
 from chorale.streaming.ingest import ingest_lyrics, lyrics_stream
 
-LYRICS = PipelineConfig(
-    cleaning=CleaningConfig(languages_to_keep=("en", "fr", "de", "es"), min_word_count=5),
-    balancing=BalancingConfig(samples_per_class=25),
-)
+LYRICS = build.Choices(per_class=25, languages=("en", "fr", "de", "es"), words=(5, 2000))
 
 
 def test_catalogue_join(spark):
@@ -73,14 +71,14 @@ def test_sinks(spark, tmp_path):
 
 
 def test_audio_run(spark, data_dir, tmp_path):
-    config = PipelineConfig(balancing=BalancingConfig(samples_per_class=60))
+    config = build.Choices(per_class=60)
     meta = Pipeline(config).run_all(str(tmp_path), "audio", tables=catalogue_tables(spark, data_dir))
     counts = meta["row_counts"]
     full, parts = spark.read.parquet(f"{tmp_path}/full"), spark.read.parquet(f"{tmp_path}/splits")
     assert counts["full"] == full.count() >= parts.count() == sum(counts[s] for s in ("train", "val", "test"))
     assert json.loads("\n".join(r[0] for r in spark.read.text(f"{tmp_path}/metadata").collect()))["mode"] == "audio"
     assert sum(meta["class_distribution"]["train"].values()) == counts["train"]
-    report = guards.quality_report(full, parts, min_per_class=1)
+    report = guards.quality_report(full, parts, guards.AUDIO_GATE, min_per_class=1)
     leaks = report.filter("check = 'leakage'").collect()
     assert len(leaks) == 3 and {r["status"] for r in leaks} == {"pass"}
     assert guards.gate_passed(report.filter("check <> 'classes_present'"))
@@ -100,7 +98,7 @@ def test_lyrics_build_and_gate(spark, data_dir):
     assert data.full.groupBy("genre").count().agg(F.max("count")).first()[0] <= 25
     assert data.full.filter("word_count not between 5 and 2000").count() == 0
     assert data.full.filter(F.col("lyrics_clean").rlike("Contributors|You might|Embed$|Produced by")).count() == 0
-    report = guards.quality_report(data.full, data.parts, min_per_class=1)
+    report = guards.quality_report(data.full, data.parts, guards.LYRICS_GATE, min_per_class=1)
     failed = report.filter("status = 'fail'").collect()
     assert {r["check"] for r in failed} == {"classes_present"}
     assert {r["detail"] for r in failed if r["split"] == "full"} == {"country,electronic"}
@@ -116,7 +114,7 @@ def test_features_do_not_depend_on_order(spark, data_dir):
 
 
 def test_none_strategy(spark, data_dir):
-    config = PipelineConfig(cleaning=LYRICS.cleaning, balancing=BalancingConfig(strategy="none"))
+    config = dataclasses.replace(LYRICS, per_class=None)
     lyrics = lyrics_table(spark, data_dir)
     kept = build.cleaned_lyrics(build.labelled_lyrics(lyrics, config), config)
     assert build.build_lyrics(lyrics, config).full.count() == kept.count()
