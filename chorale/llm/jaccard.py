@@ -5,19 +5,21 @@
 2. Similar classes form groups: a class follows the leading class of its
    min-hash buckets if they share enough minima. Copies and near copies thus lie in one group
    before any pair is listed.
-3. The matrix holds, for each group, the union of its members' tokens. A token
-   stands for one part of the hash space: a digest of all shingles a set
-   has there. Linked sets differ in at most k shingles, so in at most k parts:
-   they share all other tokens. Classes whose tokens others have in too small a number
-   link with nothing and leave the matrix.
-4. Two groups' unions bound what any of their members can share. Groups whose
-   bound suffices are opened: blocks of their members are compared set
+3. Classes that cannot link leave. The hash space is cut into parts, more of
+   them than the k shingles in which linked sets of that size may differ: linked sets
+   have some parts alike, so a class whose parts no other class has in the number needed
+   links with nothing. Few are left; the shingles of those are counted, and classes leave
+   that share too few of them.
+4. The matrix holds, for each group, the union of its members' tokens: of each
+   member the rarest shingles, as many as leave less than is needed for a
+   link. A group that has none of another's tokens bounds their members' overlap below that, and stays
+   closed. The other groups are opened: blocks of members are compared set
    against set, inside a group as well.
 5. Components of all links, by repeated minima over neighbours.
 
 The number of parts follows from the set's size, by powers of two; a set that may link with
 one of the next size class takes part there too. No link is lost: whatever
-is left out before step 4 cannot link. A comparison returns as many links as connect
+is left out before a comparison cannot link. A comparison returns as many links as connect
 its sets, not all of them.
 
 Shingles are compared by 64-bit hashes; that two shingles of one comparison share
@@ -35,7 +37,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from chorale.llm.common import equi, pieces, salted
@@ -43,8 +45,8 @@ from chorale.session import materialize
 
 # Minima of a set's sketch, and how many of them a class shares with the leader of its group.
 MINIMA, ALIKE = 16, 4
-# Shingles in a block of a group.
-BLOCK = 200_000
+# Shingles in a block of a group, and rounds of leaving out classes by shingles.
+BLOCK, PEELS = 200_000, 2
 _BLANKS = b" \t\n\x0b\x0c\r"
 _MIX1, _MIX2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 _POWER = 0xD6E8FEB86659FD93
@@ -103,6 +105,10 @@ class Rule:
     def __init__(self, share: int):
         self.share = share
 
+    def needed(self, n: str) -> Column:
+        """How many shingles a set of ``n`` shares with one it links with, at least."""
+        return F.expr(f"({self.share} * {n} + 99) div 100")
+
     def levels(self, n: int) -> list[int]:
         """Size classes (by powers of two) in which a set of ``n`` can meet those it links with."""
         own = n.bit_length()
@@ -166,7 +172,7 @@ def _sketcher(words: int):
     return run
 
 
-def _matrix_rows(words: int, rule: Rule):
+def _part_rows(words: int, rule: Rule):
     """Per set and level: its prints, its tokens and how many a linked set shares. Sets seen in a task come once."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -297,12 +303,29 @@ def _grouped(classes: DataFrame) -> DataFrame:
     return best.select("class", (-F.col("b.l")).alias("group"))
 
 
-def _shared_tokens(rows: DataFrame) -> DataFrame:
+def _shared_parts(rows: DataFrame) -> DataFrame:
     """Rows (class, token, least) whose token another class has too, of classes with enough of them at a level."""
     token, own = Window.partitionBy("token"), Window.partitionBy("class", "level")
     common = rows.withColumn("low", F.min("class").over(token)).withColumn("high", F.max("class").over(token))
-    common = common.filter("low <> high").drop("low", "high").withColumn("level", F.col("token").bitwiseAND(255))
-    return common.withColumn("n", F.count("*").over(own)).filter("n >= least").drop("n", "level")
+    common = common.filter("low <> high").select("class", "token", "least").distinct()
+    common = common.withColumn("level", F.col("token").bitwiseAND(255)).withColumn("n", F.count("*").over(own))
+    return common.filter("n >= least").drop("n", "level")
+
+
+def _shared_shingles(rows: DataFrame, rule: Rule) -> DataFrame:
+    """Rows (class, n, token, df) of the classes whose shingles others have in a number that allows a link."""
+    token, own = Window.partitionBy("token"), Window.partitionBy("class")
+    counted = rows.select("class", "n", "token").withColumn("df", F.count("*").over(token))
+    shared = F.sum((F.col("df") > 1).cast("long")).over(own)
+    return counted.withColumn("shared", shared).filter(F.col("shared") >= rule.needed("n")).drop("shared")
+
+
+def _prefixes(rows: DataFrame, rule: Rule) -> DataFrame:
+    """(class, token): each class's rarest shingles, as many as two linked classes cannot both lack."""
+    order = Window.partitionBy("class").orderBy("df", "token")
+    placed = rows.withColumn("at", F.row_number().over(order)).filter(F.col("at") <= F.col("n") - rule.needed("n") + 1)
+    # What no other class has is in no other union.
+    return placed.filter("df > 1").select("class", "token")
 
 
 def similar(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = 5, share: int = 80) -> DataFrame:
@@ -319,35 +342,34 @@ def similar(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int
     classes = materialize(classes.select(name, "key", "rows", "n", "sketch"), "classes")
     groups = materialize(_grouped(classes), "groups")
 
-    # The matrix: tokens that several classes have, of classes that have enough of them. Twice, as the first
-    # time leaves out classes that others needed.
+    # Parts first: classes with too few parts that another class has too link with nothing. Twice, as the
+    # first time leaves out classes that others needed.
     schema = "n long, one long, two long, level long, least long, tokens array<long>"
-    matrix = rows.select("text").mapInArrow(_matrix_rows(words, rule), schema)
-    matrix = matrix.select(name, F.explode("tokens").alias("token"), "least").distinct()
-    matrix = materialize(_shared_tokens(matrix), "tokens")
-    matrix = materialize(_shared_tokens(matrix), "tokens")
-    member = matrix.join(groups, "class", "left").withColumn("group", F.coalesce("group", "class"))
-    member = materialize(member.select("class", "token", "least", "group"), "matrix")
-    # Unions of the groups' tokens, and what their members need at least.
-    union = materialize(member.groupBy("group", "token").agg(F.min("least").alias("least")), "unions")
-    other = union.select("token", F.col("group").alias("other"), F.col("least").alias("other_least"))
-    hits = union.join(other, "token").filter("group < other")
-    hits = hits.groupBy("group", "other", F.col("token").bitwiseAND(255)).agg(
-        F.count("*").alias("n"), F.min("least").alias("a"), F.min("other_least").alias("b")
-    )
-    opened = hits.filter(F.col("n") >= F.greatest("a", "b")).select("group", "other").distinct()
-    # Members: classes with tokens in the matrix. Groups of several are compared inside as well.
-    members = member.select("class", "group").distinct()
-    alone = members.groupBy("group").count().filter("count > 1").select("group", F.col("group").alias("other"))
-    opened = materialize(opened.unionByName(alone), "opened")
-    needed = opened.select("group").unionByName(opened.select(F.col("other").alias("group"))).distinct()
-    members = materialize(members.join(needed, "group"), "members")
-    fetched = members.join(classes.select("class", "key", "n"), "class")
-    wanted = equi(rows.select("key", "text"), fetched.select("class", "key").distinct(), ["key"])
+    parted = rows.select("text").mapInArrow(_part_rows(words, rule), schema)
+    parted = parted.select(name, F.explode("tokens").alias("token"), "least")
+    parted = materialize(_shared_parts(parted).distinct(), "parts")
+    living = materialize(_shared_parts(parted).select("class").distinct(), "living")
+    fetched = living.join(classes.select("class", "key"), "class")
+    wanted = equi(rows.select("key", "text"), fetched, ["key"])
     full = wanted.mapInArrow(_set_rows(words), "class long, n long, one long, two long, tokens array<long>")
     # Rows that share the key but not the set drop out; copies are one.
     full = full.filter(F.col("class") == F.xxhash64(*prints)).dropDuplicates(["class"]).select("class", "tokens", "n")
-    full = materialize(full.join(members, "class"), "sets")
+    full = materialize(full, "sets")
+    # Then shingles: their true counts among the classes left, which leave out more classes.
+    shingles = full.select("class", "n", F.explode("tokens").alias("token"))
+    for _ in range(PEELS):
+        shingles = materialize(_shared_shingles(shingles, rule), "shingles")
+    member = materialize(_prefixes(shingles, rule).join(groups, "class", "left"), "prefixes")
+    member = member.select("class", "token", F.coalesce("group", "class").alias("group"))
+    # The matrix: the union of each group's tokens, and the groups that share one.
+    union = materialize(member.select("group", "token").distinct(), "unions")
+    other = union.select("token", F.col("group").alias("other"))
+    hits = union.join(other, "token").filter("group < other").select("group", "other").distinct()
+    members = materialize(member.select("class", "group").distinct(), "members")
+    # Groups of several are compared inside as well.
+    alone = members.groupBy("group").count().filter("count > 1").select("group", F.col("group").alias("other"))
+    opened = materialize(hits.unionByName(alone), "opened")
+    full = materialize(full.join(members, "class"), "opened_sets")
     # Groups are cut into blocks of about BLOCK shingles; a comparison takes two.
     blocks = full.groupBy("group").agg(F.ceil(F.sum("n") / BLOCK).alias("blocks"))
     full = full.join(blocks, "group").withColumn("block", F.pmod(F.xxhash64("class", F.lit(1)), F.col("blocks")))
