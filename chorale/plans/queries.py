@@ -1246,7 +1246,7 @@ def document_split_report(spark: SparkSession, d: str) -> DataFrame:
 # --- models: results depend on the solver, so these have no SQL --------------
 
 
-def _doc_bundle(spark, d, max_features: int = 1000):
+def _doc_bundle(spark, d, max_features: int = 10_000):
     docs = documents(spark, d).select("doc_id", F.col("lang").alias("genre"), F.col("text").alias("lyrics_clean"))
     parts = sampling.stratified_split(lexical_features(docs, "lyrics_clean"), "genre", ["doc_id"])
     return materialize(parts, "docs"), max_features
@@ -1269,11 +1269,11 @@ FEATURES_SQL = f"""WITH rows AS (SELECT doc_id AS k, lang AS c, doc_id AS u FROM
 lex AS ({LEXICAL_SQL}),
 {TERMS_SQL.replace('df AS (', 'unused AS (')},
 seen AS (SELECT term, count(*) AS df, sum(tf) AS total FROM tf JOIN parts ON parts.k = doc_id AND split = 'train' GROUP BY term),
-vocab AS (SELECT term, df FROM seen WHERE df >= 2 ORDER BY total DESC, term LIMIT 1000),
+vocab AS (SELECT term, df FROM seen WHERE df >= 2 ORDER BY total DESC, term LIMIT 10000),
 w AS (SELECT doc_id, (1 + ln(tf)) * (ln((1 + (SELECT count(*) FROM parts WHERE split = 'train'))::DOUBLE / (1 + df)) + 1) AS w
       FROM tf JOIN vocab USING (term)),
 t AS (SELECT doc_id, count(*) AS n, sum(w) / sqrt(sum(w * w)) AS total FROM w GROUP BY doc_id)
-SELECT k AS doc_id, split, 1010::BIGINT AS width, coalesce(t.n, 0) + 10 AS stored,
+SELECT k AS doc_id, split, (SELECT count(*) FROM vocab) + 10 AS width, coalesce(t.n, 0) + 10 AS stored,
   round(coalesce(t.total, 0) + {' + '.join(f'lyr_{name}::FLOAT::DOUBLE' for name in LYRIC_FEATURES)}, 4) AS total
 FROM parts JOIN lex ON lex.doc_id = k LEFT JOIN t ON t.doc_id = k"""
 
@@ -1298,7 +1298,7 @@ def _(spark, d):
 
 @query("logistic_audio")
 def _(spark, d):
-    scored, _ = evaluate.predict_splits(_audio_parts(spark, d), "logistic", "audio", "track_id", maxIter=100)
+    scored, _ = evaluate.predict_splits(_audio_parts(spark, d), "logistic", "audio", "track_id")
     return evaluate.supervised_metrics(scored)
 
 
@@ -1331,7 +1331,7 @@ def _(spark, d):
 
 @query("importance_by_coefficient")
 def _(spark, d):
-    _, fitted = evaluate.predict_splits(_audio_parts(spark, d), "logistic", "audio", "track_id", maxIter=50)
+    _, fitted = evaluate.predict_splits(_audio_parts(spark, d), "logistic", "audio", "track_id")
     return classify.coefficient_importance(spark, fitted["model"], fitted["bundle"].names)
 
 
