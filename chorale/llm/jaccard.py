@@ -115,17 +115,21 @@ class Rule:
         # A larger set may lie one class higher.
         return [own, own + 1] if 100 * n >= self.share << own else [own]
 
+    def differences(self, n: int) -> int:
+        """The most shingles that a set of ``n`` and one it links with, of whatever size, have not in common."""
+        return (100 - self.share) * (n + 100 * n // self.share) // (100 + self.share)
+
     def parts(self, level: int) -> tuple[int, int]:
         """The most shingles that linked sets of a class differ in, and the parts it is cut into."""
         k = (100 - self.share) * 2 * ((1 << level) - 1) // (100 + self.share)
         return k, k + 1 + max(3, k // 8)
 
 
-def _tokens(own: np.ndarray, level: int, parts: int, k: int) -> tuple[np.ndarray, int]:
+def _tokens(own: np.ndarray, level: int, parts: int, differences: int) -> tuple[np.ndarray, int]:
     """A set's tokens at one level, and how many of them a linked set shares at least.
 
-    Linked sets agree in ``parts - k`` parts or more; parts empty in both are no
-    tokens, so those empty here are taken off. Where that leaves none, empty
+    Each shingle not in common spoils one part at most, so all other parts that
+    are not empty here are shared. Where that leaves none, empty
     parts are tokens too, and such sets meet at least there. The level is kept in a token's last byte.
     """
     part = (((own >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)).astype(np.int64)
@@ -134,7 +138,7 @@ def _tokens(own: np.ndarray, level: int, parts: int, k: int) -> tuple[np.ndarray
     sums = np.add.reduceat(mixed(own ^ _SEED), starts)
     place = mixed(np.array([level], np.uint64))
     token = mixed(sums + part[starts].astype(np.uint64) * _MIX1 + place)
-    least = starts.size - k
+    least = starts.size - differences
     if least <= 0:
         empty = np.setdiff1d(np.arange(parts), part[starts]).astype(np.uint64)
         token = np.concatenate([token, mixed(empty * _MIX2 + place)])
@@ -190,7 +194,7 @@ def _part_rows(words: int, rule: Rule):
                     k, parts = rule.parts(one)
                     # Where linked sets cannot differ, they are one class already.
                     if k:
-                        token, needed = _tokens(s, one, parts, k)
+                        token, needed = _tokens(s, one, parts, rule.differences(s.size))
                         rows.append(i)
                         level.append(one)
                         least.append(needed)
