@@ -85,6 +85,26 @@ def find_exponent(
     return found
 
 
+def shared(weighted: DataFrame, budget: int | None = None) -> DataFrame:
+    """(source, weight, passes, rest) of sources with tokens and a weight.
+
+    Budget and shares follow from the weight as it is, however small; only the
+    weight that is reported is rounded.
+    """
+    if budget is None:
+        # The division is of doubles and its source has tokens, so its weight is above 0.
+        needs = F.ceil(F.col("tokens") / F.when(F.col("tokens") > 0, F.col("weight")))
+        budget = weighted.agg(F.max(needs)).first()[0] or 0
+        share = F.greatest(F.col("tokens"), F.floor(F.col("weight") * budget))
+    else:
+        share = F.floor(F.col("weight") * budget)
+    return weighted.withColumn("share", share).select(
+        "source", F.round("weight", 9).alias("weight"),
+        F.when(F.col("tokens") > 0, F.expr("share div tokens")).otherwise(1).alias("passes"),
+        F.when(F.col("tokens") > 0, F.expr("share % tokens")).otherwise(0).alias("rest"),
+    )
+
+
 def mix(
     docs: DataFrame, keys: Sequence[str], target_entropy: float | None = None, max_repetition: float | None = None,
     budget: int | None = None, seed: int = 5, blocks: int = BLOCKS,
@@ -102,18 +122,7 @@ def mix(
     p = F.col("tokens") / F.lit(float(max(total, 1)))
     raised = F.when(F.col("tokens") > 0, F.pow(p, F.lit(a))).otherwise(F.lit(0.0))
     norm = sources.agg(F.sum(raised)).first()[0] or 1.0
-    weighted = sources.withColumn("weight", F.round(raised / F.lit(norm), 9))
-    if budget is None:
-        budget = weighted.filter("tokens > 0").agg(F.max(F.ceil(F.col("tokens") / F.col("weight")))).first()[0] or 0
-        share = F.greatest(F.col("tokens"), F.floor(F.col("weight") * budget))
-    else:
-        share = F.floor(F.col("weight") * budget)
-    weighted = weighted.withColumn("share", share)
-    weighted = weighted.select(
-        "source", "weight",
-        F.when(F.col("tokens") > 0, F.expr("share div tokens")).otherwise(1).alias("passes"),
-        F.when(F.col("tokens") > 0, F.expr("share % tokens")).otherwise(0).alias("rest"),
-    )
+    weighted = shared(sources.withColumn("weight", raised / F.lit(norm)), budget)
     weighted = materialize(weighted, "weights")
     block = (md5_int(str(seed), "block", *[F.col(k) for k in keys]) % blocks).alias("block")
     dealt = rows.select("*", block)

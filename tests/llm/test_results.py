@@ -227,6 +227,20 @@ def test_mixing_budget(spark):
     assert all(sorted(s) == list(range(len(s))) for s in places.values())
 
 
+def test_mixing_tiny_source(spark):
+    """One word beside 1e11 tokens: no weight of 0, and no source repeats beyond the limit for it."""
+    rows = [("tiny", 1, 1e-11 * 1.5), ("huge", 10**11, 1.0 - 1e-11 * 1.5), ("none", 0, 0.0)]
+    weighted = spark.createDataFrame(rows, "source string, tokens long, weight double")
+    got = {r.source: r for r in mixing.shared(weighted).collect()}
+    assert (got["huge"].passes, got["huge"].rest) == (1, 0) and got["tiny"].passes == 1
+    assert (got["none"].passes, got["none"].rest, got["none"].weight) == (1, 0, 0.0)
+    # Given twice the tokens, the tiny source keeps its three words: twice its share of 1.5.
+    assert {r.source: r.passes for r in mixing.shared(weighted, 2 * 10**11).collect()}["tiny"] == 3
+    docs = spark.createDataFrame([(1, "tiny", 1), (2, "huge", 10**11)], "doc_id long, source string, n_tokens long")
+    drawn = mixing.mix(docs, ["doc_id"], max_repetition=1.5).collect()
+    assert sorted((r.source, r.copy) for r in drawn) == [("huge", 0), ("tiny", 0)]
+
+
 def test_packing_against_whole_texts(spark, data_dir, texts):
     rows = QUERIES["op9_packing"](spark, data_dir).collect()
     tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
