@@ -4,8 +4,9 @@ Training counts hashed character n-grams (1 to 4 bytes of the lower-cased
 letters) per language over all training rows; tables of counts are added up in
 blocks, in Spark. A document is then read in short stretches. A stretch has a
 likelihood in every language, and expectation-maximisation finds the shares of
-languages that explain all stretches best. Sets of the 1, 2, ... most likely languages
-compete, and each further language must gain more likelihood than its penalty.
+languages that explain all stretches best. A document's set starts with its likeliest
+language and grows by the one that gains most, while the gain exceeds its penalty;
+languages that no longer earn theirs then leave.
 
 The model has ``CELLS`` numbers per language, whatever the size of the corpus.
 
@@ -31,10 +32,8 @@ CELLS, BLOCK = 1 << 16, 1 << 12
 ORDERS = (1, 2, 3, 4)
 # Bytes in a stretch with one likelihood, and in what is worked on at once.
 STRETCH, SLICE = 48, 1 << 19
-# The most languages in one document, EM rounds, and what a language must gain per log(stretches).
-MOST, ROUNDS, PENALTY = 4, 12, 3.0
-# Language labels a corpus may have; the model is copied to every task.
-LABELS = 512
+# EM ends where no share changes by more; what a language must gain per log(stretches).
+TOLERANCE, PENALTY = 1e-4, 3.0
 UNKNOWN = "und"
 
 # Letters in lower case; bytes beyond ASCII as they are; all others are one mark.
@@ -100,19 +99,21 @@ def fit(train: DataFrame, text: str = "text", lang: str = "lang") -> tuple[list[
     schema = "lang string, block int, counts array<long>"
     counted = rows.mapInArrow(_counter, schema)
     added = counted.groupBy("lang", "block").applyInArrow(_added, schema)
-    # A language has CELLS / BLOCK rows; more labels than LABELS mean that the column holds something else.
-    found = added.limit(LABELS * (CELLS // BLOCK) + 1).toArrow()
+    # A language has CELLS / BLOCK rows.
+    found = added.toArrow()
     langs = sorted(set(found.column("lang").to_pylist()))
-    if len(langs) > LABELS:
-        raise ValueError(f"more than {LABELS} languages in {lang}")
-    counts = np.zeros((len(langs), CELLS), np.int64)
+    logp = np.zeros((len(langs), CELLS), np.float32)
+    totals = np.zeros(len(langs))
     place = {x: i for i, x in enumerate(langs)}
-    for row in found.to_pylist():
-        at = row["block"] * BLOCK
-        counts[place[row["lang"]], at : at + BLOCK] = row["counts"]
-    smoothed = counts + 0.5
-    logp = np.log(smoothed / smoothed.sum(axis=1, keepdims=True)) if langs else np.zeros((0, CELLS))
-    return langs, logp.astype(np.float32)
+    for batch in found.to_batches():
+        for name, block, own in zip(batch.column("lang").to_pylist(), batch.column("block").to_pylist(), batch.column("counts"), strict=True):
+            smoothed = own.values.to_numpy() + 0.5
+            at = block * BLOCK
+            logp[place[name], at : at + BLOCK] = np.log(smoothed)
+            totals[place[name]] += smoothed.sum()
+    if langs:
+        logp -= np.log(totals)[:, None].astype(np.float32)
+    return langs, logp
 
 
 def _stretch_scores(texts: list[bytes], logp: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -150,20 +151,30 @@ def _stretch_scores(texts: list[bytes], logp: np.ndarray) -> tuple[np.ndarray, n
     return out.T[kept], np.cumsum(counts) - counts
 
 
-def _shares(like: np.ndarray, first: np.ndarray, allowed: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _shares(like: np.ndarray, first: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """EM for all documents at once: shares (documents, languages) and log-likelihoods.
 
     ``like`` holds stretches' likelihoods relative to their best language,
-    ``first`` where each document's stretches begin, ``allowed`` the set.
+    ``first`` where each document's stretches begin, ``start`` the shares to
+    begin with: languages at 0 stay out. A document leaves when its shares have
+    settled; each round brings the likelihood nearer to its one maximum.
     """
     sizes = np.diff(first, append=len(like))
-    owner = np.repeat(np.arange(first.size), sizes)
-    shares = allowed / allowed.sum(axis=1, keepdims=True)
-    for _ in range(ROUNDS):
-        joint = like * shares[owner]
+    shares = start / start.sum(axis=1, keepdims=True)
+    under = np.arange(first.size)
+    own, begin = like, first
+    while under.size:
+        size = sizes[under]
+        joint = own * np.repeat(shares[under], size, axis=0)
         joint /= joint.sum(axis=1, keepdims=True) + 1e-300
-        shares = np.add.reduceat(joint, first, axis=0) / sizes[:, None]
-    mixed = np.log((like * shares[owner]).sum(axis=1) + 1e-300)
+        new = np.add.reduceat(joint, begin, axis=0) / size[:, None]
+        moving = np.abs(new - shares[under]).max(axis=1) > TOLERANCE
+        shares[under] = new
+        if not moving.all():
+            own = own[np.repeat(moving, size)]
+            under = under[moving]
+            begin = np.cumsum(sizes[under]) - sizes[under]
+    mixed = np.log((like * np.repeat(shares, sizes, axis=0)).sum(axis=1) + 1e-300)
     return shares, np.add.reduceat(mixed, first)
 
 
@@ -184,16 +195,46 @@ def infer(scores: np.ndarray, first: np.ndarray) -> np.ndarray:
         return shares
     best = scores.max(axis=1, keepdims=True)
     like = np.exp((scores - best).astype(np.float64))
-    full, _ = _shares(like, first, np.ones((n, k)))
-    order = np.argsort(-full, axis=1, kind="stable")
-    rank = np.argsort(order, axis=1, kind="stable")
-    chosen, top = None, np.full(n, -np.inf)
-    for size in range(1, min(MOST, k) + 1):
-        shares, fit_ = _shares(like, first, (rank < size).astype(np.float64))
-        value = fit_ - PENALTY * (size - 1) * (1 + np.log(sizes))
-        better = value > top
-        chosen = shares if chosen is None else np.where(better[:, None], shares, chosen)
-        top = np.where(better, value, top)
+    # The likeliest language alone, then one more at a time: that whose share grows from 0 the most in likelihood.
+    alone = np.add.reduceat((scores - best).astype(np.float64), first, axis=0)
+    chosen = np.zeros((n, k))
+    chosen[np.arange(n), alone.argmax(axis=1)] = 1.0
+    top = alone.max(axis=1)
+    under = np.arange(n)
+    own, begin = like, first
+    while under.size:
+        size, have = sizes[under], chosen[under]
+        # Of each candidate, the likelihood when it takes an even share beside those chosen.
+        mixed = (own * np.repeat(have, size, axis=0)).sum(axis=1, keepdims=True)
+        part = 1 / ((have > 0).sum(axis=1) + 1)
+        part = np.repeat(part, size)[:, None]
+        gain = np.add.reduceat(np.log((1 - part) * mixed + part * own + 1e-300), begin, axis=0)
+        gain[have > 0] = -np.inf
+        more = have.copy()
+        at = np.arange(under.size), gain.argmax(axis=1)
+        open_ = np.isfinite(gain[at])
+        count = (have > 0).sum(axis=1)
+        more *= (count / (count + 1))[:, None]
+        more[at] = np.where(open_, 1 / (count + 1), more[at])
+        shares, fit_ = _shares(own, begin, more)
+        value = fit_ - PENALTY * (1 + np.log(size)) * count
+        better = open_ & (value > top[under])
+        chosen[under[better]], top[under[better]] = shares[better], value[better]
+        own = own[np.repeat(better, size)]
+        under = under[better]
+        begin = np.cumsum(sizes[under]) - sizes[under]
+    # A language that later ones have explained away goes again.
+    under = np.flatnonzero((chosen > 0).sum(axis=1) > 2)
+    while under.size:
+        size, less = sizes[under], chosen[under]
+        count = (less > 0).sum(axis=1)
+        less[np.arange(under.size), np.where(less > 0, less, np.inf).argmin(axis=1)] = 0
+        own = like[np.repeat(np.isin(np.arange(n), under), sizes)]
+        shares, fit_ = _shares(own, np.cumsum(size) - size, less)
+        value = fit_ - PENALTY * (1 + np.log(size)) * (count - 2)
+        better = value > top[under]
+        chosen[under[better]], top[under[better]] = shares[better], value[better]
+        under = under[better & (count > 3)]
     return chosen
 
 

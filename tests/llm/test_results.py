@@ -55,6 +55,32 @@ def test_language_mixture(spark, data_dir, texts):
     assert got[1]["fr"] > 0.95 and abs(got[2]["fr"] - 0.5) < 0.1
 
 
+def test_language_of_six():
+    """Six languages in equal stretches each get a sixth; of three, none of the other languages gets a share."""
+    scores = np.full((120, 8), -60.0)
+    scores[np.arange(120), np.arange(120) % 6] = -20.0
+    scores[60:] = -60.0
+    scores[np.arange(60, 120), np.arange(60) % 3 + 5] = -20.0
+    six, three = langid.infer(scores, np.array([0, 60]))
+    assert np.allclose(six, [1 / 6] * 6 + [0, 0], atol=1e-3)
+    assert np.allclose(three, [0] * 5 + [1 / 3] * 3, atol=1e-3)
+    # A language that is second in every stretch is likeliest alone, and has no share in the end.
+    scores[:60, 7] = -29.0
+    assert np.allclose(langid.infer(scores[:60], np.array([0]))[0], [1 / 6] * 6 + [0, 0], atol=1e-3)
+
+
+def test_language_labels_unbounded(spark):
+    """More than 512 labels are all learnt, and a made document of six of them names the six."""
+    words = {f"l{i:03d}": hashlib.md5(str(i).encode()).hexdigest().translate(str.maketrans("0123456789", "ghijklmnop")) for i in range(520)}
+    train = spark.createDataFrame([(lang, f"{w} " * 40) for lang, w in words.items()], "lang string, text string")
+    model = langid.fit(train)
+    assert len(model[0]) == 520
+    some = [f"l{i:03d}" for i in (3, 77, 140, 260, 390, 519)]
+    made = spark.createDataFrame([(0, "".join(f"{words[x]} " * 30 for x in some))], "doc_id long, text string")
+    got = {s.lang: s.share for s in langid.predict(made, model).first().shares}
+    assert sorted(got) == some and all(abs(x - 1 / 6) < 0.05 for x in got.values())
+
+
 def test_scoring_counts_and_scores(spark, data_dir, texts):
     rows = {r.doc_id: r for r in QUERIES["op4_lm_scoring"](spark, data_dir).collect()}
 
