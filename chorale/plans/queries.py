@@ -1260,7 +1260,7 @@ def _doc_scores(spark, d, model: str, **params) -> DataFrame:
 
 def _audio_parts(spark, d) -> DataFrame:
     return materialize(
-        build.build_audio(readers.load_catalogue(catalogue_tables(spark, d)), SMALL_BUILD).parts, "audio"
+        build.build_audio(readers.load_catalogue(catalogue_tables(spark, d)), build.Choices()).parts, "audio"
     )
 
 

@@ -9,10 +9,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from chorale.api import FeatureEngineer, Pipeline
-from chorale.config import AUDIO_FEATURES
+from chorale.config import AUDIO_FEATURES, ROWS_PER_CLASS
 from chorale.operators import guards, profile
 from chorale.operators.catalogue import CatalogueTables
-from chorale.plans import build, evaluate
+from chorale.plans import build, evaluate, queries
 from chorale.plans.sample_tables import catalogue_tables, lyrics_table
 from chorale.sources import readers, sinks
 from chorale.streaming.ingest import ingest_lyrics, lyrics_stream
@@ -158,3 +158,19 @@ def test_stream_equals_batch(spark, data_dir, tmp_path):
     streamed = spark.read.parquet(str(tmp_path / "out"))
     assert streamed.count() == batch.count() > 0
     assert streamed.select("id", "lyrics_clean").exceptAll(batch.select("id", "lyrics_clean")).count() == 0
+
+
+def test_model_queries_use_the_default_build(spark, data_dir, monkeypatch):
+    """Audio models see ROWS_PER_CLASS rows a class, not those of a smaller build."""
+    seen = []
+
+    def build_audio(tables, choices=None):
+        seen.append(choices)
+        raise InterruptedError
+
+    monkeypatch.setattr(build, "build_audio", build_audio)
+    for name in ("logistic_audio", "knn_audio", "boosted_trees_audio", "random_search", "importance_by_coefficient",
+                 "importance_by_gain", "kmeans_metrics", "mixture_full"):
+        with pytest.raises(InterruptedError):
+            queries.QUERIES[name](spark, data_dir)
+    assert len(seen) == 8 and all(c.per_class == ROWS_PER_CLASS for c in seen)
