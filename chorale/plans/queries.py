@@ -1293,7 +1293,7 @@ def _(spark, d):
 
 @query("logistic_text")
 def _(spark, d):
-    return _doc_scores(spark, d, "logistic", maxIter=50)
+    return _doc_scores(spark, d, "logistic")
 
 
 @query("logistic_audio")
@@ -1315,7 +1315,7 @@ def _(spark, d):
 
 @query("boosted_trees_audio")
 def _(spark, d):
-    scored, _ = evaluate.predict_splits(_audio_parts(spark, d), "xgboost", "audio", "track_id", maxIter=3, maxDepth=3)
+    scored, _ = evaluate.predict_splits(_audio_parts(spark, d), "xgboost", "audio", "track_id")
     return evaluate.supervised_metrics(scored)
 
 
@@ -1324,7 +1324,7 @@ def _(spark, d):
     bundle = features.build_features(_audio_parts(spark, d), ["track_id", "genre"], use_tfidf=False)
     rows = classify.label_encoder(bundle.vectors, "genre").transform(bundle.vectors).persist()
     return classify.random_search(
-        lambda train, label, **p: classify.fit_logistic(train, "audio", label, maxIter=30, **p),
+        lambda train, label, **p: classify.fit_logistic(train, "audio", label, **p),
         rows.filter("split = 'train'"), rows.filter("split = 'val'"), {"C": (0.1, 1.0, 10.0)}, trials=3,
     )
 
@@ -1337,14 +1337,14 @@ def _(spark, d):
 
 @query("importance_by_gain")
 def _(spark, d):
-    _, fitted = evaluate.predict_splits(_audio_parts(spark, d), "xgboost", "audio", "track_id", maxIter=2, maxDepth=3)
+    _, fitted = evaluate.predict_splits(_audio_parts(spark, d), "xgboost", "audio", "track_id")
     return classify.gain_importance(spark, fitted["model"], fitted["bundle"].names)
 
 
 @query("top_words_by_coefficient")
 def _(spark, d):
     parts, size = _doc_bundle(spark, d)
-    _, fitted = evaluate.predict_splits(parts, "logistic", "lyrics", "doc_id", max_features=size, maxIter=30)
+    _, fitted = evaluate.predict_splits(parts, "logistic", "lyrics", "doc_id", max_features=size)
     return classify.top_words_by_coefficient(spark, fitted["model"], fitted["bundle"].names, fitted["labels"])
 
 
@@ -1356,19 +1356,19 @@ def _matrix(spark, d) -> DataFrame:
 @query("kmeans_clusters")
 def _(spark, d):
     matrix = _matrix(spark, d)
-    fitted = cluster.fit_kmeans(matrix, "x", 6, restarts=3)
+    fitted = cluster.fit_kmeans(matrix, "x", 6)
     return cluster.assign_kmeans(fitted, matrix, "x").groupBy("cluster").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("kmeans_elbow")
 def _(spark, d):
-    return cluster.elbow(_matrix(spark, d), "x", range(2, 13), restarts=1)
+    return cluster.elbow(_matrix(spark, d), "x")
 
 
 @query("kmeans_metrics")
 def _(spark, d):
     clustered, _ = evaluate.cluster_table(
-        materialize(_audio_parts(spark, d), "km"), "kmeans", "audio", "track_id", restarts=2
+        materialize(_audio_parts(spark, d), "km"), "kmeans", "audio", "track_id"
     )
     return evaluate.cluster_metrics(materialize(clustered, "km"), "track_id")
 
@@ -1388,15 +1388,13 @@ def _(spark, d):
 
 @query("mixture_full")
 def _(spark, d):
-    clustered, scores = evaluate.cluster_table(
-        _audio_parts(spark, d), "gmm", "audio", "track_id", k=4, restarts=1, max_iter=20
-    )
+    clustered, scores = evaluate.cluster_table(_audio_parts(spark, d), "gmm", "audio", "track_id")
     return scores
 
 
 @query("mixture_sweep")
 def _(spark, d):
-    return cluster.mixture_sweep(_matrix(spark, d), "x", (2, 3), restarts=1, max_iter=10)
+    return cluster.mixture_sweep(_matrix(spark, d), "x")
 
 
 @query("pca_scores")
@@ -1428,5 +1426,5 @@ def _(spark, d):
 @query("cluster_scatter")
 def _(spark, d):
     matrix = _matrix(spark, d)
-    fitted = cluster.fit_kmeans(matrix, "x", 6, restarts=1)
+    fitted = cluster.fit_kmeans(matrix, "x", 6)
     return evaluate.projection_2d(cluster.assign_kmeans(fitted, matrix, "x"), "vec_id")

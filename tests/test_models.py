@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from chorale.operators import classify, cluster, features, metrics, neighbours, reduce, scaling, tfidf
+from chorale.plans import evaluate, queries
 
 
 @pytest.fixture(scope="module")
@@ -214,3 +215,28 @@ def test_undefined_scores_are_zero(spark):
     overall = metrics.overall_scores(df, "y", "p").first()
     assert overall["macro_f1"] == pytest.approx(0.5 / 3)
     assert overall["weighted_f1"] == pytest.approx(0.5 * 2 / 3)
+
+
+def test_model_queries_use_the_operators_defaults(spark, data_dir, monkeypatch):
+    """No query asks for fewer rounds, restarts or sizes than the operator's own."""
+    seen = []
+
+    def record(*args, **kwargs):
+        seen.append((args, kwargs))
+        raise InterruptedError
+
+    for module, name in ((evaluate, "predict_splits"), (evaluate, "cluster_table"), (cluster, "fit_kmeans"),
+                         (cluster, "elbow"), (cluster, "mixture_sweep"), (classify, "fit_logistic")):
+        monkeypatch.setattr(module, name, record)
+    monkeypatch.setattr(queries, "_audio_parts", lambda *a: None)
+    monkeypatch.setattr(queries, "_doc_bundle", lambda *a: (None, 10_000))
+    monkeypatch.setattr(features, "build_features", lambda *a, **k: (_ for _ in ()).throw(InterruptedError))
+    monkeypatch.setattr(queries, "materialize", lambda df, name: df)
+    names = ("boosted_trees_audio", "importance_by_gain", "mixture_sweep", "mixture_full", "kmeans_clusters",
+             "kmeans_elbow", "kmeans_metrics", "cluster_scatter", "logistic_text", "top_words_by_coefficient")
+    for name in names:
+        with pytest.raises(InterruptedError):
+            queries.QUERIES[name](spark, data_dir)
+    assert len(seen) == len(names)
+    assert all(set(kwargs) <= {"max_features"} for _, kwargs in seen)
+    assert not any(isinstance(a, (range, tuple)) for args, _ in seen for a in args)
