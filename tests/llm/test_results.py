@@ -116,6 +116,27 @@ def test_scoring_learns(spark):
     assert np.allclose(alone, scoring.log_probabilities([b"", b"a cat", b"the door " * 300], model.nodes))
 
 
+def test_scoring_keeps_every_context(spark):
+    """Contexts beyond any fixed number keep counts of their own: as many cells as brute force finds."""
+    rng = np.random.default_rng(1)
+    texts = [bytes(rng.integers(97, 123, 2000, dtype=np.uint8)) for _ in range(150)]
+    model = scoring.fit(spark.createDataFrame([(t.decode(),) for t in texts], "text string"))
+    expected = Counter()
+    for text in texts:
+        whole = bytes(scoring.APART) + text + b"\0"
+        for i in range(scoring.APART, len(whole)):
+            expected.update((n, whole[i - n : i], whole[i]) for n in scoring.BYTES_BACK)
+            expected[0, whole[scoring.APART : i], whole[i]] += 1
+    cells, counts = model.nodes
+    assert len({c[:2] for c in expected}) > 300_000
+    assert len(cells) == len(expected) and sorted(counts.tolist()) == sorted(expected.values())
+    # The joins of whole tables give what the fetched table gives.
+    docs = spark.createDataFrame([(i, t.decode()[:50]) for i, t in enumerate(texts[:5])], "doc_id long, text string")
+    got = {r.key: r.score for r in scoring.score(docs, model).collect()}
+    alone = scoring.log_probabilities([t[:50] for t in texts[:5]], model.nodes) / math.log(10)
+    assert np.allclose([got[i] for i in range(5)], alone)
+
+
 @pytest.mark.parametrize("bits", [64, 3])
 def test_exact_with_collisions(spark, data_dir, texts, bits):
     """Hashes of three bits collide all over; contents keep texts apart."""
