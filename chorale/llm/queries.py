@@ -1,13 +1,14 @@
-"""The ten operators as queries over the sample tables, with SQL where it can express them."""
+"""The operators as queries over the sample tables, with SQL where it can express them."""
 
 from __future__ import annotations
 
+import string
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chorale.llm import chat, exact, jaccard, langid, mixing, packing, quality, scoring, shards, urls
+from chorale.llm import chat, exact, jaccard, langid, merkle, mixing, packing, quality, scoring, shards, urls
 from chorale.llm.common import SPACE, md5_int, ranked, table
 from chorale.session import materialize
 
@@ -285,3 +286,68 @@ def _(spark, d):
     """No SQL: components of all pairs are too slow on whole tables. Tests hold it against all pairs."""
     done = jaccard.similar(table(spark, d, "documents"), words=4, share=85)
     return done.select(F.col("key").alias("doc_id"), "n_shingles", F.col("component").alias("component_id"))
+
+
+@query(
+    "op11_merkle_manifest",
+    r"""WITH RECURSIVE d AS (
+  SELECT doc_id, source, text, list_reduce([ord(x)::BIGINT for x in string_split(doc_id::VARCHAR, '')],
+      lambda c, b: list_reduce([0, 1, 2, 3, 4, 5, 6, 7]::BIGINT[],
+        lambda a, i: xor(a >> 1, (a & 1) * 3988292384), xor(c, b)), 4294967295::BIGINT) AS c,
+    coalesce(strlen(doc_id::VARCHAR) || ':' || doc_id, '-') || coalesce(strlen(source) || ':' || source, '-')
+      || coalesce(strlen(lang) || ':' || lang, '-') || coalesce(strlen(n_chars::VARCHAR) || ':' || n_chars, '-') AS head
+  FROM documents),
+f AS (
+  SELECT doc_id, source, sha256(head || coalesce(strlen(text) || ':' || text, '-')) AS leaf,
+    CASE WHEN xor(c, 4294967295) % 5 = 0 THEN sha256(head || coalesce(strlen(text) || ':'
+      || translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '-'))
+    ELSE sha256(head || coalesce(strlen(text) || ':' || text, '-')) END AS bent FROM d),
+r AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i FROM f),
+t AS (
+  SELECT 0 AS l, source, i, leaf AS h, count(*) OVER (PARTITION BY source) AS n FROM r
+  UNION ALL
+  SELECT l + 1, source, i // 16, sha256(string_agg(h, '' ORDER BY i)), any_value((n + 15) // 16) FROM t WHERE n > 1 GROUP BY l, source, i // 16),
+s AS (SELECT source, h, l AS top, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS i, count(*) OVER () AS n FROM t WHERE n = 1),
+u AS (
+  SELECT 0 AS l, i, h, n FROM s
+  UNION ALL
+  SELECT l + 1, i // 16, sha256(string_agg(h, '' ORDER BY i)), any_value((n + 15) // 16) FROM u WHERE n > 1 GROUP BY l, i // 16),
+root AS (SELECT h AS root FROM u WHERE n = 1),
+g AS (
+  SELECT a.l, a.source, a.i, coalesce(string_agg(b.h, '' ORDER BY b.i) FILTER (b.i < a.i), '') AS lft,
+    coalesce(string_agg(b.h, '' ORDER BY b.i) FILTER (b.i > a.i), '') AS rgt
+  FROM t a JOIN t b ON a.l = b.l AND a.source IS NOT DISTINCT FROM b.source AND a.i // 16 = b.i // 16 WHERE a.n > 1 GROUP BY 1, 2, 3),
+v AS (
+  SELECT a.l, a.i, coalesce(string_agg(b.h, '' ORDER BY b.i) FILTER (b.i < a.i), '') AS lft,
+    coalesce(string_agg(b.h, '' ORDER BY b.i) FILTER (b.i > a.i), '') AS rgt
+  FROM u a JOIN u b ON a.l = b.l AND a.i // 16 = b.i // 16 WHERE a.n > 1 GROUP BY 1, 2),
+p AS (
+  SELECT r.*, s.h AS subroot, list_transform(x.sides, lambda e: e) AS low, y.sides AS high
+  FROM r JOIN s ON s.source IS NOT DISTINCT FROM r.source
+  LEFT JOIN LATERAL (SELECT list({'lft': g.lft, 'rgt': g.rgt} ORDER BY g.l) AS sides FROM g
+    WHERE g.source IS NOT DISTINCT FROM r.source AND g.i = r.i // (16 ** g.l)::BIGINT) x ON true
+  LEFT JOIN LATERAL (SELECT list({'lft': v.lft, 'rgt': v.rgt} ORDER BY v.l) AS sides FROM v WHERE v.i = s.i // (16 ** v.l)::BIGINT) y ON true),
+q AS (SELECT doc_id, leaf, bent, subroot, list_concat(coalesce(low, []), coalesce(high, [])) AS sides FROM p),
+k AS (
+  SELECT doc_id, leaf, subroot, 0 AS l, bent AS h, sides FROM q
+  UNION ALL
+  SELECT doc_id, leaf, subroot, l + 1, sha256(sides[l + 1].lft || h || sides[l + 1].rgt), sides FROM k WHERE l < len(sides))
+SELECT doc_id, leaf, subroot, root, sha256(list_aggregate(list_transform(sides, lambda e: e.lft || e.rgt), 'string_agg', '')) AS proof_sha256,
+  h AS folded_root, h = root AS verified
+FROM k, root WHERE l = len(sides)""",
+)
+def _(spark, d):
+    docs = table(spark, d, "documents")
+    text = F.col("text")
+    bent = F.when(
+        F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0,
+        F.translate(text, string.ascii_uppercase, string.ascii_lowercase),
+    ).otherwise(text)
+    head = [F.col(c) for c in ("doc_id", "source", "lang", "n_chars")]
+    leaves = docs.select("doc_id", "source", merkle.leaf(*head, text).alias("leaf"), merkle.leaf(*head, bent).alias("bent"))
+    done = merkle.proofs(merkle.build(leaves, "source", "doc_id", carry=["bent"]))
+    back = merkle.folded(F.col("row.bent"), F.col("path"))
+    return done.select(
+        F.col("row.doc_id").alias("doc_id"), F.col("hash").alias("leaf"), "subroot", "root",
+        merkle.proof_digest(F.col("path")).alias("proof_sha256"), back.alias("folded_root"),
+    ).withColumn("verified", F.col("folded_root") == F.col("root"))
