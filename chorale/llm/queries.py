@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chorale.llm import chat, exact, jaccard, langid, merkle, mixing, packing, quality, scoring, shards, urls
+from chorale.llm import align, chat, exact, jaccard, langid, merkle, mixing, packing, quality, scoring, shards, urls
 from chorale.llm.common import SPACE, md5_int, ranked, table
 from chorale.session import materialize
 
@@ -351,3 +351,15 @@ def _(spark, d):
         F.col("row.doc_id").alias("doc_id"), F.col("hash").alias("leaf"), "subroot", "root",
         merkle.proof_digest(F.col("path")).alias("proof_sha256"), back.alias("folded_root"),
     ).withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
+@query("op13_cross_tokenizer_alignment")
+def _(spark, d):
+    """No SQL: it has no tokenizers. Tests hold it against whole texts tokenized at once and all pairs of ranges."""
+    import public_tokenizers
+
+    files = map(public_tokenizers.path, ("byte_bpe_50k.json", "piece_bpe_32k.model"))
+    done = align.alignments(table(spark, d, "documents"), *files)
+    return done.select(
+        F.col("key").alias("doc_id"), "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"
+    )
