@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chorale.llm import align, chat, exact, jaccard, langid, merkle, mixing, packing, quality, scoring, shards, urls
+from chorale.llm import align, chat, exact, jaccard, langid, merkle, mixing, neardup, packing, quality, scoring, shards, urls
 from chorale.llm.common import SPACE, md5_int, ranked, table
 from chorale.session import materialize
 
@@ -363,3 +363,25 @@ def _(spark, d):
     return done.select(
         F.col("key").alias("doc_id"), "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"
     )
+
+
+@query(
+    "op12_embedding_near_dedup",
+    r"""WITH RECURSIVE v AS (
+  SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings
+  WHERE label IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+l AS (SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id
+  WHERE list_cosine_similarity(a.e, b.e) >= 0.93),
+r AS (SELECT vec_id AS a, vec_id AS b FROM embeddings UNION SELECT r.a, l.b FROM r JOIN l ON l.a = r.b),
+n AS (SELECT a, count(*) AS n FROM l GROUP BY a),
+c AS (SELECT a, min(b) AS c FROM r GROUP BY a)
+SELECT vec_id, coalesce(n.n, 0) AS n_links, c.c AS component_id, vec_id = c.c AS kept
+FROM embeddings JOIN c ON c.a = vec_id LEFT JOIN n ON n.a = vec_id""",
+)
+def _(spark, d):
+    done = neardup.near_duplicates(table(spark, d, "embeddings"))
+    return done.select(
+        F.col("key").alias("vec_id"), "n_links", F.col("component").alias("component_id"),
+        F.col("key").eqNullSafe(F.col("component")).alias("kept"),
+    )
