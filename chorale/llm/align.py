@@ -31,6 +31,7 @@ import re
 from array import array
 from collections.abc import Iterator
 from functools import lru_cache
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -42,7 +43,7 @@ from chorale.llm.common import pieces
 from chorale.session import materialize
 
 # Bytes of text in a batch, characters of a text at once, and stretches remembered.
-BATCH, SLICE, HELD = 4 << 20, 1 << 20, 1 << 18
+BATCH, SLICE, HELD = 4 << 20, 1 << 20, 1 << 19
 _CUT = re.compile(r"(?<=\S) (?=\S)")
 
 
@@ -53,6 +54,16 @@ def _byte_of() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(others)}
 
 
+class Matched(NamedTuple):
+    """Ids of both tokenizers, the bytes at which their tokens end, and those at which both end."""
+
+    a: np.ndarray
+    a_ends: np.ndarray
+    b: np.ndarray
+    b_ends: np.ndarray
+    cuts: np.ndarray
+
+
 class Aligner:
     """Two tokenizers, the bytes of their tokens, and the stretches aligned so far."""
 
@@ -63,112 +74,133 @@ class Aligner:
 
         self.a = Tokenizer.from_file(a_path)
         self.a.encode_special_tokens = True
-        byte_of = _byte_of()
-        self.a_bytes = {i: bytes(map(byte_of.__getitem__, t)) for t, i in self.a.get_vocab().items() if all(c in byte_of for c in t)}
+        byte_of, names = _byte_of(), {i: t for t, i in self.a.get_vocab().items()}
+        self.a_bytes = [bytes(byte_of[c] for c in names.get(i, "") if c in byte_of) for i in range(max(names) + 1)]
         self.b = sentencepiece.SentencePieceProcessor(model_file=b_path)
         names = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
-        self.b_byte = {i for i in range(len(names)) if self.b.is_byte(i)}
+        self.b_byte = np.array([self.b.is_byte(i) for i in range(len(names))])
         self.b_bytes = [
-            bytes([int(p[3:5], 16)]) if i in self.b_byte else p.replace("▁", " ").encode() for i, p in enumerate(names)
+            bytes([int(p[3:5], 16)]) if byte else p.replace("▁", " ").encode() for p, byte in zip(names, self.b_byte, strict=True)
         ]
-        self.cuts = not any("▁" in p.lstrip("▁") for p in names)
+        self.a_sizes, self.b_sizes = (np.array(list(map(len, x)), np.int64) for x in (self.a_bytes, self.b_bytes))
+        self.splits = not any("▁" in p.lstrip("▁") for p in names)
+        # What an id adds to the digest's text, by what follows it: another id, the other side, another group.
+        kinds = ((self.a_bytes, ","), (self.a_bytes, "|"), (self.b_bytes, ","), (self.b_bytes, ";"))
+        self.atoms = pa.array([f"{i}{end}" for tokens, end in kinds for i in range(len(tokens))])
         self.forget()
 
     def forget(self) -> None:
         self.known: dict[str, int] = {}
-        self.strings: list[str] = []
-        # Per stretch: tokens of both, groups, links (none at all: -1 tokens), and where its links start.
+        self.strings: list[bytes] = []
+        # Per stretch: tokens of both (-1: it has none), groups, links, and where its links start.
         self.sizes, self.codes = array("q"), array("q")
 
     def stretches(self, text: str) -> Iterator[list[str]]:
         """The stretches of a text, each without the space before it, slice by slice."""
         at = 0
-        while self.cuts and len(text) - at > SLICE:
+        while self.splits and len(text) - at > SLICE:
             cut = _CUT.search(text, at + SLICE)
             if not cut:
                 break
             yield _CUT.split(text[at : cut.start()])
             at = cut.end()
         rest = text[at:] if at else text
-        yield _CUT.split(rest) if self.cuts else [rest]
-
-    def a_ends(self, text: str, raw: bytes, encoding) -> list[int] | None:
-        """Where the byte-level tokens end in ``raw``; None if one differs."""
-        spans = encoding.offsets
-        place = None
-        if len(raw) != len(text):
-            place = [0, *np.cumsum([len(c.encode()) for c in text]).tolist()]
-        ends, at = [], 0
-        for i, token in enumerate(encoding.ids):
-            end = spans[i][1]
-            if i + 1 < len(spans) and spans[i + 1][0] < end:
-                # The next token starts inside this one's last character.
-                end = at + len(self.a_bytes[token])
-            elif place:
-                end = place[end]
-            if raw[at:end] != self.a_bytes[token]:
-                return None
-            ends.append(end)
-            at = end
-        return ends if at == len(raw) else None
-
-    def b_ends(self, raw: bytes, proto) -> tuple[list[int], list[int]] | None:
-        """Ids and ends of the pieces; their spans do not count the space before the text."""
-        ids, ends, at = [], [], 0
-        for piece in proto.pieces:
-            token = piece.id
-            end = at + 1 if token in self.b_byte else piece.end + 1
-            if raw[at:end] != self.b_bytes[token]:
-                return None
-            ids.append(token)
-            ends.append(end)
-            at = end
-        return (ids, ends) if at == len(raw) else None
-
-    def aligned(self, stretch: str, encoding, proto) -> tuple[list[tuple[list[int], list[int], int]], list[int]] | None:
-        """Groups as (ids, ids, end), and codes of links: the first id times 2^32, plus the other."""
-        text = " " + stretch
+        yield _CUT.split(rest) if self.splits else [rest]
+
+    def a_ends(self, text: str, ids: np.ndarray, spans: np.ndarray) -> np.ndarray:
+        """Ends in bytes from character offsets; of tokens inside a character, from their own bytes."""
+        ends = spans[:, 1]
+        if not text.isascii():
+            code = np.frombuffer(text.encode("utf-32-le"), "<u4")
+            width = 1 + (code > 0x7F).astype(np.int64) + (code > 0x7FF) + (code > 0xFFFF)
+            ends = np.concatenate([[0], np.cumsum(width)])[ends]
+        # The next token starts in the character in which such a token ends.
+        inside = np.append(spans[1:, 0] < spans[:-1, 1], False)
+        return np.where(inside, np.cumsum(self.a_sizes[ids]), ends)
+
+    def b_ends(self, ids: np.ndarray, spans: np.ndarray) -> np.ndarray:
+        """Ends in bytes from the proto's spans, which lack the space before the text; of single bytes, by counting."""
+        return np.where(self.b_byte[ids], np.cumsum(self.b_sizes[ids]), spans + 1)
+
+    def matched(self, text: str) -> Matched | None:
+        """The tokens of ``text``, with a space before it; None if some token is not the bytes of its range."""
+        text = " " + text
         raw = text.encode()
-        a_ends, b_found = self.a_ends(text, raw, encoding), self.b_ends(raw, proto)
-        if a_ends is None or b_found is None:
-            return None
-        a_ids, (b_ids, b_ends) = encoding.ids, b_found
-        groups, links, i, j, first, second = [], [], 0, 0, 0, 0
-        while i < len(a_ids):
-            links.append(a_ids[i] << 32 | b_ids[j])
-            x, y = a_ends[i], b_ends[j]
-            i += x <= y
-            j += y <= x
-            if x == y:
-                groups.append((a_ids[first:i], b_ids[second:j], x))
-                first, second = i, j
-        return groups, links
+        encoding = self.a.encode(text, add_special_tokens=False)
+        found = self.b.encode(text[1:], return_type="proto").pieces
+        a = np.array(encoding.ids, np.int64)
+        b = np.array([p.id for p in found], np.int64)
+        a_ends = self.a_ends(text, a, np.array(encoding.offsets, np.int64).reshape(-1, 2))
+        b_ends = self.b_ends(b, np.array([p.end for p in found], np.int64))
+        for ids, ends, sizes, tokens in ((a, a_ends, self.a_sizes, self.a_bytes), (b, b_ends, self.b_sizes, self.b_bytes)):
+            if (ends != np.cumsum(sizes[ids])).any() or b"".join(map(tokens.__getitem__, ids.tolist())) != raw:
+                return None
+        return Matched(a, a_ends, b, b_ends, np.intersect1d(a_ends, b_ends, assume_unique=True))
 
     def learn(self, stretches: list[str]) -> None:
-        """Align the stretches not seen before."""
-        new = list({s for s in stretches if s not in self.known})
-        if not new:
-            return
-        encodings = self.a.encode_batch([" " + s for s in new], add_special_tokens=False)
-        protos = self.b.encode(new, return_type="proto", num_threads=1)
-        for stretch, encoding, proto in zip(new, encodings, protos, strict=True):
-            found = self.aligned(stretch, encoding, proto)
-            self.known[stretch] = len(self.strings)
-            if found is None:
-                self.strings.append("")
-                self.sizes.extend((-1, 0, 0, 0, len(self.codes)))
+        """Align the stretches not seen before, many of them joined to one text."""
+        new = [s for s in dict.fromkeys(stretches) if s not in self.known]
+        plain, size = [], 0
+        for s in new:
+            # Joined by spaces they are cut at these again, unless space is at an edge. A text with the piece tokenizer's sign for
+            # a space has no tokens.
+            if not self.splits or not s or s[0].isspace() or s[-1].isspace() or "▁" in s:
+                self._remember([s])
                 continue
-            groups, links = found
-            self.strings.append(";".join(f"{','.join(map(str, x))}|{','.join(map(str, y))}" for x, y, _ in groups))
-            self.sizes.extend((len(encoding.ids), sum(len(y) for _, y, _ in groups), len(groups), len(links), len(self.codes)))
-            self.codes.extend(links)
+            plain.append(s)
+            size += len(s)
+            if size > SLICE:
+                self._remember(plain)
+                plain, size = [], 0
+        if plain:
+            self._remember(plain)
+
+    def _remember(self, own: list[str]) -> None:
+        found = self.matched(" ".join(own))
+        ends = np.cumsum([len(s.encode()) + 1 for s in own])
+        if found is None or not np.isin(ends, found.cuts).all():
+            if len(own) > 1:
+                self._remember(own[: len(own) // 2])
+                self._remember(own[len(own) // 2 :])
+            else:
+                self.known[own[0]] = len(self.strings)
+                self.strings.append(b"")
+                self.sizes.extend((-1, 0, 0, 0, len(self.codes)))
+            return
+        a, a_ends, b, b_ends, cuts = found
+        # Links: all pieces from the one that holds a token's first byte to the one that holds its last.
+        low = np.searchsorted(b_ends, np.concatenate([[0], a_ends[:-1]]), "right")
+        width = np.searchsorted(b_ends, a_ends, "left") - low + 1
+        upto = np.cumsum(width)
+        at = np.arange(upto[-1]) - np.repeat(upto - width, width) + np.repeat(low, width)
+        # The digest's text: of each group, its ids of one side, then those of the other.
+        a_group, b_group = np.searchsorted(cuts, a_ends), np.searchsorted(cuts, b_ends)
+        a_upto, b_upto = np.searchsorted(a_ends, cuts, "right"), np.searchsorted(b_ends, cuts, "right")
+        order = np.empty(a.size + b.size, np.int64)
+        ends_a, ends_b = a_ends == cuts[a_group], b_ends == cuts[b_group]
+        order[np.arange(a.size) + np.concatenate([[0], b_upto[:-1]])[a_group]] = a + len(self.a_bytes) * ends_a
+        order[np.arange(b.size) + a_upto[b_group]] = b + 2 * len(self.a_bytes) + len(self.b_bytes) * ends_b
+        atoms = self.atoms.take(pa.array(order))
+        places = np.frombuffer(atoms.buffers()[1], np.int32)[: len(atoms) + 1]
+        written = atoms.buffers()[2].to_pybytes()
+        # Running totals at the end of each stretch.
+        n_a, n_b = np.searchsorted(a_ends, ends, "right"), np.searchsorted(b_ends, ends, "right")
+        totals = np.stack([n_a, n_b, np.searchsorted(cuts, ends, "right"), upto[n_a - 1]], axis=1)
+        sizes = np.diff(totals, axis=0, prepend=0)
+        starts = len(self.codes) + totals[:, 3] - sizes[:, 3]
+        self.sizes.frombytes(np.column_stack([sizes, starts]).astype(np.int64).tobytes())
+        self.codes.frombytes((np.repeat(a << 32, width) | b[at]).tobytes())
+        edges = [0, *places[n_a + n_b].tolist()]
+        for s, x, y in zip(own, edges, edges[1:]):
+            self.known[s] = len(self.strings)
+            self.strings.append(written[x:y])
 
     def document(self, text: str) -> tuple[list[int], str, np.ndarray, np.ndarray] | None:
         """Sizes, digest of the groups, distinct link codes, and how often each occurs."""
         totals, digest = np.zeros(4, np.int64), hashlib.sha256()
         pairs, times = np.zeros(0, np.int64), np.zeros(0, np.int64)
         for n, stretches in enumerate(self.stretches(text)):
-            if len(self.known) > HELD:
+            if n and len(self.known) > HELD:
                 self.forget()
             self.learn(stretches)
             own = np.fromiter(map(self.known.__getitem__, stretches), np.int64, len(stretches))
@@ -177,14 +209,15 @@ class Aligner:
             if (sizes[:, 0] < 0).any():
                 return None
             totals += often @ sizes[:, :4]
-            digest.update(((";" if n else "") + ";".join(map(self.strings.__getitem__, own))).encode())
+            digest.update((b";" if n else b"") + b"".join(map(self.strings.__getitem__, own.tolist()))[:-1])
             width = sizes[:, 3]
             at = np.repeat(sizes[:, 4] - (np.cumsum(width) - width), width) + np.arange(width.sum())
             codes = np.concatenate([pairs, np.frombuffer(self.codes, np.int64)[at]])
             weights = np.concatenate([times, np.repeat(often, width)])
-            pairs, inverse = np.unique(codes, return_inverse=True)
-            times = np.zeros(pairs.size, np.int64)
-            np.add.at(times, inverse, weights)
+            order = np.argsort(codes)
+            codes = codes[order]
+            first = np.flatnonzero(np.diff(codes, prepend=-1))
+            pairs, times = codes[first], np.add.reduceat(weights[order], first)
         return totals.tolist(), digest.hexdigest(), pairs, times
 
 
@@ -206,7 +239,12 @@ def _batches(a_path: str, b_path: str):
         none = np.zeros(0, np.int64)
         for batch in pieces(batches, "text", BATCH):
             sizes, digests, pairs, times = [], [], [], []
-            for text in batch.column("text").to_pylist():
+            if len(aligner.known) > HELD:
+                aligner.forget()
+            texts = batch.column("text").to_pylist()
+            # What the batch has that was not seen before is learnt at once; longer texts come slice by slice.
+            aligner.learn([s for t in texts if t and len(t) <= SLICE for part in aligner.stretches(t) for s in part])
+            for text in texts:
                 found = aligner.document(text) if text else None
                 totals, digest, own, often = found or ([0] * 4, "", none, none)
                 sizes.append(totals)
@@ -283,16 +321,16 @@ def groups(docs: DataFrame, a_path: str, b_path: str, key: str = "doc_id", text:
                     continue
                 at = start = 0
                 for stretches in aligner.stretches(text):
-                    encodings = aligner.a.encode_batch([" " + s for s in stretches], add_special_tokens=False)
-                    protos = aligner.b.encode(stretches, return_type="proto", num_threads=1)
-                    for found in map(aligner.aligned, stretches, encodings, protos):
-                        before = 0
-                        for a, b, end in found[0]:
-                            # Ranges in the text itself, without the space put before it.
-                            owner.append(row)
-                            out.append((at, max(start + before - 1, 0), start + end - 1, a, b))
-                            at, before = at + 1, end
-                        start += before
+                    found = aligner.matched(" ".join(stretches))
+                    x = np.searchsorted(found.a_ends, found.cuts, "right").tolist()
+                    y = np.searchsorted(found.b_ends, found.cuts, "right").tolist()
+                    before = i = j = 0
+                    for end, k, m in zip(found.cuts.tolist(), x, y, strict=True):
+                        # Ranges in the text itself, without the space put before it.
+                        owner.append(row)
+                        out.append((at, max(start + before - 1, 0), start + end - 1, found.a[i:k], found.b[j:m]))
+                        at, before, i, j = at + 1, end, k, m
+                    start += before
             columns = [batch.column("key").take(pa.array(owner, pa.int64()))]
             columns += [pa.array([o[k] for o in out], pa.int64()) for k in range(3)]
             columns += [pa.array([o[k] for o in out], pa.list_(pa.int32())) for k in (3, 4)]
