@@ -31,8 +31,8 @@ FENCE = 4
 # Measures as whole numbers, and the least spread taken for each.
 RATIOS = {
     "symbols": ("10000 * n_symbols", "word_chars", 100),
-    "dup_lines": ("10000 * n_dup_lines", "n_lines", 1000),
-    "repeats": ("10000 * n_repeat_words", "n_words", 1000),
+    "dup_lines": ("10000 * n_dup_lines", "n_lines", 100),
+    "repeats": ("10000 * n_repeat_words", "n_words", 100),
     "word_length": ("1000 * word_chars", "n_words", 500),
 }
 

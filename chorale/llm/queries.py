@@ -99,7 +99,7 @@ f AS (
   SELECT doc_id, lang, source, k, x, (x >> e) << e AS cell, least FROM (
     SELECT *, greatest(length(bin(x)) - 7, 0) AS e FROM (
       SELECT doc_id, lang, source, unnest(['symbols', 'dup_lines', 'repeats', 'word_length']) AS k,
-        unnest([v.symbols, v.dup_lines, v.repeats, v.word_length]) AS x, unnest([100, 1000, 1000, 500]) AS least
+        unnest([v.symbols, v.dup_lines, v.repeats, v.word_length]) AS x, unnest([100, 100, 100, 500]) AS least
       FROM b WHERE NOT base_failed))),
 lev AS (
   SELECT doc_id, k, x, least, cell, lang, source, unnest([0, 1, 2]) AS lv FROM f),

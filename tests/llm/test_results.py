@@ -358,3 +358,28 @@ def test_pipeline_against_brute_force(spark, data_dir, texts):
     rows = corpus_pipeline.run(spark, data_dir).collect()
     assert {r.doc_id for r in rows} == set(kept)
     check_pieces(rows, kept, Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json")), 1)
+
+
+def test_cutoffs_follow_a_group_without_repetition(spark):
+    """Texts that pass the base rule but lie far outside their group are rejected by each measure."""
+    def words(i, n):
+        return [f"w{(i * 7919 + k * 104729) % 1000003}x" for k in range(n)]
+
+    rows = [(i, "\n".join(" ".join(words(i * 40 + k, 10)) for k in range(10)), "en", "a") for i in range(400)]
+    repeated = words(90_001, 100)
+    repeated = " ".join(repeated[:86] + repeated[:14])
+    lines = [" ".join(words(90_100 + k, 5)) for k in range(20)]
+    planted = {
+        "repeats": repeated,
+        "dup_lines": "\n".join(lines[:14] + ["short one"] * 6 + [" ".join(words(90_200, 30))]),
+        "symbols": " ".join(words(90_300, 100)) + " " + "#" * 60,
+        "word_length": " ".join(w * 8 for w in words(90_400, 100)),
+    }
+    names = dict(enumerate(planted, 1000))
+    rows += [(i, planted[name], "en", "a") for i, name in names.items()]
+    judged = quality.judge(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")).collect()
+    for r in judged:
+        assert not r.base_failed
+        assert r.kept == (r.doc_id < 1000), (r.doc_id, r.failed)
+        if r.doc_id in names:
+            assert names[r.doc_id] in r.failed
