@@ -159,7 +159,8 @@ def pack_kinds(histogram: dict[int, int], size: int) -> list[tuple[int, list[int
 
 def packed(rows: DataFrame, size: int = 1024) -> DataFrame:
     """``rows`` (key, start, length, ...) with sequence_id and offset; nothing is longer than ``size``."""
-    rows = ranked(rows, ["length"], [F.col("key"), F.col("start")], "pieces")
+    # Ranking reads its rows twice; texts are tokenized once.
+    rows = ranked(materialize(rows, "tokenized"), ["length"], [F.col("key"), F.col("start")], "pieces")
     rows = materialize(rows, "ranked")
     histogram = {r["length"]: r["count"] for r in rows.groupBy("length").count().collect()}
     runs, taken, sequence = [], dict.fromkeys(histogram, 0), 0
