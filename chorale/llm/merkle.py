@@ -129,7 +129,8 @@ def build(leaves: DataFrame, group: str, key: str, leaf: str = "leaf", carry: Se
     rows = leaves.select(
         name.alias("tree"), F.col(leaf).alias("hash"), F.col(key).alias("key"), F.struct(key, *carry).alias("row")
     )
-    placed = ranked(rows, ["tree"], [F.col("key"), F.col("hash")], "leaves", "at")
+    # Ranking reads its rows twice; texts are hashed once.
+    placed = ranked(materialize(rows, "digests"), ["tree"], [F.col("key"), F.col("hash")], "leaves", "at")
     groups = _stored(materialize(placed.select("tree", "at", "hash", "row"), "leaves"), "nodes")
     subroots = groups[-1].select(F.lit("").alias("tree"), "hash", F.col("tree").alias("key"))
     subroots = materialize(ranked(subroots, ["tree"], [F.col("key")], "subroots", "at"), "subroots")
