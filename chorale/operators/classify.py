@@ -2,25 +2,25 @@
 
 from __future__ import annotations
 
+import math
 import random
 from collections.abc import Callable, Mapping, Sequence
 
 import numpy as np
-from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (
     GBTClassifier,
     LogisticRegression,
     LogisticRegressionModel,
-    NaiveBayes,
     OneVsRest,
     OneVsRestModel,
 )
-from pyspark.ml.feature import HashingTF, IndexToString, NGram, RegexTokenizer, StringIndexer, StringIndexerModel
+from pyspark.ml.feature import IndexToString, StringIndexer, StringIndexerModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from chorale.operators.metrics import overall_scores
 from chorale.operators.sampling import class_totals
+from chorale.session import allow_checkpoints
 
 # --- Fixed values: settings of the three classifiers per feature mode --------
 LOGISTIC = {
@@ -88,18 +88,35 @@ def fit_logistic(train: DataFrame, mode: str = "audio", label: str = "y", **over
     return model
 
 
+# Numbers of the training table that one task of a boosting round takes.
+BOOST_CELLS = 4_000_000
+
+
 def fit_boosted(
     train: DataFrame, mode: str = "audio", label: str = "y", seed: int = 42, **overrides
 ) -> OneVsRestModel:
     """Gradient-boosted trees, one binary ensemble per class, rows weighted.
 
     MLlib boosts binary problems only; one-vs-rest replaces a softmax objective.
+    A round is several short jobs on a table that is binned and cached once, so
+    the ensembles of all classes are grown side by side, each on as few tasks as
+    the table's size asks for; lineage is cut every ten rounds.
     """
     params = {**settings(BOOSTED, mode), **overrides}
-    weighted = with_class_weight(train, label).persist()
+    allow_checkpoints(train.sparkSession)
+    weighted = with_class_weight(train, label)
+    size = weighted.agg(F.count(F.lit(1)).alias("n"), (F.max(label) + 1).alias("k")).first()
+    width = weighted.select("features").first()["features"].size
+    tasks = max(1, math.ceil(size["n"] * width / BOOST_CELLS))
+    weighted = weighted.select("features", label, "weight").repartition(tasks).persist()
     try:
-        trees = GBTClassifier(featuresCol="features", labelCol=label, weightCol="weight", seed=seed, **params)
-        model = OneVsRest(classifier=trees, featuresCol="features", labelCol=label, weightCol="weight").fit(weighted)
+        trees = GBTClassifier(
+            featuresCol="features", labelCol=label, weightCol="weight", seed=seed, checkpointInterval=10, **params
+        )
+        classes = OneVsRest(
+            classifier=trees, featuresCol="features", labelCol=label, weightCol="weight", parallelism=int(size["k"])
+        )
+        model = classes.fit(weighted)
     finally:
         weighted.unpersist()
     return model
@@ -157,53 +174,3 @@ def top_words_by_coefficient(
             (label, r + 1, names[i].removeprefix("tfidf::"), float(line[i])) for r, i in enumerate(best)
         ]
     return spark.createDataFrame(rows, "label string, rank int, word string, coefficient double")
-
-
-# --- language detection ------------------------------------------------------
-
-MIN_CHARS_FOR_DETECTION = 30
-
-
-class LanguageFilter:
-    """Keep texts in the wanted languages.
-
-    An existing language column is trusted. Without one, languages come from a
-    model fitted on labelled texts: hashed character trigrams and naive Bayes.
-    """
-
-    def __init__(self, languages_to_keep: Sequence[str] = ("en",), min_chars: int = MIN_CHARS_FOR_DETECTION) -> None:
-        self.languages_to_keep = tuple(languages_to_keep)
-        self.min_chars = min_chars
-        self.model: PipelineModel | None = None
-
-    def fit(self, df: DataFrame, text_col: str, language_col: str, buckets: int = 1 << 14) -> "LanguageFilter":
-        labelled = df.select(F.col(text_col).alias("_text"), F.col(language_col).alias("_lang")).dropna()
-        indexer = StringIndexer(inputCol="_lang", outputCol="_y", stringOrderType="alphabetAsc").fit(labelled)
-        stages = [
-            RegexTokenizer(inputCol="_text", outputCol="_chars", pattern="(?s).", gaps=False, minTokenLength=1),
-            NGram(n=3, inputCol="_chars", outputCol="_grams"),
-            HashingTF(inputCol="_grams", outputCol="_tf", numFeatures=buckets),
-            NaiveBayes(featuresCol="_tf", labelCol="_y", predictionCol="_p"),
-        ]
-        fitted = Pipeline(stages=stages).fit(indexer.transform(labelled))
-        decode = IndexToString(inputCol="_p", outputCol="_detected", labels=indexer.labels)
-        self.model = PipelineModel([*fitted.stages, decode])
-        return self
-
-    def detect(self, df: DataFrame, text_col: str, out: str = "language") -> DataFrame:
-        """Add the detected language; short or missing text is 'unknown'."""
-        if self.model is None:
-            raise ValueError("fit the detector on labelled texts first")
-        text = F.col(text_col)
-        usable = F.coalesce(F.length(text) >= self.min_chars, F.lit(False))
-        found = self.model.transform(df.withColumn("_text", F.when(usable, text).otherwise("")))
-        named = F.when(usable, F.col("_detected")).otherwise("unknown")
-        return found.select(*[F.col(f"`{c}`") for c in df.columns if c != out], named.alias(out))
-
-    def filter_dataframe(
-        self, df: DataFrame, text_col: str = "lyrics", language_col: str | None = "language"
-    ) -> DataFrame:
-        if not (language_col and language_col in df.columns):
-            language_col = "language"
-            df = self.detect(df, text_col, language_col)
-        return df.filter(F.col(language_col).isin(list(self.languages_to_keep)))

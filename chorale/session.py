@@ -43,6 +43,12 @@ def shared_dir(spark: SparkSession) -> str:
     return folder
 
 
+def allow_checkpoints(spark: SparkSession) -> None:
+    """Let fits that cut their lineage do so in the shared folder, also where only the session names it."""
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(shared_dir(spark))
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A path nobody used before, in the shared folder."""
     return f"{shared_dir(spark).rstrip('/')}/chorale/{name}-{uuid.uuid4().hex}"

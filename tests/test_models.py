@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from chorale.operators import classify, cluster, features, metrics, neighbours, reduce, scaling, tfidf
+from chorale.operators import classify, cluster, features, language, metrics, neighbours, reduce, scaling, tfidf
 from chorale.plans import evaluate, queries
 
 
@@ -119,14 +119,31 @@ def test_class_weights(spark):
 
 def test_language_filter(spark, data_dir):
     docs = spark.read.parquet(f"{data_dir}/documents.parquet")
-    detector = classify.LanguageFilter(("fr",)).fit(docs, "text", "lang")
+    detector = language.LanguageFilter(("fr",)).fit(docs, "text", "lang")
     short = spark.createDataFrame([(None,), ("too short",)], "text string")
     assert {r["language"] for r in detector.detect(short, "text").collect()} == {"unknown"}
     kept = detector.filter_dataframe(docs.filter("n_chars > 60"), "text", None)
     assert kept.filter("lang = 'fr'").count() / kept.count() > 0.95
-    assert classify.LanguageFilter(("de",)).filter_dataframe(docs, "text", "lang").select("lang").distinct().count() == 1
+    assert language.LanguageFilter(("de",)).filter_dataframe(docs, "text", "lang").select("lang").distinct().count() == 1
     with pytest.raises(ValueError):
-        classify.LanguageFilter().detect(docs, "text")
+        language.LanguageFilter().detect(docs, "text")
+
+
+def test_language_models_too_large_to_copy_are_joined(spark, data_dir, monkeypatch):
+    docs = spark.read.parquet(f"{data_dir}/documents.parquet").withColumn("_row0", F.lit(1))
+    docs = docs.unionByName(docs.limit(1).withColumn("text", F.lit(None).cast("string")))
+    model = language.LanguageFilter().fit(docs, "text", "lang")
+    here = sorted(map(str, model.detect(docs, "text").select("doc_id", "language").collect()))
+    monkeypatch.setattr(language, "HELD_CELLS", 0)
+    assert sorted(map(str, model.detect(docs, "text").select("doc_id", "language").collect())) == here
+    assert language.LanguageFilter().fit(docs.limit(0), "text", "lang").detect(docs, "text").count() == docs.count()
+
+
+def test_language_slices(monkeypatch):
+    text = "AbcÄ漢😀 xyz" * 50
+    whole = np.concatenate(list(language._trigrams(text)))
+    monkeypatch.setattr(language, "SLICE", 7)
+    assert (np.concatenate(list(language._trigrams(text))) == whole).all() and whole.size == len(text) - 2
 
 
 def test_kmeans_finds_the_groups(points):
