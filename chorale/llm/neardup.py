@@ -48,7 +48,7 @@ FIRST, MOST, LEAF, STARTS, MEET = 16, 64, 256, 4, 64
 # Classes in the audit's sample, the share of links to be found, and rounds without it before giving up.
 AUDIT, RECALL, ROUNDS = 1024, 0.99, 12
 # Vectors in a block of saturated classes.
-TILE = 1024
+TILE = 256
 
 
 @dataclass(frozen=True)
