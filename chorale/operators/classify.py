@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import itertools
 import math
 import random
 from collections.abc import Callable, Mapping, Sequence
@@ -131,11 +132,14 @@ def random_search(
     label: str = "y",
     seed: int = 42,
 ) -> DataFrame:
-    """(trial, params, val_macro_f1), best first: seeded draws from a grid."""
-    draw = random.Random(seed)
+    """(trial, params, val_macro_f1), best first: seeded draws from a grid, no setting twice.
+
+    As many trials as the grid has settings try all of them.
+    """
+    names = sorted(grid)
+    every = [dict(zip(names, chosen)) for chosen in itertools.product(*(list(grid[name]) for name in names))]
     rows = []
-    for trial in range(trials):
-        params = {name: draw.choice(list(options)) for name, options in sorted(grid.items())}
+    for trial, params in enumerate(random.Random(seed).sample(every, min(trials, len(every)))):
         scored = fit(train, label=label, **params).transform(validation)
         score = overall_scores(scored, label, "prediction").first()["macro_f1"]
         rows.append((trial, str(params), score))

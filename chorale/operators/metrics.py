@@ -225,8 +225,8 @@ def davies_bouldin(df: DataFrame, vector: str, cluster: str) -> DataFrame:
     return df.sparkSession.createDataFrame([(float(np.mean(worst)),)], "davies_bouldin double")
 
 
-# Rows in a block of the silhouette's distances.
-BLOCK_ROWS = 2_048
+# Bytes of a block of the silhouette's vectors, and rows compared at once inside one.
+BLOCK_BYTES, SLICE_ROWS = 8 << 20, 1_024
 
 
 def silhouette(
@@ -236,14 +236,19 @@ def silhouette(
 
     Blocks of rows meet blocks of rows; each meeting gives, for every row of one
     block, its summed distances to the clusters in the other. No pair of rows
-    leaves a task, and a task holds two blocks.
+    leaves a task. A block has as many rows as fit its bytes, so a table is
+    copied once for each ``BLOCK_BYTES`` it has, and a task holds two blocks.
+
+    The score of a sample of n rows has a standard error of about its standard
+    deviation over the square root of n: 0.5 / sqrt(3000) is below 0.01.
     """
     rows = df.select(*key, F.col(vector).cast("array<double>").alias("v"), F.col(cluster).cast("string").alias("c"))
     if sample is not None:
         rows = sample_exact(rows, sample, key, seed)
     rows = materialize(rows.select("v", "c", F.xxhash64(*key).alias("k")), "silhouette")
     sizes = rows.groupBy("c").agg(F.count(F.lit(1)).alias("size"))
-    blocks = -(-rows.count() // BLOCK_ROWS) or 1
+    total = rows.agg(F.coalesce(F.sum(8 * F.size("v")), F.lit(0))).first()[0]
+    blocks = -(-total // BLOCK_BYTES) or 1
     own = F.pmod("k", F.lit(blocks))
     every = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long")))
     asked = rows.select("v", "c", "k", F.lit(0).alias("side"), own.alias("a"), every.alias("b"))
@@ -255,14 +260,18 @@ def silhouette(
             return pd.DataFrame({"row": [], "c": [], "other": [], "total": []})
         x, y = np.array(mine.v.tolist()), np.array(other.v.tolist())
         names, codes = np.unique(other.c.to_numpy(dtype=str), return_inverse=True)
-        squared = (x**2).sum(axis=1)[:, None] + (y**2).sum(axis=1)[None, :] - 2 * x @ y.T
-        total = np.sqrt(np.maximum(squared, 0)) @ np.eye(len(names))[codes]
+        member, y2 = np.eye(len(names))[codes], (y**2).sum(axis=1)
+        sums = []
+        for at in range(0, len(x), SLICE_ROWS):
+            part = x[at : at + SLICE_ROWS]
+            squared = (part**2).sum(axis=1)[:, None] + y2[None, :] - 2 * part @ y.T
+            sums.append(np.sqrt(np.maximum(squared, 0)) @ member)
         return pd.DataFrame(
             {
                 "row": np.repeat(mine["id"].to_numpy(), len(names)),
                 "c": np.repeat(mine.c.to_numpy(), len(names)),
                 "other": np.tile(names, len(mine)),
-                "total": total.ravel(),
+                "total": np.concatenate(sums).ravel(),
             }
         )
 

@@ -16,6 +16,7 @@ from chorale.config import (
     CATALOGUE_PATTERNS,
     LYRIC_FEATURES,
     REPORT_STOP_WORDS,
+    ROWS_PER_CLASS,
     TAG_LABELS,
     WORDS_KEPT,
 )
@@ -51,6 +52,8 @@ from chorale.plans.sample_tables import (
 )
 from chorale.session import materialize, scratch_path
 from chorale.sources import readers, sinks
+from chorale.sources.readers import LYRICS_COLUMNS
+from chorale.streaming.ingest import ingest_lyrics, lyrics_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -138,7 +141,7 @@ parts AS (
 DOC_ROWS = "rows AS (SELECT doc_id AS k, lang AS c, text AS u, text, source FROM documents)"
 
 
-def doc_split(spark: SparkSession, d: str, n: int = 100) -> DataFrame:
+def doc_split(spark: SparkSession, d: str, n: int = ROWS_PER_CLASS) -> DataFrame:
     docs = documents(spark, d)
     kept = sampling.balance(docs, "lang", ["doc_id"], samples_per_class=n)
     return sampling.stratified_split(kept, "lang", ["doc_id"], ["text"])
@@ -217,13 +220,13 @@ def _(spark, d):
 
 @query(
     "dataset_sink",
-    f"""WITH {DOC_ROWS}, {balance_sql('rows', 100)}, {split_sql('bal')}
+    f"""WITH {DOC_ROWS}, {balance_sql('rows', ROWS_PER_CLASS)}, {split_sql('bal')}
 SELECT split, k AS doc_id, c AS lang FROM parts
 UNION ALL SELECT 'full', k, c FROM bal""",
 )
 def _(spark, d):
     full = materialize(
-        sampling.balance(documents(spark, d), "lang", ["doc_id"], samples_per_class=100).select("doc_id", "lang", "text"),
+        sampling.balance(documents(spark, d), "lang", ["doc_id"], samples_per_class=ROWS_PER_CLASS).select("doc_id", "lang", "text"),
         "balanced",
     )
     parts = sampling.stratified_split(full, "lang", ["doc_id"], ["text"])
@@ -237,7 +240,7 @@ def _(spark, d):
 
 @query(
     "split_report",
-    f"""WITH {DOC_ROWS}, {balance_sql('rows', 100)}, {split_sql('bal')}
+    f"""WITH {DOC_ROWS}, {balance_sql('rows', ROWS_PER_CLASS)}, {split_sql('bal')}
 SELECT split, c AS lang, count(*) AS n, grouping(split, c)::BIGINT AS level FROM parts GROUP BY ROLLUP (split, c)""",
 )
 def _(spark, d):
@@ -637,7 +640,7 @@ def _(spark, d):
 
 @query(
     "silhouette",
-    f"""WITH e AS (SELECT vec_id, label, embedding::DOUBLE[] AS v FROM embeddings ORDER BY {digest_sql('vec_id')} LIMIT 3000),
+    """WITH e AS (SELECT vec_id, label, embedding::DOUBLE[] AS v FROM embeddings),
 p AS (SELECT a.vec_id, a.label AS own, b.label AS other, sum(list_distance(a.v, b.v)) AS total, count(*) AS n
       FROM e a, e b GROUP BY ALL),
 s AS (SELECT vec_id, max(total / (n - 1)) FILTER (own = other) AS inn, min(total / n) FILTER (own <> other) AS outt FROM p GROUP BY vec_id)
@@ -1025,7 +1028,7 @@ def _(spark, d):
 
 @query(
     "stratified_split",
-    f"WITH {DOC_ROWS}, {balance_sql('rows', 100)}, {split_sql('bal')} SELECT k AS doc_id, c AS lang, split FROM parts",
+    f"WITH {DOC_ROWS}, {balance_sql('rows', ROWS_PER_CLASS)}, {split_sql('bal')} SELECT k AS doc_id, c AS lang, split FROM parts",
 )
 def _(spark, d):
     return doc_split(spark, d).select("doc_id", "lang", "split")
@@ -1166,7 +1169,7 @@ GATE_TARGETS = ("en", "fr", "de", "es", "it")
 
 def _gate_sql() -> str:
     targets = "[" + ", ".join(f"'{t}'" for t in GATE_TARGETS) + "]"
-    return f"""WITH {DOC_ROWS}, {balance_sql('rows', 100)}, {split_sql('bal')},
+    return f"""WITH {DOC_ROWS}, {balance_sql('rows', ROWS_PER_CLASS)}, {split_sql('bal')},
 tagged AS (SELECT 'full' AS split, c, text, source FROM bal UNION ALL SELECT split, c, text, source FROM parts),
 counts AS (SELECT split, c, count(*) AS n FROM tagged GROUP BY ALL),
 missing AS (SELECT s.split, string_agg(t.c, ',' ORDER BY t.c) FILTER (counts.n IS NULL) AS m
@@ -1192,18 +1195,17 @@ def _(spark, d):
         "doc_id", F.col("lang").alias("genre"), F.col("source").alias("artist"), F.md5("text").alias("title"),
         F.col("text").alias("lyrics_clean"), tx.word_count(F.col("text")).alias("word_count"),
     )
-    full = materialize(sampling.balance(docs, "genre", ["doc_id"], samples_per_class=100), "gate")
+    full = materialize(sampling.balance(docs, "genre", ["doc_id"], samples_per_class=ROWS_PER_CLASS), "gate")
     parts = materialize(sampling.stratified_split(full, "genre", ["doc_id"], ["lyrics_clean"]), "gate")
     return guards.quality_report(full, parts, guards.LYRICS_GATE, targets=GATE_TARGETS, min_per_class=50)
 
 
 # --- whole builds ------------------------------------------------------------
 
-SMALL_BUILD = build.Choices(per_class=400)
 AUDIO_BUILD_SQL = f"""WITH {RESOLVED_SQL},
 lab AS (SELECT *, {_substring_sql('lower(trim(track_genre))', CATALOGUE_PATTERNS)} AS genre FROM resolved),
 rows AS (SELECT track_id AS k, genre AS c, concat(artists, '|', track_name) AS u, * FROM lab WHERE genre IS NOT NULL),
-{balance_sql('rows', 400)}, {split_sql('bal')}"""
+{balance_sql('rows', ROWS_PER_CLASS)}, {split_sql('bal')}"""
 
 
 @query(
@@ -1212,26 +1214,47 @@ rows AS (SELECT track_id AS k, genre AS c, concat(artists, '|', track_name) AS u
 SELECT track_id, track_name, artists, popularity::BIGINT AS popularity, genre, {AUDIO_LIST}, split FROM parts""",
 )
 def _(spark, d):
-    data = build.build_audio(readers.load_catalogue(catalogue_tables(spark, d)), SMALL_BUILD)
+    data = build.build_audio(readers.load_catalogue(catalogue_tables(spark, d)))
     return big(data.parts)
 
 
-LYRICS_BUILD = build.Choices(per_class=90, languages=("en", "fr", "de", "es"))
+LYRICS_BUILD = build.Choices(languages=("en", "fr", "de", "es"))
 
 
 def _clean_lyrics_sql() -> str:
     return _squeezed(_replaced("lyrics", *CRUFT_RE2, r"\[[^\]]{0,200}\]", PRODUCER_RE2))
 
 
-@query(
-    "lyrics_build",
-    f"""WITH {LYRICS_SQL},
+CLEAN_LYRICS_SQL = f"""{LYRICS_SQL},
 lab AS (SELECT *, CASE lower(trim(tag)) {' '.join(f"WHEN '{t}' THEN '{v}'" for t, v in TAG_LABELS.items())} END AS genre
   FROM lyrics WHERE len({words_sql('lyrics')}) BETWEEN 50 AND 4000),
-cl AS (SELECT *, {_clean_lyrics_sql()} AS lyrics_clean FROM lab WHERE genre IS NOT NULL),
+cl AS (SELECT *, {_clean_lyrics_sql()} AS lyrics_clean FROM lab WHERE genre IS NOT NULL)"""
+
+
+@query(
+    "chunked_ingest",
+    f"""WITH {CLEAN_LYRICS_SQL}
+SELECT id, genre, lyrics_clean, len({words_sql('lyrics_clean')})::BIGINT AS word_count FROM cl
+WHERE len({words_sql('lyrics_clean')}) BETWEEN 50 AND 2000""",
+)
+def _(spark, d):
+    """A folder is ingested file by file; it grows, and a second start takes only what is new."""
+    folder, output, state = (scratch_path(spark, name) for name in ("incoming", "ingested", "progress"))
+    rows = lyrics_table(spark, d).select(*LYRICS_COLUMNS).withColumn("half", F.pmod(F.xxhash64("id"), F.lit(2)))
+    for half in (0, 1):
+        arrived = rows.filter(F.col("half") == half).drop("half")
+        arrived.write.mode("append").parquet(folder)
+        stream = lyrics_stream(spark, folder, files_per_chunk=2, schema=arrived.schema)
+        ingest_lyrics(stream, output, state, LYRICS_BUILD).awaitTermination()
+    return big(spark.read.parquet(output).select("id", "genre", "lyrics_clean", "word_count"))
+
+
+@query(
+    "lyrics_build",
+    f"""WITH {CLEAN_LYRICS_SQL},
 rows AS (SELECT id AS k, genre AS c, concat(artist, '|', title) AS u, id, title, artist, genre, lyrics_clean,
   len({words_sql('lyrics_clean')}) AS word_count FROM cl WHERE len({words_sql('lyrics_clean')}) BETWEEN 50 AND 2000),
-{balance_sql('rows', 90)}, {split_sql('bal')}
+{balance_sql('rows', ROWS_PER_CLASS)}, {split_sql('bal')}
 SELECT id, title, artist, genre, lyrics_clean, word_count::BIGINT AS word_count,
   len(list_distinct({words_sql('lower(lyrics_clean)')}))::BIGINT AS lyr_unique_word_count, split FROM parts""",
 )
@@ -1248,7 +1271,7 @@ def _(spark, d):
     "document_split_report",
     f"""WITH t AS (SELECT doc_id, lang, {_squeezed('text')} AS text FROM documents WHERE lang IN ('en', 'fr', 'de', 'es')),
 rows AS (SELECT doc_id AS k, lang AS c, text AS u, len({words_sql('text')}) AS n FROM t WHERE len({words_sql('text')}) BETWEEN 50 AND 2000),
-{balance_sql('rows', 100)}, {split_sql('bal')}
+{balance_sql('rows', ROWS_PER_CLASS)}, {split_sql('bal')}
 SELECT split, c AS lang, count(*) AS n, sum(n)::BIGINT AS words FROM parts GROUP BY ALL""",
 )
 def document_split_report(spark: SparkSession, d: str) -> DataFrame:
@@ -1257,7 +1280,7 @@ def document_split_report(spark: SparkSession, d: str) -> DataFrame:
     text = docs.withColumn("text", tx.strip(tx.squeeze_whitespace(F.col("text"))))
     kept = language.LanguageFilter(("en", "fr", "de", "es")).filter_dataframe(text, "text", "lang")
     kept = kept.filter(tx.between(tx.word_count(F.col("text")), 50, 2000))
-    chosen = build.balance_by_key(docs, kept, ["doc_id"], "lang", 100)
+    chosen = build.balance_by_key(docs, kept, ["doc_id"], "lang", ROWS_PER_CLASS)
     chosen = chosen.withColumn("text", tx.strip(tx.squeeze_whitespace(F.col("text"))))
     full = materialize(lexical_features(chosen, "text"), "featured")
     parts = sampling.stratified_split(full, "lang", ["doc_id"], ["text"])
@@ -1348,7 +1371,7 @@ def _(spark, d):
     rows = classify.label_encoder(bundle.vectors, "genre").transform(bundle.vectors).persist()
     return classify.random_search(
         lambda train, label, **p: classify.fit_logistic(train, "audio", label, **p),
-        rows.filter("split = 'train'"), rows.filter("split = 'val'"), {"C": (0.1, 1.0, 10.0)}, trials=3,
+        rows.filter("split = 'train'"), rows.filter("split = 'val'"), {"C": (0.1, 0.3, 1.0, 3.0, 10.0)}, trials=3,
     )
 
 
