@@ -8,6 +8,7 @@ import random
 from collections.abc import Callable, Mapping, Sequence
 
 import numpy as np
+import pandas as pd
 from pyspark.ml.classification import (
     GBTClassifier,
     LogisticRegression,
@@ -16,6 +17,7 @@ from pyspark.ml.classification import (
     OneVsRestModel,
 )
 from pyspark.ml.feature import IndexToString, StringIndexer, StringIndexerModel
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -89,6 +91,32 @@ def fit_logistic(train: DataFrame, mode: str = "audio", label: str = "y", **over
     return model
 
 
+def logistic_gradient(model: LogisticRegressionModel, train: DataFrame, label: str = "y") -> DataFrame:
+    """(label, largest): the largest partial derivative of the penalised loss in each class; zero at the optimum."""
+    k, width = model.coefficientMatrix.toArray().shape
+
+    def fold(batches):
+        total, weight = np.zeros((k, width + 1)), 0.0
+        for pdf in batches:
+            x = np.hstack([np.array(pdf["x"].tolist()).reshape(len(pdf), -1), np.ones((len(pdf), 1))])
+            gap = np.array(pdf["p"].tolist()).reshape(len(pdf), -1) - np.eye(k)[pdf["y"].astype(int)]
+            w = pdf["weight"].to_numpy()
+            total, weight = total + (gap * w[:, None]).T @ x, weight + w.sum()
+        flat = np.append(total.ravel(), weight)
+        yield pd.DataFrame({"i": np.arange(flat.size), "v": flat})
+
+    scored = model.transform(with_class_weight(train, label)).select(
+        vector_to_array("features").alias("x"), vector_to_array("probability").alias("p"), F.col(label).alias("y"), "weight"
+    )
+    # One number for each coefficient of the model.
+    sums = scored.mapInPandas(fold, "i int, v double").groupBy("i").agg(F.sum("v").alias("v")).orderBy("i").collect()
+    flat = np.array([r["v"] for r in sums])
+    slope = flat[:-1].reshape(k, width + 1) / flat[-1]
+    slope[:, :-1] += model.getRegParam() * model.coefficientMatrix.toArray()
+    rows = [(float(c), float(np.abs(slope[c]).max())) for c in range(k)]
+    return train.sparkSession.createDataFrame(rows, f"{label} double, largest double")
+
+
 # Numbers of the training table that one task of a boosting round takes.
 BOOST_CELLS = 4_000_000
 

@@ -106,6 +106,24 @@ def cluster_metrics(clustered: DataFrame, key: str, label: str = "genre", seed:
     return clustered.sparkSession.createDataFrame([row], ", ".join(f"{name} double" for name in parts))
 
 
+def cluster_report(clustered: DataFrame, key: str, scores: DataFrame | None = None, label: str = "genre", seed: int = 42) -> DataFrame:
+    """(metric, cluster, label, value): whole-clustering scores, a mixture's own scores, each cluster's size and its
+    dominant label with the rows that have it."""
+    numbers = cluster_metrics(clustered, key, label, seed)
+    if scores is not None:
+        numbers = numbers.join(scores.withColumns({"converged": F.col("converged").cast("double"), "n_iter": F.col("n_iter").cast("double")}))
+    names = [f.name for f in numbers.schema.fields if f.dataType.typeName() == "double"]
+    whole = numbers.unpivot([], names, "metric", "value").select(
+        "metric", F.lit(None).cast("int").alias("cluster"), F.lit(None).cast("string").alias("label"), "value"
+    )
+    chosen = materialize(metrics.dominant_labels(clustered, "cluster", label), "dominant")
+    single = [
+        chosen.select(F.lit(name).alias("metric"), F.col("cluster").cast("int").alias("cluster"), shown.alias("label"), F.col(value).cast("double").alias("value"))
+        for name, shown, value in (("size", F.lit(None).cast("string"), "size"), ("dominant", F.col("label"), "hits"))
+    ]
+    return reduce_frames(DataFrame.unionByName, [whole, *single])
+
+
 def projection_2d(clustered: DataFrame, key: str, label: str = "genre") -> DataFrame:
     """(key, label, cluster, pc1, pc2) for a scatter plot."""
     model = reduce.fit_pca(clustered, "x", 2)

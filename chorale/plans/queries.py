@@ -8,11 +8,16 @@ fine for checking at small scale.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce as reduce_frames
 
+import numpy as np
+from pyspark.ml.functions import array_to_vector
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chorale.config import (
+    AUDIO_FEATURES,
     CATALOGUE_PATTERNS,
     LYRIC_FEATURES,
     REPORT_STOP_WORDS,
@@ -1365,6 +1370,35 @@ def _(spark, d):
     return evaluate.supervised_metrics(scored)
 
 
+@query("boosted_trees_lyrics")
+def _(spark, d):
+    return _doc_scores(spark, d, "xgboost")
+
+
+def _both_parts(spark, d) -> DataFrame:
+    """Documents that share an id with a track, with the features of both; labelled by language."""
+    docs = lexical_features(documents(spark, d).select("doc_id", F.col("lang").alias("genre"), F.col("text").alias("lyrics_clean")), "lyrics_clean")
+    tracks = readers.load_catalogue(catalogue_tables(spark, d)).select(F.col("track_id").alias("doc_id"), *AUDIO_FEATURES)
+    return materialize(sampling.stratified_split(docs.join(tracks, "doc_id"), "genre", ["doc_id"]), "both")
+
+
+@query("knn_both")
+def _(spark, d):
+    scored, _ = evaluate.predict_splits(_both_parts(spark, d), "knn", "both", "doc_id")
+    return evaluate.supervised_metrics(scored, labels=("de", "en", "es", "fr"))
+
+
+@query("logistic_gradient", "SELECT 'g' || label AS genre, true AS small FROM embeddings GROUP BY label")
+def _(spark, d):
+    """At the optimum the weighted residuals of each class, with the penalty, cancel in every feature."""
+    rows = cluster.as_ml(_matrix(spark, d), "x")
+    encoder = classify.label_encoder(rows, "genre")
+    rows = encoder.transform(rows)
+    found = classify.logistic_gradient(classify.fit_logistic(rows), rows)
+    decoder = classify.label_decoder(encoder.labels, "y", "genre")
+    return decoder.transform(found).select("genre", (F.col("largest") < 1e-4).alias("small"))
+
+
 @query("random_search")
 def _(spark, d):
     bundle = features.build_features(_audio_parts(spark, d), ["track_id", "genre"], use_tfidf=False)
@@ -1411,6 +1445,40 @@ def _(spark, d):
     return cluster.elbow(_matrix(spark, d), "x")
 
 
+@query(
+    "kmeans_variance_split",
+    """WITH u AS (SELECT unnest(embedding)::DOUBLE AS x, generate_subscripts(embedding, 1) AS i FROM embeddings),
+s AS (SELECT sum(v) AS total FROM (SELECT var_pop(x) * count(*) AS v FROM u GROUP BY i))
+SELECT k::BIGINT AS k, round(total, 1) AS total, (SELECT count(*) FROM embeddings) AS n FROM s, range(2, 13) r(k)""",
+)
+def _(spark, d):
+    """What the centres leave unexplained and what they explain add up to the whole, for each number of clusters."""
+    matrix = _matrix(spark, d)
+    fits = cluster.fit_kmeans_sizes(matrix, "x", range(2, 13), 10, 300)
+    middle = np.array(matrix.select(Summarizer.mean(array_to_vector("x")).alias("m")).first()["m"])
+    parts = []
+    for k, fit in fits.items():
+        gaps = [(i, float(((c - middle) ** 2).sum())) for i, c in enumerate(fit.centres)]
+        sizes = cluster.assign_kmeans(fit, matrix, "x").groupBy("cluster").agg(F.count(F.lit(1)).alias("n"))
+        between = sizes.join(spark.createDataFrame(gaps, "cluster int, gap double"), "cluster")
+        total = F.round(F.sum(F.col("n") * F.col("gap")) + fit.inertia, 1)
+        parts.append(between.agg(total.alias("total"), F.sum("n").alias("n")).withColumn("k", F.lit(k).cast("bigint")))
+    return reduce_frames(DataFrame.unionByName, parts)
+
+
+@query("cluster_report")
+def _(spark, d):
+    clustered, scores = evaluate.cluster_table(_audio_parts(spark, d), "gmm", "audio", "track_id")
+    return evaluate.cluster_report(materialize(clustered, "clustered"), "track_id", scores)
+
+
+@query("lyrics_clusters")
+def _(spark, d):
+    docs = lexical_features(documents(spark, d).select("doc_id", F.col("lang").alias("genre"), F.col("text").alias("lyrics_clean")), "lyrics_clean")
+    clustered, _ = evaluate.cluster_table(materialize(docs, "lyrics"), "kmeans", "lyrics", "doc_id")
+    return evaluate.cluster_report(materialize(clustered, "clustered"), "doc_id")
+
+
 @query("kmeans_metrics")
 def _(spark, d):
     clustered, _ = evaluate.cluster_table(
@@ -1432,6 +1500,24 @@ def _(spark, d):
     return scores.select(F.round("bic", 4).alias("bic"), F.round("aic", 4).alias("aic"))
 
 
+@query(
+    "mixture_moments",
+    """WITH s AS (SELECT avg(list_dot_product(embedding::DOUBLE[], embedding::DOUBLE[])) + 64e-6 AS second FROM embeddings),
+u AS (SELECT unnest(embedding)::DOUBLE AS x, generate_subscripts(embedding, 1) AS i, vec_id FROM embeddings),
+f AS (SELECT sum(m) AS first FROM (SELECT avg(x) AS m FROM u GROUP BY i))
+SELECT shape AS covariance_type, round(first, 5) + 0.0 AS first, round(second, 5) AS second
+FROM s, f, (SELECT unnest(['full', 'tied', 'diag', 'spherical']) AS shape)""",
+)
+def _(spark, d):
+    """Every shape's components together have the mean and the mean squared length of the rows."""
+    specs = [(shape, 6) for shape in cluster.COVARIANCES]
+    rows = []
+    for (shape, _), m in zip(specs, cluster.fit_mixtures(_matrix(spark, d), "x", specs)):
+        length = (m.means**2).sum(axis=1) + np.trace(m.covariances, axis1=1, axis2=2)
+        rows.append((shape, round(float(m.weights @ m.means.sum(axis=1)), 5) + 0.0, round(float(m.weights @ length), 5)))
+    return spark.createDataFrame(rows, "covariance_type string, first double, second double")
+
+
 @query("mixture_full")
 def _(spark, d):
     clustered, scores = evaluate.cluster_table(_audio_parts(spark, d), "gmm", "audio", "track_id")
