@@ -1,12 +1,14 @@
-"""Exact k-nearest-neighbour classification.
+"""Exact k-nearest-neighbour classification by a pivot index.
 
-Query rows and stored rows meet as blocks, never as pairs: a task multiplies a
-block of queries with a block of stored rows and keeps k candidates per query.
+Stored rows are dealt to the nearest of a bounded number of pivots. A query
+first visits the cells around it, which gives it k candidates and a distance
+within which the true k must lie. By the triangle inequality it then visits
+only cells that can hold something as near: those whose radius reaches that
+far, and that no plane between two pivots cuts off. Cosine distances are
+ordered as distances of unit vectors, so the same index serves both.
 
-A stored table within ``HELD_CELLS`` numbers is copied to every task, and
-queries are answered where they are, without a shuffle. A larger one is cut
-into blocks of bounded size; every slice of queries visits every block, and the
-k best of each visit are merged. Both ways give the same answer.
+Visits are made by blocks: a task multiplies a slice of queries with a block of
+stored rows and keeps k candidates per query. No pairs are emitted.
 """
 
 from __future__ import annotations
@@ -18,9 +20,10 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from chorale.session import materialize
 
-HELD_CELLS = 32_000_000
-BLOCK_CELLS = 8_000_000
+# Rows of a block, most pivots, and most numbers in their matrix (64 MB, which tasks hold a copy of).
+BLOCK_ROWS, PIVOTS, PIVOT_CELLS = 512, 2_048, 8_000_000
 _DENSE_CELLS = 4_000_000
 
 
@@ -120,6 +123,99 @@ def _candidates(batches, stored: pd.DataFrame, width: int, k: int, metric: str):
             )
 
 
+def _indexed(x: np.ndarray, metric: str, side: int) -> np.ndarray:
+    """Rows as the index sees them. Zero rows have a cosine distance of one to all: each side gets an axis for its own."""
+    if metric != "cosine":
+        return x
+    own = np.zeros((len(x), 2))
+    own[:, side] = ~x.any(axis=1)
+    return np.hstack([_unit(x), own])
+
+
+def _gaps(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    squared = (x * x).sum(axis=1)[:, None] + (y * y).sum(axis=1)[None] - 2 * x @ y.T
+    return np.sqrt(np.maximum(squared, 0))
+
+
+def _slices(batches, width: int):
+    step = max(1, _DENSE_CELLS // max(width, 1))
+    for pdf in batches:
+        for lo in range(0, len(pdf), step):
+            yield pdf.iloc[lo : lo + step]
+
+
+def _cells(stored: DataFrame, pivots: np.ndarray, width: int, metric: str) -> DataFrame:
+    """Stored rows with their cell and their distance to its pivot."""
+    kinds = {f.name: f.dataType.simpleString() for f in stored.schema.fields}
+
+    def place(batches):
+        for pdf in _slices(batches, width):
+            gap = _gaps(_indexed(_dense(pdf, width), metric, 0), pivots)
+            cell = gap.argmin(axis=1)
+            yield pdf.assign(_cell=cell.astype("int32"), _r=gap[np.arange(len(pdf)), cell])
+
+    schema = ", ".join(f"{name} {kind}" for name, kind in kinds.items())
+    return materialize(stored.mapInPandas(place, f"{schema}, _cell int, _r double"), "cells")
+
+
+def _asked(queries: DataFrame, pivots: np.ndarray, stats: np.ndarray, width: int, metric: str, k: int, kind: str) -> DataFrame:
+    """(query, cell) of the visits: those at home, or with ``_tau`` those beyond home that may hold something as near.
+
+    ``stats`` has, by cell, its rows and its radius.
+    """
+    rows, radius = stats
+    # What rounding may take from a distance.
+    slack = 1e-6 * (1 + float(np.abs(pivots).max(initial=0)) * math.sqrt(width))
+    second = "_tau" in queries.columns
+
+    def choose(batches):
+        for pdf in _slices(batches, width):
+            gap = _gaps(_indexed(_dense(pdf, width), metric, 1), pivots)
+            gap[:, rows == 0] = np.inf
+            order = np.argsort(gap, axis=1, kind="stable")
+            before = np.cumsum(rows[order], axis=1) - rows[order]
+            home = np.zeros(gap.shape, bool)
+            np.put_along_axis(home, order, before < k, axis=1)
+            wanted = home & (rows > 0)
+            if second:
+                low = np.maximum(gap - radius, (gap - gap.min(axis=1, keepdims=True)) / 2)
+                wanted = ~home & (rows > 0) & (low <= pdf["_tau"].to_numpy()[:, None] + slack)
+            q, cell = np.nonzero(wanted)
+            yield pd.DataFrame(
+                {"_key": pdf["_key"].to_numpy()[q], "_i": pdf["_i"].to_numpy()[q], "_v": pdf["_v"].to_numpy()[q], "_cell": cell.astype("int32")}
+            )
+
+    return queries.mapInPandas(choose, f"_key {kind}, _i array<int>, _v array<double>, _cell int")
+
+
+def _visited(asked: DataFrame, cells: DataFrame, rows: np.ndarray, width: int, k: int, metric: str, schema: str, name: str) -> DataFrame:
+    """The k best of every visit. Large cells are cut into blocks, and their visitors into slices."""
+    spark = cells.sparkSession
+    asked = materialize(asked, name)
+    visits = {r["_cell"]: r["count"] for r in asked.groupBy("_cell").count().collect()}
+    cuts = [(int(c), -(-int(rows[c]) // BLOCK_ROWS), -(-n // BLOCK_ROWS)) for c, n in visits.items()]
+    # One row for each pivot at most.
+    cuts = F.broadcast(spark.createDataFrame(cuts, "_cell int, _blocks int, _slices int"))
+
+    def part(n: str):
+        return F.pmod(F.xxhash64("_key"), F.col(n)).cast("int")
+
+    def every(n: str):
+        return F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+
+    left = asked.join(cuts, "_cell").select("_key", "_i", "_v", "_cell", part("_slices").alias("_s"), every("_blocks").alias("_b"))
+    right = cells.join(cuts, "_cell").select("_key", "_label", "_i", "_v", "_cell", part("_blocks").alias("_b"), every("_slices").alias("_s"))
+
+    def visit(q: pd.DataFrame, s: pd.DataFrame) -> pd.DataFrame:
+        if q.empty or s.empty:
+            return pd.DataFrame(columns=["_q", "neighbour", "label", "distance"])
+        s = s.sort_values("_key", ignore_index=True)
+        return pd.concat(_candidates([q], s, width, k, metric), ignore_index=True)
+
+    keys = ["_cell", "_b", "_s"]
+    return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(visit, schema)
+
+
 def nearest(
     stored: DataFrame,
     queries: DataFrame,
@@ -128,54 +224,40 @@ def nearest(
     key: str,
     k: int,
     metric: str = "euclidean",
-    held_cells: int = HELD_CELLS,
 ) -> DataFrame:
-    """(key, neighbour, label, distance): the k nearest stored rows per query."""
+    """(key, neighbour, label, distance): the k nearest stored rows per query; of equal distances, the lower keys.
+
+    Keys of queries are distinct, and so are those of stored rows.
+    """
     kind = queries.schema[key].dataType.simpleString()
     stored = _pack(stored, vector).select(
         F.col(key).alias("_key"), F.col(label).cast("string").alias("_label"), "_i", "_v", "_d"
     )
-    queries = _pack(queries, vector).select(F.col(key).alias("_key"), "_i", "_v")
-    size = stored.agg(F.count(F.lit(1)).alias("n"), F.sum(F.size("_i")).alias("cells"), F.max("_d").alias("d")).first()
+    stored = materialize(stored, "stored")
+    queries = materialize(_pack(queries, vector).select(F.col(key).alias("_key"), "_i", "_v"), "queries")
+    size = stored.agg(F.count(F.lit(1)).alias("n"), F.max("_d").alias("d")).first()
     schema = f"_q {kind}, neighbour {kind}, label string, distance double"
     if not size["n"]:
         return stored.sparkSession.createDataFrame([], schema).withColumnRenamed("_q", key)
-    width = size["d"]
-    if size["cells"] <= held_cells:
-        held = stored.sparkSession.sparkContext.broadcast(
-            stored.drop("_d").toPandas().sort_values("_key", ignore_index=True)
-        )
-
-        def answer(batches):
-            return _candidates(batches, held.value, width, k, metric)
-
-        return queries.mapInPandas(answer, schema).withColumnRenamed("_q", key)
-    return _merged(_block_visits(stored, queries, width, k, metric, size, schema), k).withColumnRenamed("_q", key)
-
-
-def _block_visits(stored, queries, width, k, metric, size, schema) -> DataFrame:
-    blocks = math.ceil(size["cells"] / BLOCK_CELLS)
-    slices = max(1, math.ceil(queries.agg(F.coalesce(F.sum(F.size("_i")), F.lit(0))).first()[0] / BLOCK_CELLS))
-
-    def part(n: int):
-        return F.pmod(F.xxhash64("_key"), F.lit(n)).cast("int")
-
-    every_slice = F.explode(F.sequence(F.lit(0), F.lit(slices - 1)))
-    every_block = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
-    left = queries.withColumns({"_s": part(slices), "_b": every_block})
-    right = stored.drop("_d").withColumns({"_b": part(blocks), "_s": every_slice})
-
-    def visit(q: pd.DataFrame, s: pd.DataFrame) -> pd.DataFrame:
-        if q.empty or s.empty:
-            return pd.DataFrame(columns=["_q", "neighbour", "label", "distance"])
-        s = s.sort_values("_key", ignore_index=True)
-        return pd.concat(_candidates([q], s, width, k, metric), ignore_index=True)
-
-    return (
-        left.groupBy("_b", "_s")
-        .cogroup(right.groupBy("_b", "_s"))
-        .applyInPandas(visit, schema)
-    )
+    width, stored = size["d"], stored.drop("_d")
+    most = max(1, min(PIVOTS, PIVOT_CELLS // max(width, 1), math.ceil(size["n"] / BLOCK_ROWS)))
+    drawn = stored.orderBy(F.xxhash64("_key"), "_key").limit(most).select("_i", "_v").toPandas()
+    pivots = _indexed(_dense(drawn, width), metric, 0)
+    cells = _cells(stored, pivots, width, metric)
+    stats = np.zeros((2, len(pivots)))
+    for r in cells.groupBy("_cell").agg(F.count(F.lit(1)).alias("n"), F.max("_r").alias("r")).collect():
+        stats[:, r["_cell"]] = r["n"], r["r"]
+    common = (cells, stats[0], width, k, metric, schema)
+    home = _merged(_visited(_asked(queries, pivots, stats, width, metric, k, kind), *common, "visits"), k)
+    if len(pivots) == 1:
+        return home.withColumnRenamed("_q", key)
+    home = materialize(home, "home")
+    # The k-th distance so far bounds the true one; a cosine distance as one of unit vectors.
+    far = F.max("distance") if metric != "cosine" else F.sqrt(2 * F.max("distance"))
+    reach = home.groupBy("_q").agg(far.alias("_tau")).withColumnRenamed("_q", "_key")
+    beyond = _asked(queries.join(reach, "_key"), pivots, stats, width, metric, k, kind)
+    found = home.unionByName(_visited(beyond, *common, "visits"))
+    return _merged(found, k).withColumnRenamed("_q", key)
 
 
 def _merged(visits: DataFrame, k: int) -> DataFrame:

@@ -64,11 +64,11 @@ def test_feature_table(spark):
 
 
 @pytest.mark.parametrize("metric", ["euclidean", "cosine"])
-@pytest.mark.parametrize("held", [10**9, 0])
-def test_neighbours_against_brute_force(points, monkeypatch, metric, held):
-    monkeypatch.setattr(neighbours, "BLOCK_CELLS", 100)
+@pytest.mark.parametrize("block", [10**6, 16])
+def test_neighbours_against_brute_force(points, monkeypatch, metric, block):
+    monkeypatch.setattr(neighbours, "BLOCK_ROWS", block)
     stored, queries = points.filter("id % 4 <> 0"), points.filter("id % 4 = 0")
-    got = neighbours.nearest(stored, queries, "x", "genre", "id", 5, metric, held).collect()
+    got = neighbours.nearest(stored, queries, "x", "genre", "id", 5, metric).collect()
     x, _, ids = arrays(points)
     if metric == "cosine":
         x = x / np.linalg.norm(x, axis=1, keepdims=True)
@@ -82,6 +82,39 @@ def test_neighbours_against_brute_force(points, monkeypatch, metric, held):
         assert [r["distance"] for r in mine] == pytest.approx([gap[q, s] for s in want], abs=1e-9)
 
 
+@pytest.mark.parametrize("metric", ["euclidean", "cosine"])
+def test_clustered_neighbours_visit_few_cells(spark, monkeypatch, metric):
+    """On clustered data a query meets less than a tenth of the blocks; zero rows and ties are as by brute force."""
+    monkeypatch.setattr(neighbours, "BLOCK_ROWS", 32)
+    rng, counted = np.random.default_rng(5), []
+    centres = rng.standard_normal((40, 12)) * 20
+    x = np.concatenate([c + rng.standard_normal((50, 12)) * 0.2 for c in centres] + [np.zeros((3, 12)), centres[:1], centres[:1]])
+    df = spark.createDataFrame([(i, "a", [float(u) for u in v]) for i, v in enumerate(x)], "id int, g string, x array<double>")
+    inner = neighbours._visited
+
+    def visited(asked, cells, rows, *rest):
+        counted.append((asked.count(), (rows > 0).sum()))
+        return inner(asked, cells, rows, *rest)
+
+    monkeypatch.setattr(neighbours, "_visited", visited)
+    queries = df.filter("id % 5 = 0 OR id >= 2000")
+    got = neighbours.nearest(df, queries, "x", "g", "id", 4, metric).collect()
+    if metric == "cosine":
+        norm = np.linalg.norm(x, axis=1, keepdims=True)
+        unit = x / np.where(norm == 0, 1, norm)
+        gap = np.maximum(1 - unit @ unit.T, 0)
+    else:
+        gap = np.linalg.norm(x[:, None] - x[None], axis=2)
+    asked = [*range(0, 2000, 5), *range(2001, len(x))]
+    for q in asked:
+        mine = sorted(r["distance"] for r in got if r["id"] == q)
+        assert mine == pytest.approx(np.sort(gap[q])[:4], abs=1e-7)
+    zero = sorted(r["neighbour"] for r in got if r["id"] == 2001)
+    assert zero == ([0, 1, 2, 3] if metric == "cosine" else sorted([2000, 2001, 2002, zero[0] if zero[0] < 2000 else zero[3]]))
+    cells = counted[0][1]
+    assert cells >= 40 and sum(n for n, _ in counted) < 0.1 * len(asked) * cells
+
+
 def test_zero_distance_outvotes(spark):
     near = spark.createDataFrame(
         [(1, "a", 0.0), (1, "b", 0.001), (1, "b", 0.001), (2, "a", 1.0), (2, "b", 0.5)], "id int, label string, distance double"
