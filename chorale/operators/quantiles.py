@@ -1,8 +1,11 @@
 """Exact order statistics without gathering a group.
 
 ``percentile`` keeps every distinct value of a group in one buffer. Here a
-bounded sketch gives a bracket that surely holds each wanted position (its rank
-error is bounded), and only the values inside the bracket are ranked.
+bounded sketch proposes a bracket for each wanted position. One wide pass
+counts the rows below and inside every bracket, which proves that it holds its
+position; a bracket that misses is opened to the side of its position, and one
+that is wide is narrowed by a sketch of the values inside it, until all hold. Only values inside the brackets
+are then ranked.
 """
 
 from __future__ import annotations
@@ -12,14 +15,16 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from chorale.session import small_side
+from chorale.session import materialize, small_side
 
-ACCURACY = 10_000
+# Accuracy of the sketches, what they may miss a rank by with room to spare, and rows of a bracket that is narrowed.
+ACCURACY = 2_000
 _MARGIN = 3 / ACCURACY
+WIDE = 100_000
 
 
 def _brackets(df: DataFrame, group: str | None, cols: Sequence[str], probs: Sequence[float]):
-    """(group, column, prob, n, lo, hi): one row per wanted quantile."""
+    """(group, column, prob, n, lo, hi, min, max): one row per wanted quantile."""
     wanted = sorted({0.0, 1.0, *[max(0.0, p - _MARGIN) for p in probs], *[min(1.0, p + _MARGIN) for p in probs]})
     at = {p: i for i, p in enumerate(wanted)}
     aggs = []
@@ -46,6 +51,8 @@ def _brackets(df: DataFrame, group: str | None, cols: Sequence[str], probs: Sequ
                     .otherwise(F.col(f"{c}__q")[at[max(0.0, p - _MARGIN)]]).alias("lo"),
                     F.when(small, F.col(f"{c}__max"))
                     .otherwise(F.col(f"{c}__q")[at[min(1.0, p + _MARGIN)]]).alias("hi"),
+                    F.col(f"{c}__min").alias("min"),
+                    F.col(f"{c}__max").alias("max"),
                 )
             )
     return wide.select(*keys, F.inline(F.array(*rows))).filter(F.col("n") > 0)
@@ -63,23 +70,96 @@ def _number(df: DataFrame, c: str):
     return F.col(c).cast(kind)
 
 
-def _ranked(df: DataFrame, group: str | None, cols: Sequence[str], probs: Sequence[float]) -> DataFrame:
-    """Distinct values inside the brackets with the rank their last copy has."""
+def _inside(df: DataFrame, keys: list[str], cols: Sequence[str], probs: Sequence[float], brackets: DataFrame) -> DataFrame:
+    """Rows with ``_at``: for each column and probability, in order, the bracket of the row's group."""
+    ordered = F.array_sort(F.collect_list(F.struct("column", "prob", "lo", "hi")))
+    listed = brackets.groupBy(*keys).agg(F.map_from_entries(F.transform(ordered, lambda b: F.struct(
+        F.concat_ws("|", b["column"], b["prob"]), F.struct(b["lo"].alias("lo"), b["hi"].alias("hi"))))).alias("_at"))
+    listed = small_side(listed)
+    if keys:
+        return df.join(listed, keys)
+    return df.withColumn("_all", F.lit(0)).join(listed.withColumn("_all", F.lit(0)), "_all").drop("_all")
+
+
+def _checked(df: DataFrame, keys: list[str], cols: Sequence[str], probs: Sequence[float], brackets: DataFrame) -> DataFrame:
+    """``brackets`` with the rows below and inside each, counted in one pass."""
+    rows = _inside(df, keys, cols, probs, brackets)
+    sums, parts = [], []
+    for c in cols:
+        for p in probs:
+            x, at = _number(df, c), F.col("_at")[f"{c}|{float(p)}"]
+            name = f"{c}|{float(p)}"
+            sums += [F.count_if(x < at["lo"]).alias(f"{name}|b"), F.count_if(x.between(at["lo"], at["hi"])).alias(f"{name}|i")]
+            parts.append(
+                F.struct(
+                    F.lit(c).alias("column"), F.lit(float(p)).alias("prob"),
+                    F.col(f"`{name}|b`").alias("below"), F.col(f"`{name}|i`").alias("inside"),
+                )
+            )
+    counts = rows.groupBy(*keys).agg(*sums).select(*keys, F.inline(F.array(*parts)))
+    return materialize(brackets.join(counts, [*keys, "column", "prob"]), "brackets")
+
+
+def _held(df: DataFrame, group: str | None, cols: Sequence[str], probs: Sequence[float]) -> DataFrame:
+    """(group, column, prob, n, lo, hi, below, inside): brackets that hold their positions, none of them wide if it can be helped."""
     keys = [group] if group else []
-    brackets = small_side(_brackets(df, group, cols, probs))
-    # Values under the bracket only matter as a count: they all become null.
-    counted = (
-        _stacked(df, keys, cols)
-        .join(brackets, [*keys, "column"])
-        .filter(F.col("x") <= F.col("hi"))
-        .withColumn("x", F.when(F.col("x") >= F.col("lo"), F.col("x")))
-        .groupBy(*keys, "column", "prob", "n", "x")
-        .agg(F.count(F.lit(1)).alias("_c"))
-    )
-    upto = F.sum("_c").over(
-        Window.partitionBy(*keys, "column", "prob").orderBy(F.col("x").asc_nulls_first())
+    brackets = materialize(_brackets(df, group, cols, probs), "brackets")
+    position = F.col("prob") * (F.col("n") - 1)
+    first, last = F.floor(position), F.ceil(position)
+    narrowed = False
+    while True:
+        found = _checked(df, keys, cols, probs, brackets)
+        early, late = first < F.col("below"), last >= F.col("below") + F.col("inside")
+        if not found.filter(early | late).isEmpty():
+            # The whole range holds every position: this happens once for each side.
+            brackets = found.select(
+                *keys, "column", "prob", "n", "min", "max",
+                F.when(early, F.col("min")).otherwise(F.col("lo")).alias("lo"),
+                F.when(late, F.col("max")).otherwise(F.col("hi")).alias("hi"),
+            )
+            continue
+        wide = (F.col("inside") > WIDE) & (F.col("lo") < F.col("hi"))
+        if narrowed or found.filter(wide).isEmpty():
+            return found
+        narrowed = True
+        brackets = _narrowed(df, keys, cols, probs, found, first, last, wide)
+
+
+def _narrowed(df, keys, cols, probs, found: DataFrame, first, last, wide) -> DataFrame:
+    """``found`` with tighter brackets where they are wide, by a sketch of the values inside."""
+    # Values of wide brackets, each once for every bracket it lies in.
+    open_ones = small_side(found.filter(wide))
+    values = _stacked(df, keys, cols).join(open_ones, [*keys, "column"]).filter(F.col("x").between(F.col("lo"), F.col("hi")))
+    shares = [i / 200 for i in range(201)]
+    sketch = values.groupBy(*keys, "column", "prob").agg(F.percentile_approx("x", shares, ACCURACY).alias("q"))
+    joined = found.join(sketch, [*keys, "column", "prob"], "left")
+
+    def at(index, step):
+        place = F.floor(200 * (index - F.col("below")) / F.col("inside")).cast("int") + step
+        return F.get("q", F.greatest(F.least(place, F.lit(200)), F.lit(0)))
+
+    return joined.select(
+        *keys, "column", "prob", "n", "min", "max",
+        F.coalesce(at(first, -1), F.col("lo")).alias("lo"), F.coalesce(at(last, 2), F.col("hi")).alias("hi"),
     )
-    return counted.withColumn("_upto", upto)
+
+
+def _ranked(df: DataFrame, group: str | None, cols: Sequence[str], probs: Sequence[float]) -> DataFrame:
+    """Distinct values inside the brackets with the rank their last copy has."""
+    keys, probs = [group] if group else [], sorted(set(map(float, probs)))
+    held = _held(df, group, cols, probs)
+    rows = _inside(df, keys, cols, probs, held)
+    cells = []
+    for c in cols:
+        for p in probs:
+            x, at = _number(df, c), F.col("_at")[f"{c}|{p}"]
+            inside = x.between(at["lo"], at["hi"])
+            cells.append(F.when(inside, F.struct(F.lit(c).alias("column"), F.lit(p).alias("prob"), x.alias("x"))))
+    values = rows.select(*keys, F.inline(F.filter(F.array(*cells), lambda v: v.isNotNull())))
+    counted = values.groupBy(*keys, "column", "prob", "x").agg(F.count(F.lit(1)).alias("_c"))
+    counted = counted.join(small_side(held.select(*keys, "column", "prob", "n", "below")), [*keys, "column", "prob"])
+    upto = F.sum("_c").over(Window.partitionBy(*keys, "column", "prob").orderBy("x"))
+    return counted.withColumn("_upto", upto + F.col("below")).drop("below")
 
 
 def _reached(index):

@@ -185,3 +185,29 @@ def test_quotas_of_many_classes():
     counts = {i: 6 + i % 5 for i in range(20_000)}
     quotas = sampling.split_quotas(counts, 0.4, 0.3)
     assert all(sum(quotas[c]) == n for c, n in counts.items())
+
+
+@pytest.mark.parametrize("spoil", ["low", "high", "wide"])
+def test_quantiles_survive_a_bad_sketch(spark, monkeypatch, spoil):
+    """Brackets that miss their position, or hold far too much, are found out by counting."""
+    rng = np.random.default_rng(3)
+    rows = [("ab"[i % 2], float(x), int(1000 * x)) for i, x in enumerate(rng.lognormal(size=3000))] + [("a", None, None)]
+    df = spark.createDataFrame(rows, "g string, x double, y long")
+    inner = quantiles._brackets
+
+    def bad(*args):
+        b = inner(*args)
+        if spoil == "wide":
+            return b.withColumns({"lo": F.col("min"), "hi": F.col("max")})
+        edge = F.col("min") if spoil == "low" else F.col("max")
+        return b.withColumns({"lo": edge, "hi": edge})
+
+    monkeypatch.setattr(quantiles, "_brackets", bad)
+    monkeypatch.setattr(quantiles, "WIDE", 100)
+    probs = [0.0, 0.25, 0.5, 0.99, 1.0]
+    got = {(r.g, r.column, r.prob): (r.n, r.value) for r in quantiles.exact_quantiles(df, "g", ["x", "y"], probs).collect()}
+    for g in "ab":
+        for column, at in (("x", 1), ("y", 2)):
+            own = [r[at] for r in rows if r[0] == g and r[at] is not None]
+            for p in probs:
+                assert got[g, column, p] == (len(own), pytest.approx(float(np.quantile(own, p))))
