@@ -1205,6 +1205,28 @@ def _(spark, d):
     return guards.quality_report(full, parts, guards.LYRICS_GATE, targets=GATE_TARGETS, min_per_class=50)
 
 
+@query(
+    "gate_of_a_written_dataset",
+    f"""WITH {DOC_ROWS}, {balance_sql('rows', ROWS_PER_CLASS)}, {split_sql('bal')},
+shown AS (SELECT 'full' AS split, c FROM bal UNION ALL SELECT split, c FROM parts WHERE split = 'train'),
+t AS (SELECT split, string_agg(w.c, ',' ORDER BY w.c) FILTER (NOT EXISTS (SELECT 1 FROM shown s WHERE s.split = p.split AND s.c = w.c)) AS m
+  FROM (SELECT DISTINCT split FROM shown) p CROSS JOIN (SELECT unnest(['de', 'en', 'es', 'fr', 'it']) AS c) w GROUP BY split)
+SELECT 'part_present' AS "check", split, 'fail' AS status, 'missing' AS detail FROM (SELECT unnest(['val', 'test']) AS split)
+UNION ALL SELECT 'classes_present', split, CASE WHEN m IS NULL THEN 'pass' ELSE 'fail' END, coalesce(m, '') FROM t
+UNION ALL SELECT 'critical_nulls', split, 'pass', '' FROM t
+UNION ALL SELECT 'leakage', pair, 'pass', '0' FROM (SELECT unnest(['train+val', 'train+test', 'val+test']) AS pair)""",
+)
+def _(spark, d):
+    """A dataset of which only the full table and the training rows were written."""
+    rows = documents(spark, d).select("doc_id", "lang", "text")
+    full = materialize(sampling.balance(rows, "lang", ["doc_id"], samples_per_class=ROWS_PER_CLASS), "balanced")
+    parts = sampling.stratified_split(full, "lang", ["doc_id"], ["text"]).filter("split = 'train'")
+    path = scratch_path(spark, "partial")
+    sinks.write_dataset(full, parts, "lang", path, "lyrics")
+    gate = guards.Gate(("text",), None, ("doc_id", "text"), {})
+    return guards.dataset_report(spark, path, gate, "lang", ("de", "en", "es", "fr", "it"), min_per_class=1)
+
+
 # --- whole builds ------------------------------------------------------------
 
 AUDIO_BUILD_SQL = f"""WITH {RESOLVED_SQL},
