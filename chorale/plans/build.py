@@ -23,7 +23,7 @@ from chorale.functions.lexical import lexical_features
 from chorale.functions.text import USUAL_STEPS, between, clean, word_count
 from chorale.operators.catalogue import CatalogueTables
 from chorale.operators.guards import keep_columns, require_columns
-from chorale.operators.sampling import balance, filter_targets, stratified_split
+from chorale.operators.sampling import balance, filter_targets, starved_classes, stratified_split
 from chorale.session import materialize
 from chorale.sources.readers import load_catalogue, load_lyrics
 from chorale.sources.sinks import write_dataset
@@ -56,10 +56,20 @@ USUAL = Choices()
 class Dataset:
     """``full`` is the balanced table; ``parts`` the deduplicated rows with a
     ``split`` column. Deduplication comes after balancing, so ``parts`` may
-    have fewer rows."""
+    have fewer rows. ``starved`` lists targets that had fewer than
+    ``FEW_ROWS`` rows to choose from, with their number."""
 
     full: DataFrame
     parts: DataFrame
+    starved: DataFrame
+
+
+# A class with fewer rows than this is reported.
+FEW_ROWS = 500
+
+
+def _starved(rows: DataFrame, choices: Choices) -> DataFrame:
+    return starved_classes(rows.filter(F.col("genre").isin(list(choices.targets))), "genre", FEW_ROWS)
 
 
 def _balanced(df: DataFrame, key: Sequence[str], choices: Choices) -> DataFrame:
@@ -68,6 +78,11 @@ def _balanced(df: DataFrame, key: Sequence[str], choices: Choices) -> DataFrame:
     return balance(df, "genre", key, "undersample", choices.per_class, choices.seed, choices.targets)
 
 
+def stored_keys(survivors: DataFrame, key: Sequence[str], label: str) -> DataFrame:
+    """Keys and labels of rows that cost much to find, stored for the passes that follow."""
+    return materialize(survivors.select(*key, label), "survivors")
+
+
 def balance_by_key(
     source: DataFrame,
     survivors: DataFrame,
@@ -79,14 +94,13 @@ def balance_by_key(
 ) -> DataFrame:
     """Rows of ``source`` that a balanced choice among ``survivors`` keeps.
 
-    ``survivors`` holds the keys and labels of the rows that passed the costly
-    filters. It is evaluated once, stored, and balanced in narrow passes; the
+    ``survivors`` holds the stored keys and labels of the rows that passed the
+    costly filters. It is balanced in narrow passes; the
     chosen keys then select whole rows, which need no filtering again. The
     stored keys have a known size, so Spark copies them to every task when
     they are few and shuffles otherwise.
     """
-    narrow = materialize(survivors.select(*key, label), "survivors")
-    chosen = balance(narrow, label, key, "undersample", per_class, seed, targets)
+    chosen = balance(survivors, label, key, "undersample", per_class, seed, targets)
     return source.join(materialize(chosen.select(*key), "chosen"), list(key), "left_semi")
 
 
@@ -106,7 +120,7 @@ def build_audio(catalogue: DataFrame, choices: Choices = USUAL) -> Dataset:
     )
     labelled = materialize(keep_columns(labelled, AUDIO_COLUMNS), "labelled")
     full = materialize(_balanced(labelled, ["track_id"], choices), "balanced")
-    return Dataset(full, _split(full, ["track_id"], ("artists", "track_name"), choices))
+    return Dataset(full, _split(full, ["track_id"], ("artists", "track_name"), choices), _starved(labelled, choices))
 
 
 def early_filter(df: DataFrame, languages: Sequence[str], language: str = "language", tag: str = "tag") -> DataFrame:
@@ -150,14 +164,15 @@ def build_lyrics(lyrics: DataFrame, choices: Choices = USUAL, key: str = "id") -
     """
     require_columns(lyrics, ("title", "artist", "lyrics", "tag", key))
     survivors = cleaned_lyrics(labelled_lyrics(lyrics, choices), choices)
+    narrow = stored_keys(survivors, [key], "genre")
     if choices.per_class is None:
         chosen = filter_targets(survivors, "genre", choices.targets)
     else:
-        rows = balance_by_key(lyrics, survivors, [key], "genre", choices.per_class, choices.targets, choices.seed)
+        rows = balance_by_key(lyrics, narrow, [key], "genre", choices.per_class, choices.targets, choices.seed)
         chosen = with_clean_text(with_genre(rows), choices)
     full = lexical_features(chosen, "lyrics_clean")
     full = materialize(full, "balanced")
-    return Dataset(full, _split(full, [key], ("artist", "title"), choices))
+    return Dataset(full, _split(full, [key], ("artist", "title"), choices), _starved(narrow, choices))
 
 
 class Pipeline:
@@ -169,13 +184,18 @@ class Pipeline:
     def run_audio(self, tables: CatalogueTables, output_dir: str, min_popularity: int = 10,
                   cache_dir: str | None = None) -> dict:
         data = build_audio(load_catalogue(tables, min_popularity, cache_dir), self.choices)
-        return write_dataset(data.full, data.parts, "genre", output_dir, "audio")
+        return self._written(data, output_dir, "audio")
 
     def run_lyrics(self, spark, path: str, output_dir: str, sample_n: int | None = None) -> dict:
         # A sample is drawn from all rows: a prefix of the ids would favour old entries.
         lyrics = load_lyrics(spark, path, sample_n=sample_n)
         data = build_lyrics(lyrics, self.choices)
-        return write_dataset(data.full, data.parts, "genre", output_dir, "lyrics")
+        return self._written(data, output_dir, "lyrics")
+
+    def _written(self, data: Dataset, output_dir: str, mode: str) -> dict:
+        """The metadata, with the starved classes; there are at most as many as targets."""
+        few = {r["genre"]: r["n"] for r in data.starved.collect()}
+        return {**write_dataset(data.full, data.parts, "genre", output_dir, mode), "starved_classes": few}
 
     def run_all(self, output_dir: str, mode: str = "audio", **sources) -> dict:
         if mode == "audio":

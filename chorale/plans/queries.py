@@ -1245,6 +1245,11 @@ def _(spark, d):
     return big(data.parts)
 
 
+@query("audio_build_starved", f"{AUDIO_BUILD_SQL}\nSELECT c AS genre, count(*) AS n FROM rows GROUP BY c HAVING count(*) < 500")
+def _(spark, d):
+    return build.build_audio(readers.load_catalogue(catalogue_tables(spark, d))).starved
+
+
 LYRICS_BUILD = build.Choices(languages=("en", "fr", "de", "es"))
 
 
@@ -1307,6 +1312,7 @@ def document_split_report(spark: SparkSession, d: str) -> DataFrame:
     text = docs.withColumn("text", tx.strip(tx.squeeze_whitespace(F.col("text"))))
     kept = language.LanguageFilter(("en", "fr", "de", "es")).filter_dataframe(text, "text", "lang")
     kept = kept.filter(tx.between(tx.word_count(F.col("text")), 50, 2000))
+    kept = build.stored_keys(kept, ["doc_id"], "lang")
     chosen = build.balance_by_key(docs, kept, ["doc_id"], "lang", ROWS_PER_CLASS)
     chosen = chosen.withColumn("text", tx.strip(tx.squeeze_whitespace(F.col("text"))))
     full = materialize(lexical_features(chosen, "text"), "featured")

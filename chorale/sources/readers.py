@@ -85,7 +85,7 @@ def load_catalogue(
     sample_n: int | None = None,
     sample_seed: int = 42,
 ) -> DataFrame:
-    """The joined catalogue with one raw genre per track.
+    """The joined catalogue with one raw genre per track; bytes that are no text are marked in names.
 
     With ``cache_dir`` the join is written once per popularity threshold and
     read back afterwards.
@@ -93,7 +93,7 @@ def load_catalogue(
     spark = tables.tracks.sparkSession
 
     def build() -> DataFrame:
-        return resolve_genre(join_catalogue(tables, min_popularity))
+        return repair_utf8(resolve_genre(join_catalogue(tables, min_popularity)), "track_name", "artists")
 
     df = build() if cache_dir is None else cached(
         spark, f"{cache_dir.rstrip('/')}/catalogue_pop{min_popularity}.parquet", build

@@ -78,6 +78,11 @@ def test_audio_run(spark, data_dir, tmp_path):
     assert counts["full"] == full.count() >= parts.count() == sum(counts[s] for s in ("train", "val", "test"))
     assert json.loads("\n".join(r[0] for r in spark.read.text(f"{tmp_path}/metadata").collect()))["mode"] == "audio"
     assert sum(meta["class_distribution"]["train"].values()) == counts["train"]
+    assert meta["starved_classes"] and all(0 < n < build.FEW_ROWS for n in meta["starved_classes"].values())
+    lost = guards.dataset_report(spark, f"{tmp_path}/nowhere", guards.AUDIO_GATE).collect()
+    assert [(r["split"], r["status"]) for r in lost] == [(p, "fail") for p in guards.PARTS]
+    whole = guards.dataset_report(spark, str(tmp_path), guards.AUDIO_GATE, min_per_class=1)
+    assert whole.filter("check = 'part_present'").count() == 0 and whole.count() >= 15
     report = guards.quality_report(full, parts, guards.AUDIO_GATE, min_per_class=1)
     leaks = report.filter("check = 'leakage'").collect()
     assert len(leaks) == 3 and {r["status"] for r in leaks} == {"pass"}
