@@ -10,8 +10,11 @@ The hash covers the key and the row's place in the input, so copies of one row
 scatter as well as others. The same files read with the same settings and seed
 give the same buckets.
 
-Defined results: null keys and texts are rows as others are; texts weigh their
-bytes, however long; all columns are kept, and an empty table gives no shard.
+There are as many buckets as rows and bytes ask for. Long texts scatter like
+others, so a bucket is seldom much larger than meant; it holds whole rows, one at
+least, and a text of any length that Spark can hold is one.
+
+Defined results: null keys and texts are rows as others are; all columns are kept, and an empty table gives no shard.
 """
 
 from __future__ import annotations
@@ -21,16 +24,23 @@ from pyspark.sql import functions as F
 
 from chorale.session import materialize
 
-# Rows a bucket is meant to hold.
-BUCKET_ROWS = 1024
+# Rows, and bytes of texts, that a bucket is meant to hold.
+BUCKET_ROWS, BUCKET_BYTES = 1024, 16 << 20
+
+
+def bucket_count(df: DataFrame, bucket_rows: int = BUCKET_ROWS, bucket_bytes: int = BUCKET_BYTES) -> tuple[int, int]:
+    """Rows of ``df``, and into how many buckets they go, by their number and by the bytes of their texts."""
+    texts = [F.octet_length(f"`{f.name}`") for f in df.schema.fields if f.dataType.typeName() in ("string", "binary")]
+    weight = sum((F.coalesce(t, F.lit(0)).cast("long") for t in texts), F.lit(16).cast("long"))
+    rows, size = df.agg(F.count(F.lit(1)), F.coalesce(F.sum(weight), F.lit(0))).first()
+    return rows, max(1, -(-rows // bucket_rows), -(-size // bucket_bytes))
 
 
 def shuffled_shards(
-    df: DataFrame, shards: int, key: str, seed: int = 17, bucket_rows: int = BUCKET_ROWS
+    df: DataFrame, shards: int, key: str, seed: int = 17, bucket_rows: int = BUCKET_ROWS, bucket_bytes: int = BUCKET_BYTES
 ) -> DataFrame:
     """All rows of ``df`` as ``row`` (a struct), with ``shard`` and ``slot`` (from 0 without gaps)."""
-    rows = df.count()
-    buckets = max(1, -(-rows // bucket_rows))
+    rows, buckets = bucket_count(df, bucket_rows, bucket_bytes)
     place = F.xxhash64(F.lit(seed), F.col(f"`{key}`"), F.monotonically_increasing_id())
     scattered = df.select(F.pmod(place, F.lit(buckets)).alias("bucket"), F.struct("*").alias("row"))
     shuffled = scattered.groupBy("bucket").agg(F.shuffle(F.collect_list("row"), seed).alias("rows"))

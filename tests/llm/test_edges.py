@@ -100,6 +100,12 @@ def test_shards(docs, empty):
     assert sorted(str(r.row.doc_id) for r in rows) == sorted(str(r[0]) for r in ROWS)
     assert rows[0].row.asDict().keys() == set(docs.columns)
     assert shards.shuffled_shards(empty, 3, "doc_id").count() == 0
+    # The long text asks for more buckets than the rows do.
+    assert shards.bucket_count(docs)[1] == 1 and shards.bucket_count(empty) == (0, 1)
+    size = sum(len((r[1] or "").encode()) + len(r[2] or "") + len(r[3] or "") + 16 for r in ROWS)
+    assert shards.bucket_count(docs, bucket_bytes=10_000) == (len(ROWS), -(-size // 10_000))
+    rows = shards.shuffled_shards(docs, 3, "doc_id", bucket_bytes=10_000).collect()
+    assert sorted((r.shard, r.slot) for r in rows) == [(s, i) for s, n in enumerate((4, 4, 3)) for i in range(n)]
 
 
 def test_mixing(docs, empty):
