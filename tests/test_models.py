@@ -290,3 +290,59 @@ def test_model_queries_use_the_operators_defaults(spark, data_dir, monkeypatch):
     assert len(seen) == len(names)
     assert all(set(kwargs) <= {"max_features"} for _, kwargs in seen)
     assert not any(isinstance(a, (range, tuple)) for args, _ in seen for a in args)
+
+
+def test_random_search_tries_no_setting_twice(points):
+    rows = cluster.as_ml(points, "x")
+    rows = classify.label_encoder(rows, "genre").transform(rows).persist()
+    tried = []
+
+    def fit(train, label, **params):
+        tried.append(tuple(sorted(params.items())))
+        return classify.fit_logistic(train, "audio", label, maxIter=1, C=params["C"])
+
+    found = classify.random_search(fit, rows, rows, {"C": (0.1, 1.0), "unused": (1, 2)}, trials=9).collect()
+    assert len(found) == len(tried) == len(set(tried)) == 4
+    assert [r["val_macro_f1"] for r in found] == sorted((r["val_macro_f1"] for r in found), reverse=True)
+
+
+def test_fits_of_many_sizes_equal_fits_of_one(points):
+    """Fits that advance together do not influence each other, nor do partitions."""
+    together = cluster.fit_kmeans_sizes(points, "x", (2, 3, 5), restarts=2)
+    for k in (2, 5):
+        alone = cluster.fit_kmeans(points.repartition(3), "x", k, restarts=2)
+        assert alone.inertia == pytest.approx(together[k].inertia)
+        assert alone.centres == pytest.approx(together[k].centres)
+    x, _, _ = arrays(points)
+    fit = together[3]
+    gap = ((x[:, None] - fit.centres[None]) ** 2).sum(axis=2)
+    assert fit.inertia == pytest.approx(gap.min(axis=1).sum())
+    assert fit.centres == pytest.approx(np.array([x[gap.argmin(axis=1) == j].mean(axis=0) for j in range(3)]), abs=1e-3)
+
+
+def test_mixtures_of_all_shapes_share_their_passes(points):
+    """Each shape's likelihood grows with its freedom, and weights and moments are those of the rows."""
+    specs = [(shape, 3) for shape in cluster.COVARIANCES]
+    fits = dict(zip(cluster.COVARIANCES, cluster.fit_mixtures(points, "x", specs, restarts=2)))
+    x, _, _ = arrays(points)
+    for m in fits.values():
+        assert m.weights.sum() == pytest.approx(1) and m.weights @ m.means == pytest.approx(x.mean(axis=0))
+    assert fits["full"].log_likelihood >= fits["diag"].log_likelihood - 1e-3 >= fits["spherical"].log_likelihood - 2e-3
+    alone = cluster.fit_mixture(points.repartition(2), "x", 3, "tied", restarts=2)
+    assert alone.log_likelihood == pytest.approx(fits["tied"].log_likelihood)
+
+
+def test_few_distinct_rows(spark):
+    df = spark.createDataFrame([([1.0, 2.0],)] * 5 + [([3.0, 4.0],)] * 4, "x array<double>")
+    fit = cluster.fit_kmeans(df, "x", 4, restarts=2)
+    assert len(fit.centres) == 2 and fit.inertia == pytest.approx(0)
+    with pytest.raises(ValueError):
+        cluster.fit_kmeans(df.limit(0), "x", 2, restarts=1)
+
+
+def test_logistic_gradient_vanishes_at_the_optimum(points):
+    rows = cluster.as_ml(points, "x")
+    rows = classify.label_encoder(rows, "genre").transform(rows)
+    done, early = classify.fit_logistic(rows), classify.fit_logistic(rows, maxIter=1)
+    assert max(r["largest"] for r in classify.logistic_gradient(done, rows).collect()) < 1e-4
+    assert max(r["largest"] for r in classify.logistic_gradient(early, rows).collect()) > 1e-3
