@@ -10,7 +10,8 @@ Defined results: a null text or role counts as empty, a null score as 0. A
 node without parent, with itself or an unknown node as parent is a root. Of rows that repeat
 a node id, the smallest (parent, role, text, score) stays. Nodes whose parents
 run in a circle belong to no conversation. Ties in score rank by leaf id.
-Other columns of the input are ignored; an empty table gives an empty one.
+Texts of any length are formatted whole, and a path weighs as much as all its
+messages. Other columns of the input are ignored; an empty table gives an empty one.
 """
 
 from __future__ import annotations

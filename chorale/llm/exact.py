@@ -8,8 +8,8 @@ never means two contents. From then on only lists of ids travel: texts are
 equal when their lists are.
 
 Defined results: a null text counts as empty; the smallest key of a group
-stays, null first, and of repeated rows one; other columns are ignored; an
-empty table gives an empty one.
+stays, null first, and of repeated rows one; a text of any length is cut whole,
+alone in its batch if it is long; other columns are ignored; an empty table gives an empty one.
 """
 
 from __future__ import annotations

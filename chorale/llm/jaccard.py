@@ -27,7 +27,8 @@ one has odds of about one in 10^13.
 
 Defined results: a null text, or one without a word, has an empty set and links
 with nothing; repeated rows, and rows with equal sets, are one class; null keys
-form classes as others do and come last in naming a component; other columns are ignored; an empty table
+form classes as others do and come last in naming a component; a text of any length is one set,
+alone in its batch if it is long; other columns are ignored; an empty table
 gives an empty one.
 """
 

@@ -14,7 +14,7 @@ block, so the largest source is spread over ``BLOCKS`` groups per pass.
 Defined results: a null source is a source; a null or negative token count is 0; a
 source without tokens gets weight 0 and one pass; no row is cut in two, so a
 source may stay below its budget by less than a row. Rows with equal keys tie
-in any order. An empty table gives an empty one; other columns are ignored.
+in any order. Texts of any length count by their tokens and are never cut. An empty table gives an empty one; other columns are ignored.
 """
 
 from __future__ import annotations

@@ -10,8 +10,8 @@ joins every row with the cut-offs of its group.
 
 Defined results: a null text has no words and fails the base rule; null
 languages and sources are groups of their own; repeated rows count as often as
-they occur; equal measures fall on the same side; other columns are ignored;
-an empty table gives an empty one.
+they occur; equal measures fall on the same side; texts of any length are measured
+whole, one at a time; other columns are ignored; an empty table gives an empty one.
 """
 
 from __future__ import annotations

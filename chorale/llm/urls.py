@@ -11,7 +11,8 @@ intervals repeated for each salt, so the join deals a host out to many tasks.
 
 Defined results: additions win over removals of the same moment; entries
 without list, pattern or time have no effect; an unknown action removes; a null or unreadable url, or a
-null time, matches nothing and is allowed; repeated captures are judged each;
+null time, matches nothing and is allowed; an address of any length is cut into all its patterns;
+repeated captures are judged each;
 other columns are ignored; an empty table gives an empty one.
 """
 
