@@ -71,10 +71,13 @@ def _number(df: DataFrame, c: str):
 
 
 def _inside(df: DataFrame, keys: list[str], cols: Sequence[str], probs: Sequence[float], brackets: DataFrame) -> DataFrame:
-    """Rows with ``_at``: for each column and probability, in order, the bracket of the row's group."""
-    ordered = F.array_sort(F.collect_list(F.struct("column", "prob", "lo", "hi")))
-    listed = brackets.groupBy(*keys).agg(F.map_from_entries(F.transform(ordered, lambda b: F.struct(
-        F.concat_ws("|", b["column"], b["prob"]), F.struct(b["lo"].alias("lo"), b["hi"].alias("hi"))))).alias("_at"))
+    """Rows with the brackets of their group, two columns for each column and probability."""
+    ends = []
+    for c in cols:
+        for p in probs:
+            own = (F.col("column") == c) & (F.col("prob") == float(p))
+            ends += [F.max(F.when(own, F.col(end))).alias(f"_{end}|{c}|{float(p)}") for end in ("lo", "hi")]
+    listed = brackets.groupBy(*keys).agg(*ends)
     listed = small_side(listed)
     if keys:
         return df.join(listed, keys)
@@ -87,7 +90,7 @@ def _checked(df: DataFrame, keys: list[str], cols: Sequence[str], probs: Sequenc
     sums, parts = [], []
     for c in cols:
         for p in probs:
-            x, at = _number(df, c), F.col("_at")[f"{c}|{float(p)}"]
+            x, at = _number(df, c), {end: F.col(f"`_{end}|{c}|{float(p)}`") for end in ("lo", "hi")}
             name = f"{c}|{float(p)}"
             sums += [F.count_if(x < at["lo"]).alias(f"{name}|b"), F.count_if(x.between(at["lo"], at["hi"])).alias(f"{name}|i")]
             parts.append(
@@ -152,7 +155,7 @@ def _ranked(df: DataFrame, group: str | None, cols: Sequence[str], probs: Sequen
     cells = []
     for c in cols:
         for p in probs:
-            x, at = _number(df, c), F.col("_at")[f"{c}|{p}"]
+            x, at = _number(df, c), {end: F.col(f"`_{end}|{c}|{p}`") for end in ("lo", "hi")}
             inside = x.between(at["lo"], at["hi"])
             cells.append(F.when(inside, F.struct(F.lit(c).alias("column"), F.lit(p).alias("prob"), x.alias("x"))))
     values = rows.select(*keys, F.inline(F.filter(F.array(*cells), lambda v: v.isNotNull())))
