@@ -8,6 +8,7 @@ only receive the rows a native test has marked; all other rows pass as null.
 from __future__ import annotations
 
 import html
+import html.entities
 import re
 import unicodedata
 from functools import reduce
@@ -85,6 +86,14 @@ def _repair(text: str) -> str:
     return _MOJIBAKE.sub(_undo_cp1252, text)
 
 
+_CLOSED_ENTITY = re.compile(r"&(?:#(?:[0-9]+|[xX][0-9A-Fa-f]+)|([A-Za-z][0-9A-Za-z]*));")
+
+
+def _decode_closed(text: str) -> str:
+    """HTML also reads some names without a semicolon (&amp, &copy); those stay here, as in '?a=1&copy=2'."""
+    return _CLOSED_ENTITY.sub(lambda m: html.unescape(m[0]) if m[1] is None or f"{m[1]};" in html.entities.html5 else m[0], text)
+
+
 def _nfkc_if_changed(text: str) -> str | None:
     return None if unicodedata.is_normalized("NFKC", text) else unicodedata.normalize("NFKC", text)
 
@@ -106,6 +115,7 @@ def _over_texts(fn):
 
 _repair_encoding = _over_texts(_repair)
 _unescape_html = _over_texts(html.unescape)
+_unescape_closed = _over_texts(_decode_closed)
 _repair_and_unescape = _over_texts(lambda text: html.unescape(_repair(text)))
 _nfkc = _over_texts(_nfkc_if_changed)
 
@@ -120,9 +130,9 @@ def fix_mojibake(text: Column) -> Column:
     return _only_where(_repair_encoding, text, text.rlike("[ÂÃâð&]"))
 
 
-def unescape_html(text: Column) -> Column:
-    """Decode HTML entities."""
-    return _only_where(_unescape_html, text, text.contains("&"))
+def unescape_html(text: Column, closed: bool = False) -> Column:
+    """Decode HTML entities; with ``closed`` only those that end in a semicolon."""
+    return _only_where(_unescape_closed if closed else _unescape_html, text, text.contains("&"))
 
 
 def tidy_characters(text: Column) -> Column:

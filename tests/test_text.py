@@ -173,6 +173,13 @@ def test_rules_agree_with_python_patterns(spark, values):
         assert row["c"] == rule(row["t"])
 
 
+def test_closed_entities_only(spark):
+    """Names without a semicolon stay; of nested ones only the outer is decoded."""
+    df = texts(spark, "a &amp b &amp; c", "?x=1&copy=2&copy;", "&amp;quot;", "&#39;&#x41;&nosuch;&copyx;", None)
+    got = [r[0] for r in df.orderBy("i").select(tx.unescape_html(F.col("t"), closed=True)).collect()]
+    assert got == ["a &amp b & c", "?x=1&copy=2©", "&quot;", "'A&nosuch;&copyx;", None]
+
+
 def test_filter_on_cleaned_text_cleans_once(spark, data_dir):
     docs = spark.read.parquet(f"{data_dir}/documents.parquet")
     kept = tx.clean(docs, "text", "c").filter(tx.word_count(F.col("c")) > 50)
