@@ -9,6 +9,12 @@ ordered as distances of unit vectors, so the same index serves both.
 
 Visits are made by blocks: a task multiplies a slice of queries with a block of
 stored rows and keeps k candidates per query. No pairs are emitted.
+
+Where distances rule out too little (many dimensions, texts), a query does not
+travel to cells one by one: blocks of neighbouring cells meet all blocks, so
+rows are copied once for each block and not once for each visit. The distances
+found at home still decide: a single-precision product drops all pairs that are
+farther, its rounding allowed for, and only the others are computed exactly.
 """
 
 from __future__ import annotations
@@ -17,6 +23,8 @@ import math
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -25,6 +33,10 @@ from chorale.session import materialize
 # Rows of a block, most pivots, and most numbers in their matrix (64 MB, which tasks hold a copy of).
 BLOCK_ROWS, PIVOTS, PIVOT_CELLS = 512, 2_048, 8_000_000
 _DENSE_CELLS = 4_000_000
+# Blocks that meet as wholes: their bytes and most rows, and rows multiplied at once.
+MEETING_BYTES, MEETING_ROWS, TILE = 32 << 20, 16_384, 1_024
+# Visits beyond this share of all pairs are made as meetings; wider vectors go there at once.
+VISIT_SHARE, NARROW = 1 / 16, 1_024
 
 
 def _pack(df: DataFrame, vector: str) -> DataFrame:
@@ -137,20 +149,20 @@ def _gaps(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return np.sqrt(np.maximum(squared, 0))
 
 
-def _slices(batches, width: int):
-    step = max(1, _DENSE_CELLS // max(width, 1))
+def _slices(batches, width: int, cells: int = _DENSE_CELLS):
+    step = max(1, cells // max(width, 1))
     for pdf in batches:
         for lo in range(0, len(pdf), step):
             yield pdf.iloc[lo : lo + step]
 
 
-def _cells(stored: DataFrame, pivots: np.ndarray, width: int, metric: str) -> DataFrame:
-    """Stored rows with their cell and their distance to its pivot."""
+def _cells(stored: DataFrame, pivots: np.ndarray, width: int, metric: str, side: int = 0) -> DataFrame:
+    """Rows with their cell and their distance to its pivot."""
     kinds = {f.name: f.dataType.simpleString() for f in stored.schema.fields}
 
     def place(batches):
-        for pdf in _slices(batches, width):
-            gap = _gaps(_indexed(_dense(pdf, width), metric, 0), pivots)
+        for pdf in _slices(batches, max(width, len(pivots))):
+            gap = _gaps(_indexed(_dense(pdf, width), metric, side), pivots)
             cell = gap.argmin(axis=1)
             yield pdf.assign(_cell=cell.astype("int32"), _r=gap[np.arange(len(pdf)), cell])
 
@@ -158,10 +170,12 @@ def _cells(stored: DataFrame, pivots: np.ndarray, width: int, metric: str) -> Da
     return materialize(stored.mapInPandas(place, f"{schema}, _cell int, _r double"), "cells")
 
 
-def _asked(queries: DataFrame, pivots: np.ndarray, stats: np.ndarray, width: int, metric: str, k: int, kind: str) -> DataFrame:
+def _asked(
+    queries: DataFrame, pivots: np.ndarray, stats: np.ndarray, width: int, metric: str, k: int, kind: str, counted: bool = False
+) -> DataFrame:
     """(query, cell) of the visits: those at home, or with ``_tau`` those beyond home that may hold something as near.
 
-    ``stats`` has, by cell, its rows and its radius.
+    ``stats`` has, by cell, its rows and its radius. With ``counted`` one number for each slice: the pairs of these visits.
     """
     rows, radius = stats
     # What rounding may take from a distance.
@@ -169,7 +183,7 @@ def _asked(queries: DataFrame, pivots: np.ndarray, stats: np.ndarray, width: int
     second = "_tau" in queries.columns
 
     def choose(batches):
-        for pdf in _slices(batches, width):
+        for pdf in _slices(batches, max(width, len(pivots))):
             gap = _gaps(_indexed(_dense(pdf, width), metric, 1), pivots)
             gap[:, rows == 0] = np.inf
             order = np.argsort(gap, axis=1, kind="stable")
@@ -180,11 +194,19 @@ def _asked(queries: DataFrame, pivots: np.ndarray, stats: np.ndarray, width: int
             if second:
                 low = np.maximum(gap - radius, (gap - gap.min(axis=1, keepdims=True)) / 2)
                 wanted = ~home & (rows > 0) & (low <= pdf["_tau"].to_numpy()[:, None] + slack)
-            q, cell = np.nonzero(wanted)
-            yield pd.DataFrame(
-                {"_key": pdf["_key"].to_numpy()[q], "_i": pdf["_i"].to_numpy()[q], "_v": pdf["_v"].to_numpy()[q], "_cell": cell.astype("int32")}
-            )
-
+            if counted:
+                yield pd.DataFrame({"pairs": [float((wanted @ rows).sum())]})
+                continue
+            visits = np.nonzero(wanted)
+            step = max(1, _DENSE_CELLS // max(width, 1))
+            for at in range(0, len(visits[0]), step):
+                q, cell = (v[at : at + step] for v in visits)
+                yield pd.DataFrame(
+                    {"_key": pdf["_key"].to_numpy()[q], "_i": pdf["_i"].to_numpy()[q], "_v": pdf["_v"].to_numpy()[q], "_cell": cell.astype("int32")}
+                )
+
+    if counted:
+        return queries.mapInPandas(choose, "pairs double")
     return queries.mapInPandas(choose, f"_key {kind}, _i array<int>, _v array<double>, _cell int")
 
 
@@ -216,6 +238,156 @@ def _visited(asked: DataFrame, cells: DataFrame, rows: np.ndarray, width: int, k
     return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(visit, schema)
 
 
+# --- blocks that meet as wholes ------------------------------------------------
+
+
+def _blocks(df: DataFrame, pivots: np.ndarray) -> tuple[DataFrame, int]:
+    """Rows with ``_block``, and the number of blocks: neighbouring cells together, large cells cut by key."""
+    each = df.groupBy("_cell").agg(F.count(F.lit(1)).alias("n"), F.sum(12 * F.size("_v") + 64).alias("bytes")).collect()
+    size, rows = np.zeros(len(pivots)), np.zeros(len(pivots))
+    for r in each:
+        size[r["_cell"]], rows[r["_cell"]] = r["bytes"], r["n"]
+    gap = _gaps(pivots, pivots)
+    # Small tables make enough blocks for all cores.
+    most = min(MEETING_ROWS, max(TILE, rows.sum() / math.sqrt(4 * df.sparkSession.sparkContext.defaultParallelism)))
+    share, cuts, block, filled, at = np.maximum(size / MEETING_BYTES, rows / most), [], 0, 0.0, 0
+    for _ in range(len(pivots)):
+        gap[:, at] = np.inf
+        if share[at]:
+            if filled and filled + share[at] > 1:
+                block, filled = block + 1, 0.0
+            parts = math.ceil(share[at])
+            cuts.append((at, block, parts))
+            block, filled = block + parts - 1, filled + share[at] if parts == 1 else 1.0
+        at = int(gap[at].argmin())
+    # One row for each pivot at most.
+    cuts = F.broadcast(df.sparkSession.createDataFrame(cuts, "_cell int, _first int, _parts int"))
+    chosen = F.col("_first") + F.pmod(F.xxhash64("_key"), F.col("_parts")).cast("int")
+    return df.join(cuts, "_cell").withColumn("_block", chosen).drop("_first", "_parts"), block + 1
+
+
+class _Sparse:
+    """Rows of a table as indices and values, one after another."""
+
+    def __init__(self, table: pa.Table, unit: bool) -> None:
+        index, value = (table.column(c).combine_chunks() for c in ("_i", "_v"))
+        self.n = table.num_rows
+        self.at = np.concatenate([[0], np.cumsum(pc.list_value_length(index).to_numpy())]).astype(np.int64)
+        self.index, self.value = index.flatten().to_numpy(), value.flatten().to_numpy().astype(float)
+        lengths = np.diff(self.at)
+        self.row = np.repeat(np.arange(self.n), lengths)
+        self.norm = np.sqrt(np.bincount(self.row, self.value**2, self.n))
+        self.longest = int(lengths.max(initial=0))
+        if unit:
+            self.value = self.value / np.where(self.norm == 0, 1.0, self.norm)[self.row]
+
+    def part(self, lo: int, hi: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        cut = slice(self.at[lo], self.at[hi])
+        return self.row[cut] - lo, self.index[cut], self.value[cut]
+
+    def take(self, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(place in ``rows``, index, value) of the entries of chosen rows."""
+        lengths = self.at[rows + 1] - self.at[rows]
+        place = np.repeat(np.arange(len(rows)), lengths)
+        entry = np.arange(len(place)) + np.repeat(self.at[rows] - np.cumsum(lengths) + lengths, lengths)
+        return place, self.index[entry], self.value[entry]
+
+
+def _filled(shape: tuple[int, int], entries, kind=float) -> np.ndarray:
+    out = np.zeros(shape, kind)
+    out[entries[0], entries[1]] = entries[2]
+    return out
+
+
+def _pair_distances(q: _Sparse, s: _Sparse, rows: np.ndarray, cols: np.ndarray, width: int, metric: str) -> np.ndarray:
+    """Distances of chosen pairs, term by term, so that equal rows tie exactly."""
+    out, step = np.empty(len(rows)), max(1, _DENSE_CELLS // max(width, 1) // 4)
+    for lo in range(0, len(rows), step):
+        own, place = np.unique(rows[lo : lo + step], return_inverse=True)
+        a = _filled((len(own), width), q.take(own))
+        b = s.take(cols[lo : lo + step])
+        if metric == "cosine":
+            dot = np.bincount(b[0], a[place[b[0]], b[1]] * b[2], len(place))
+            out[lo : lo + step] = np.maximum(1.0 - dot, 0.0)
+        else:
+            gap = a[place] - _filled((len(place), width), b)
+            out[lo : lo + step] = np.sqrt((gap * gap).sum(axis=1))
+    return out
+
+
+def _tile(q: _Sparse, s: _Sparse, rows: tuple[int, int], cols: tuple[int, int], width: int, tau: np.ndarray, metric: str):
+    """Pairs of a tile that may be within ``tau``, by a product in single precision over the columns both sides use."""
+    a, b = q.part(*rows), s.part(*cols)
+    shape = rows[1] - rows[0], cols[1] - cols[0]
+    scale, used = 1.0, width
+    if metric != "cosine":
+        # No number leaves the range of single precision.
+        scale = max(q.norm[slice(*rows)].max(), s.norm[slice(*cols)].max()) or 1.0
+    if width > NARROW:
+        seen = np.zeros((2, width), bool)
+        seen[0, a[1]] = seen[1, b[1]] = True
+        columns = np.flatnonzero(seen.all(axis=0))
+        to, used = np.full(width, -1, np.int32), len(columns)
+        to[columns] = np.arange(used)
+        a, b = ((x[0][(c := to[x[1]]) >= 0], c[c >= 0], x[2][c >= 0]) for x in (a, b))
+    left, right = (_filled((n, used), (x[0], x[1], x[2] / scale), np.float32) for n, x in zip(shape, (a, b)))
+    near = left @ right.T
+    # As many terms as the shorter row has, each rounded, and the numbers themselves.
+    slack = (min(q.longest, s.longest) + 8) * 2.0**-23
+    limit = tau[slice(*rows)]
+    if metric == "cosine":
+        return np.nonzero(near >= (1 - limit - slack - 1e-9)[:, None].astype(np.float32))
+    own, other = ((x.norm[slice(*cut)] / scale) ** 2 for x, cut in ((q, rows), (s, cols)))
+    # 2 q s >= q^2 + s^2 - tau^2, where numbers are at most one.
+    bound = own / 2 - (limit / scale * (1 + 1e-9)) ** 2 / 2 - 3 * slack
+    near -= (other / 2).astype(np.float32)
+    return np.nonzero(near >= bound[:, None].astype(np.float32))
+
+
+def _met(queries: DataFrame, cells: DataFrame, pivots: np.ndarray, width: int, k: int, metric: str, schema: str) -> DataFrame:
+    """The k best of every meeting of a block of queries (with ``_tau``) and a block of stored rows."""
+    (left, most_left), (right, most_right) = _blocks(queries, pivots), _blocks(cells, pivots)
+
+    def every(n: int):
+        return F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+
+    left = left.select("_key", "_i", "_v", "_tau", "_cell", F.col("_block").alias("_a"), every(most_right).alias("_b"))
+    right = right.select("_key", "_label", "_i", "_v", "_cell", F.col("_block").alias("_b"), every(most_left).alias("_a"))
+
+    def meet(own: pa.Table, other: pa.Table) -> pa.Table:
+        own, other = own.sort_by("_cell"), other.sort_by("_cell")
+        q, s = _Sparse(own, metric == "cosine"), _Sparse(other, metric == "cosine")
+        tau = own.column("_tau").to_numpy().copy()
+        rank = np.empty(s.n, np.int64)
+        rank[pc.sort_indices(other.column("_key").combine_chunks()).to_numpy()] = np.arange(s.n)
+        found = []
+        for lo in range(0, q.n, TILE):
+            rows = lo, min(lo + TILE, q.n)
+            row, col, dist = np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0)
+            for at in range(0, s.n, TILE):
+                r, c = _tile(q, s, rows, (at, min(at + TILE, s.n)), width, tau, metric)
+                if not len(r):
+                    continue
+                r, c = r + lo, c + at
+                row, col = np.concatenate([row, r]), np.concatenate([col, c])
+                dist = np.concatenate([dist, _pair_distances(q, s, r, c, width, metric)])
+                order = np.lexsort((rank[col], dist, row))
+                row, col, dist = row[order], col[order], dist[order]
+                place = np.arange(len(row)) - np.searchsorted(row, row, side="left")
+                # What k rows are nearer than need not be looked at again.
+                last = place == k - 1
+                tau[row[last]] = np.minimum(tau[row[last]], dist[last])
+                row, col, dist = row[place < k], col[place < k], dist[place < k]
+            found.append((row, col, dist))
+        row, col, dist = (np.concatenate(x) for x in zip(*found)) if found else (np.empty(0, np.int64),) * 3
+        return pa.table(
+            [own.column("_key").take(row), other.column("_key").take(col), other.column("_label").take(col), pa.array(dist, pa.float64())],
+            names=["_q", "neighbour", "label", "distance"],
+        )
+
+    return left.groupBy("_a", "_b").cogroup(right.groupBy("_a", "_b")).applyInArrow(meet, schema)
+
+
 def nearest(
     stored: DataFrame,
     queries: DataFrame,
@@ -254,8 +426,15 @@ def nearest(
     home = materialize(home, "home")
     # The k-th distance so far bounds the true one; a cosine distance as one of unit vectors.
     far = F.max("distance") if metric != "cosine" else F.sqrt(2 * F.max("distance"))
-    reach = home.groupBy("_q").agg(far.alias("_tau")).withColumnRenamed("_q", "_key")
-    beyond = _asked(queries.join(reach, "_key"), pivots, stats, width, metric, k, kind)
+    reach = home.groupBy("_q").agg(far.alias("_tau"), F.max("distance").alias("_far")).withColumnRenamed("_q", "_key")
+    reached = materialize(queries.join(reach, "_key"), "reach")
+    common_asked = (pivots, stats, width, metric, k, kind)
+    if width <= NARROW:
+        pairs = _asked(reached, *common_asked, counted=True).agg(F.sum("pairs")).first()[0] or 0
+    if width > NARROW or pairs > VISIT_SHARE * size["n"] * reached.count():
+        asked = _cells(reached.drop("_tau").withColumnRenamed("_far", "_tau"), pivots, width, metric, 1)
+        return _merged(_met(asked, cells, pivots, width, k, metric, schema), k).withColumnRenamed("_q", key)
+    beyond = _asked(reached, *common_asked)
     found = home.unionByName(_visited(beyond, *common, "visits"))
     return _merged(found, k).withColumnRenamed("_q", key)
 

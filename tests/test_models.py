@@ -115,6 +115,45 @@ def test_clustered_neighbours_visit_few_cells(spark, monkeypatch, metric):
     assert cells >= 40 and sum(n for n, _ in counted) < 0.1 * len(asked) * cells
 
 
+@pytest.mark.parametrize("metric", ["euclidean", "cosine"])
+@pytest.mark.parametrize("narrow", [1_024, 1])
+def test_neighbours_where_nothing_is_ruled_out(spark, monkeypatch, metric, narrow):
+    """In many dimensions blocks meet as wholes: rows are copied once a block, not once a visit, and results stay exact."""
+    for name, value in (("BLOCK_ROWS", 16), ("MEETING_ROWS", 40), ("TILE", 16), ("NARROW", narrow)):
+        monkeypatch.setattr(neighbours, name, value)
+    rng, visits, blocks = np.random.default_rng(9), [], []
+    x = rng.standard_normal((400, 24)) * (rng.random((400, 24)) < 0.6)
+    x[7], x[8], x[9] = 0, x[11], x[11]
+    df = spark.createDataFrame([(i, "a", [float(u) for u in v]) for i, v in enumerate(x)], "id int, g string, x array<double>")
+    cut, inner = neighbours._blocks, neighbours._visited
+
+    def counted(frame, pivots):
+        found = cut(frame, pivots)
+        sizes = [r["count"] for r in found[0].groupBy("_block").count().collect()]
+        assert len(sizes) == found[1] and max(sizes) <= 40
+        blocks.append(found[1])
+        return found
+
+    def visited(asked, *rest):
+        visits.append(asked.count())
+        return inner(asked, *rest)
+
+    monkeypatch.setattr(neighbours, "_blocks", counted)
+    monkeypatch.setattr(neighbours, "_visited", visited)
+    got = neighbours.nearest(df, df.filter("id % 4 = 0"), "x", "g", "id", 5, metric).collect()
+    if metric == "cosine":
+        norm = np.linalg.norm(x, axis=1, keepdims=True)
+        unit = x / np.where(norm == 0, 1, norm)
+        gap = np.maximum(1 - unit @ unit.T, 0)
+    else:
+        gap = np.linalg.norm(x[:, None] - x[None], axis=2)
+    for q in range(0, 400, 4):
+        mine = sorted((r["distance"], r["neighbour"]) for r in got if r["id"] == q)
+        assert [d for d, _ in mine] == pytest.approx(np.sort(gap[q])[:5], abs=1e-7)
+        assert len({s for _, s in mine}) == 5
+    assert len(visits) == 1 and visits[0] < 3 * 100 and blocks[1] > 5
+
+
 def test_zero_distance_outvotes(spark):
     near = spark.createDataFrame(
         [(1, "a", 0.0), (1, "b", 0.001), (1, "b", 0.001), (2, "a", 1.0), (2, "b", 0.5)], "id int, label string, distance double"
