@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -271,6 +272,35 @@ def test_components(points, spark):
     assert reduce.loadings(spark, model, ["a", "b", "c"]).count() == 6
 
 
+def test_silhouette_holds_tiles_not_blocks(spark, monkeypatch):
+    """Narrow rows make blocks of many rows; no array of distances is wider than a slice, and each two rows meet once."""
+    rng = np.random.default_rng(4)
+    x, c = rng.standard_normal((3000, 2)), rng.integers(0, 3, 3000)
+    x[:, 0] += 2 * c
+    df = spark.createDataFrame([(i, [float(u) for u in v], int(g)) for i, (v, g) in enumerate(zip(x, c))], "id int, x array<double>, c int")
+    gap = np.linalg.norm(x[:, None] - x[None], axis=2)
+    means = np.stack([gap[:, c == g].sum(axis=1) / ((c == g).sum() - (c == g)) for g in range(3)], axis=1)
+    inner = means[np.arange(3000), c]
+    means[np.arange(3000), c] = np.inf
+    want = ((means.min(axis=1) - inner) / np.maximum(means.min(axis=1), inner)).mean()
+    monkeypatch.setattr(metrics, "SLICE_ROWS", 64)
+    for size in (8 << 20, 60_000):
+        monkeypatch.setattr(metrics, "BLOCK_BYTES", size)
+        assert metrics.silhouette(df, "x", "c", ["id"]).first()[0] == pytest.approx(want, abs=1e-7)
+    # The work of one meeting is done in slices of both sides: the greatest array of the task stays small.
+    import tracemalloc
+
+    work, table = [], pa.table({"v": x.tolist(), "c": c.astype(str), "k": np.arange(3000), "own": np.zeros(3000, int), "a": [0] * 3000, "b": [0] * 3000})
+    monkeypatch.setattr(metrics, "BLOCK_BYTES", 8 << 20)
+    grouped = type(df.groupBy("c"))
+    monkeypatch.setattr(grouped, "applyInArrow", lambda self, f, schema, run=grouped.applyInArrow: (work.append(f), run(self, f, schema))[1])
+    metrics.silhouette(df, "x", "c", ["id"])
+    tracemalloc.start()
+    assert work[-1](table).num_rows == 9000
+    assert tracemalloc.get_traced_memory()[1] < 3_000_000
+    tracemalloc.stop()
+
+
 def test_cluster_scores_against_numpy(points):
     x, genre, _ = arrays(points)
     gap = np.linalg.norm(x[:, None] - x[None], axis=2)
