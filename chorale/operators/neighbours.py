@@ -13,8 +13,7 @@ stored rows and keeps k candidates per query. No pairs are emitted.
 Where distances rule out too little (many dimensions, texts), a query does not
 travel to cells one by one: blocks of neighbouring cells meet all blocks, so
 rows are copied once for each block and not once for each visit. The distances
-found at home still decide: a single-precision product drops all pairs that are
-farther, its rounding allowed for, and only the others are computed exactly.
+found at home still decide: a product drops all pairs that are farther, its rounding allowed for, and only the others are computed exactly.
 """
 
 from __future__ import annotations
@@ -316,12 +315,14 @@ def _pair_distances(q: _Sparse, s: _Sparse, rows: np.ndarray, cols: np.ndarray,
 
 
 def _tile(q: _Sparse, s: _Sparse, rows: tuple[int, int], cols: tuple[int, int], width: int, tau: np.ndarray, metric: str):
-    """Pairs of a tile that may be within ``tau``, by a product in single precision over the columns both sides use."""
+    """Pairs of a tile that may be within ``tau``, by a product over the columns both sides use.
+
+    Unit vectors are multiplied in single precision; lengths may be far greater than distances, so others in double."""
     a, b = q.part(*rows), s.part(*cols)
     shape = rows[1] - rows[0], cols[1] - cols[0]
-    scale, used = 1.0, width
+    scale, used, kind = 1.0, width, np.float32 if metric == "cosine" else np.float64
     if metric != "cosine":
-        # No number leaves the range of single precision.
+        # Numbers of one at most, as the rounding below supposes.
         scale = max(q.norm[slice(*rows)].max(), s.norm[slice(*cols)].max()) or 1.0
     if width > NARROW:
         seen = np.zeros((2, width), bool)
@@ -330,18 +331,18 @@ def _tile(q: _Sparse, s: _Sparse, rows: tuple[int, int], cols: tuple[int, int],
         to, used = np.full(width, -1, np.int32), len(columns)
         to[columns] = np.arange(used)
         a, b = ((x[0][(c := to[x[1]]) >= 0], c[c >= 0], x[2][c >= 0]) for x in (a, b))
-    left, right = (_filled((n, used), (x[0], x[1], x[2] / scale), np.float32) for n, x in zip(shape, (a, b)))
+    left, right = (_filled((n, used), (x[0], x[1], x[2] / scale), kind) for n, x in zip(shape, (a, b)))
     near = left @ right.T
     # As many terms as the shorter row has, each rounded, and the numbers themselves.
-    slack = (min(q.longest, s.longest) + 8) * 2.0**-23
+    slack = (min(q.longest, s.longest) + 8) * 2.0 ** (-23 if metric == "cosine" else -52)
     limit = tau[slice(*rows)]
     if metric == "cosine":
         return np.nonzero(near >= (1 - limit - slack - 1e-9)[:, None].astype(np.float32))
     own, other = ((x.norm[slice(*cut)] / scale) ** 2 for x, cut in ((q, rows), (s, cols)))
     # 2 q s >= q^2 + s^2 - tau^2, where numbers are at most one.
     bound = own / 2 - (limit / scale * (1 + 1e-9)) ** 2 / 2 - 3 * slack
-    near -= (other / 2).astype(np.float32)
-    return np.nonzero(near >= bound[:, None].astype(np.float32))
+    near -= other / 2
+    return np.nonzero(near >= bound[:, None])
 
 
 def _met(queries: DataFrame, cells: DataFrame, pivots: np.ndarray, width: int, k: int, metric: str, schema: str) -> DataFrame:
