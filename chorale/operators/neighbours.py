@@ -34,7 +34,7 @@ BLOCK_ROWS, PIVOTS, PIVOT_CELLS = 512, 2_048, 8_000_000
 _DENSE_CELLS = 4_000_000
 # Blocks that meet as wholes: their bytes and most rows, and rows multiplied at once.
 MEETING_BYTES, MEETING_ROWS, TILE = 32 << 20, 16_384, 1_024
-# Visits beyond this share of all pairs are made as meetings; wider vectors go there at once.
+# Visits beyond this share of all pairs are made as meetings; wider vectors go there at once by cosine.
 VISIT_SHARE, NARROW = 1 / 16, 1_024
 
 
@@ -430,9 +430,10 @@ def nearest(
     reach = home.groupBy("_q").agg(far.alias("_tau"), F.max("distance").alias("_far")).withColumnRenamed("_q", "_key")
     reached = materialize(queries.join(reach, "_key"), "reach")
     common_asked = (pivots, stats, width, metric, k, kind)
-    if width <= NARROW:
+    at_once = width > NARROW and metric == "cosine"
+    if not at_once:
         pairs = _asked(reached, *common_asked, counted=True).agg(F.sum("pairs")).first()[0] or 0
-    if width > NARROW or pairs > VISIT_SHARE * size["n"] * reached.count():
+    if at_once or pairs > VISIT_SHARE * size["n"] * reached.count():
         asked = _cells(reached.drop("_tau").withColumnRenamed("_far", "_tau"), pivots, width, metric, 1)
         return _merged(_met(asked, cells, pivots, width, k, metric, schema), k).withColumnRenamed("_q", key)
     beyond = _asked(reached, *common_asked)
