@@ -165,6 +165,23 @@ def test_stream_equals_batch(spark, data_dir, tmp_path):
     assert streamed.select("id", "lyrics_clean").exceptAll(batch.select("id", "lyrics_clean")).count() == 0
 
 
+def test_a_chunk_has_files_for_all_cores(spark, data_dir, tmp_path, monkeypatch):
+    """Chunks of a few files leave most cores idle, whatever the folder's size."""
+    files = spark.sparkContext.defaultParallelism + 1
+    lyrics = lyrics_table(spark, data_dir)
+    lyrics.repartition(files).write.parquet(str(tmp_path / "in"))
+    started = []
+
+    def ingest(stream, *rest):
+        started.append(ingest_lyrics(stream, *rest))
+        return started[-1]
+
+    ingest(lyrics_stream(spark, str(tmp_path / "in"), schema=lyrics.schema), str(tmp_path / "out"), str(tmp_path / "state"), LYRICS).awaitTermination()
+    monkeypatch.setattr(queries, "ingest_lyrics", ingest)
+    queries.QUERIES["chunked_ingest"](spark, data_dir)
+    assert [sum(p["numInputRows"] > 0 for p in q.recentProgress) for q in started] == [1, 1, 1]
+
+
 def test_model_queries_use_the_default_build(spark, data_dir, monkeypatch):
     """Audio models see ROWS_PER_CLASS rows a class, not those of a smaller build."""
     seen = []
