@@ -4,9 +4,9 @@ tf is 1 + ln(count), idf is ln((1 + N) / (1 + df)) + 1, rows have unit length.
 The vocabulary keeps terms in at least ``min_df`` texts, then the
 ``max_features`` with the highest total count (ties in term order).
 
-Fitting shuffles once, on the term, after counts were combined inside each text
-and each task. Transforming shuffles nothing: a text is counted against the
-vocabulary, weighted and scaled inside its own row.
+Fitting shuffles once, on the term, after counts were combined inside each
+task. Transforming shuffles nothing: a text is counted against the vocabulary,
+weighted and scaled inside its own row.
 """
 
 from __future__ import annotations
@@ -18,8 +18,6 @@ from pyspark.ml.feature import CountVectorizerModel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from chorale.functions.arrays import with_runs
-
 
 def tokens(text: Column) -> Column:
     return F.regexp_extract_all(F.lower(F.coalesce(text, F.lit(""))), F.lit(r"[\p{L}\p{N}_]{2,}"), F.lit(0))
@@ -94,13 +92,21 @@ class TfidfModel:
 
 
 def term_counts(df: DataFrame, text_col: str, ngrams: tuple[int, int] = (1, 2)) -> DataFrame:
-    """(term, df, total) over all texts."""
-    counted = with_runs(with_terms(df.select(text_col), text_col, "_terms", ngrams), "_terms", "_runs")
+    """(term, df, total) over all texts.
+
+    A text gives its terms and, marked, its distinct terms: two plain lists, as
+    sorting and counting inside the row cost more than the rows they save.
+    """
+    terms = with_terms(df.select(text_col), text_col, "_terms", ngrams)
+    lists = F.array(
+        F.struct(F.array_distinct("_terms").alias("terms"), F.lit(1).alias("df"), F.lit(0).alias("n")),
+        F.struct(F.col("_terms").alias("terms"), F.lit(0).alias("df"), F.lit(1).alias("n")),
+    )
     return (
-        counted.select(F.inline_outer("_runs"))
-        .filter(F.col("item").isNotNull())
-        .groupBy(F.col("item").alias("term"))
-        .agg(F.count(F.lit(1)).alias("df"), F.sum("n").alias("total"))
+        terms.select(F.inline(lists))
+        .select(F.explode("terms").alias("term"), "df", "n")
+        .groupBy("term")
+        .agg(F.sum("df").alias("df"), F.sum("n").alias("total"))
     )
 
 

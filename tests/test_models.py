@@ -51,6 +51,16 @@ def test_tfidf_by_hand(spark):
     assert tfidf.fit_tfidf(df, "t", max_features=1).vocabulary == ["the"]
 
 
+def test_terms_are_counted_without_sorting_rows(spark):
+    df = spark.createDataFrame([(1, "The cat the cat"), (2, "the dog"), (3, "x"), (4, None)], "id int, t string")
+    counts = tfidf.term_counts(df, "t")
+    assert {tuple(r) for r in counts.collect()} == {
+        ("the", 2, 3), ("cat", 1, 2), ("dog", 1, 1), ("the cat", 1, 2), ("cat the", 1, 1), ("the dog", 1, 1),
+    }
+    plan = counts._jdf.queryExecution().optimizedPlan().toString()
+    assert "sort_array" not in plan and plan.count("Aggregate") == 1
+
+
 def test_feature_table(spark):
     df = spark.createDataFrame(
         [(1, "pop", "train", "a cat a cat", 3.0), (2, "pop", "train", "cat dog", 4.0), (3, "rock", "val", "dog cat", 5.0)],
