@@ -20,8 +20,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 COVARIANCES = ("full", "tied", "diag", "spherical")
-# Rows worked on at once, and tasks beyond which sums are added in two steps.
-_ROWS, _TASKS = 4096, 64
+# Rows worked on at once, in k-means so few that their distances to all fits' centres stay in the processor's cache,
+# and tasks beyond which sums are added in two steps.
+_ROWS, _KMEANS_ROWS, _TASKS = 4096, 1024, 64
 
 
 def as_ml(df: DataFrame, vector: str) -> DataFrame:
@@ -33,11 +34,11 @@ def _points(df: DataFrame, vector: str) -> DataFrame:
     return df.select(x.alias("x"), F.xxhash64(x).alias("h"))
 
 
-def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def _slices(batches: Iterator[pa.RecordBatch], rows: int = _ROWS) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Rows as a matrix, with their hashes."""
     for batch in batches:
-        for at in range(0, batch.num_rows, _ROWS):
-            part = batch.slice(at, _ROWS)
+        for at in range(0, batch.num_rows, rows):
+            part = batch.slice(at, rows)
             flat = part.column("x").flatten().to_numpy(zero_copy_only=False)
             yield flat.reshape(part.num_rows, -1), part.column("h").to_numpy()
 
@@ -52,14 +53,16 @@ def _added(key: tuple, tables: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBa
     yield pa.RecordBatch.from_arrays(columns, names=["i", "task", "v"])
 
 
-def _summed(points: DataFrame, work: Callable[[np.ndarray], Iterable[tuple[int, np.ndarray]]]) -> dict[int, np.ndarray]:
+def _summed(
+    points: DataFrame, work: Callable[[np.ndarray], Iterable[tuple[int, np.ndarray]]], rows: int = _ROWS
+) -> dict[int, np.ndarray]:
     """For each fit, the sum over all rows of the arrays that ``work`` makes of them."""
 
     def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
         total: dict[int, np.ndarray] = {}
-        for x, _ in _slices(batches):
+        for x, _ in _slices(batches, rows):
             for i, values in work(x):
                 total[i] = total[i] + values if i in total else values
         task = [TaskContext.get().partitionId()] * len(total)
@@ -67,12 +70,12 @@ def _summed(points: DataFrame, work: Callable[[np.ndarray], Iterable[tuple[int,
         yield pa.RecordBatch.from_arrays(columns, names=["i", "task", "v"])
 
     schema = "i int, task int, v array<double>"
-    rows = points.mapInArrow(fold, schema)
+    sums = points.mapInArrow(fold, schema)
     tasks = points.rdd.getNumPartitions()
     if tasks > _TASKS:
         part = F.pmod("task", F.lit(math.isqrt(tasks)))
-        rows = rows.groupBy("i", part.alias("part")).applyInArrow(_added, schema)
-    return {r["i"]: np.array(r["v"]) for r in rows.groupBy("i").applyInArrow(_added, schema).collect()}
+        sums = sums.groupBy("i", part.alias("part")).applyInArrow(_added, schema)
+    return {r["i"]: np.array(r["v"]) for r in sums.groupBy("i").applyInArrow(_added, schema).collect()}
 
 
 # --- K-Means -----------------------------------------------------------------
@@ -136,6 +139,30 @@ def _starts(points: DataFrame, specs: Sequence[tuple[int, int]]) -> list[np.ndar
     return [np.array(drawn[seed][:k]) for k, seed in specs]
 
 
+def _nearest_sums(x: np.ndarray, held: Sequence[tuple[int, np.ndarray]]) -> Iterator[tuple[int, np.ndarray]]:
+    """For each fit (i, centres): every centre's rows counted and added up, and the rows' squared distances to it.
+
+    Centres are lines and rows columns, so a fit's part of the distances is one stretch of memory, and the rows of all
+    centres of all fits are added up by one product.
+    """
+    gaps = _squares(np.concatenate([c for _, c in held]), x)
+    member, inertia, at = np.empty(gaps.shape), [], 0
+    for _, c in held:
+        gap, own = gaps[at : at + len(c)], member[at : at + len(c)]
+        at += len(c)
+        low = gap.min(axis=0)
+        np.equal(gap, low, out=own)
+        if own.sum() > len(x):
+            # Equally near centres: the first one has the row.
+            own[:] = 0
+            own[gap.argmin(axis=0), np.arange(len(x))] = 1
+        inertia.append(low.sum())
+    table, at = member @ np.hstack([np.ones((len(x), 1)), x]), 0
+    for (i, c), summed in zip(held, inertia):
+        yield i, np.append(table[at : at + len(c)].ravel(), summed)
+        at += len(c)
+
+
 def _fit_all(points: DataFrame, specs: Sequence[tuple[int, int]], max_iter: int, tol: float = 1e-4) -> list[KMeansFit]:
     """A fit for every (k, seed), all advanced by the same passes over ``points``."""
     centres = _starts(points, specs)
@@ -147,17 +174,9 @@ def _fit_all(points: DataFrame, specs: Sequence[tuple[int, int]], max_iter: int,
         held = [(i, centres[i]) for i in active]
 
         def work(x: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
-            gaps = _squares(x, np.concatenate([c for _, c in held]))
-            ones, at = np.ones((len(x), 1)), 0
-            for i, c in held:
-                gap = gaps[:, at : at + len(c)]
-                at += len(c)
-                near = gap.argmin(axis=1)
-                member = np.eye(len(c))[near]
-                inertia = gap[np.arange(len(x)), near].sum()
-                yield i, np.append((member.T @ np.hstack([ones, x])).ravel(), inertia)
-
-        return _summed(points, work)
+            return _nearest_sums(x, held)
+
+        return _summed(points, work, _KMEANS_ROWS)
 
     for _ in range(max_iter):
         if not moving:

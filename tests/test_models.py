@@ -385,6 +385,18 @@ def test_random_search_tries_no_setting_twice(points):
     assert [r["val_macro_f1"] for r in found] == sorted((r["val_macro_f1"] for r in found), reverse=True)
 
 
+def test_sums_of_nearest_rows_against_brute_force():
+    """The first of equally near centres has the row, as it would by argmin."""
+    x = np.random.default_rng(1).normal(size=(300, 3))
+    held = [(7, x[:2].copy()), (9, np.repeat(x[5:7], 2, axis=0))]
+    for (i, flat), (name, centres) in zip(cluster._nearest_sums(x, held), held):
+        gap = ((x[:, None] - centres[None]) ** 2).sum(axis=2)
+        member = np.eye(len(centres))[gap.argmin(axis=1)]
+        table = flat[:-1].reshape(len(centres), -1)
+        assert i == name and table[:, 0].tolist() == member.sum(axis=0).tolist()
+        assert table[:, 1:] == pytest.approx(member.T @ x) and flat[-1] == pytest.approx(gap.min(axis=1).sum())
+
+
 def test_fits_of_many_sizes_equal_fits_of_one(points):
     """Fits that advance together do not influence each other, nor do partitions."""
     together = cluster.fit_kmeans_sizes(points, "x", (2, 3, 5), restarts=2)
