@@ -32,6 +32,12 @@ def _trigrams(text: str) -> Iterator[np.ndarray]:
         yield (c[:-2] << 42) | (c[1:-1] << 21) | c[2:]
 
 
+def _pairs(batch: pa.RecordBatch, first: str) -> Iterator[tuple]:
+    """Rows of ``first`` and text; a batch may be large, so texts become Python strings one at a time."""
+    for value, text in zip(batch.column(first), batch.column("text"), strict=True):
+        yield value.as_py(), text.as_py()
+
+
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(lang, gram, n), summed over about ``SLICE`` trigrams at a time."""
 
@@ -44,7 +50,7 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     parts: dict[str, list[np.ndarray]] = {}
     held = 0
     for batch in batches:
-        for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist(), strict=True):
+        for lang, text in _pairs(batch, "lang"):
             for grams in _trigrams(text):
                 parts.setdefault(lang, []).append(grams)
                 held += grams.size
@@ -57,7 +63,7 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _distinct(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(row, gram, n) of each text."""
     for batch in batches:
-        for row, text in zip(batch.column("row").to_pylist(), batch.column("text").to_pylist(), strict=True):
+        for row, text in _pairs(batch, "row"):
             for part in _trigrams(text):
                 grams, n = np.unique(part, return_counts=True)
                 columns = [pa.array(np.full(grams.size, row)), pa.array(grams), pa.array(n)]

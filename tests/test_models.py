@@ -222,6 +222,23 @@ def test_language_models_too_large_to_copy_are_joined(spark, data_dir, monkeypat
     assert language.LanguageFilter().fit(docs.limit(0), "text", "lang").detect(docs, "text").count() == docs.count()
 
 
+def test_language_texts_become_strings_one_at_a_time():
+    read = []
+
+    class Value(str):
+        def as_py(self):
+            read.append(self)
+            return str(self)
+
+    class Batch:
+        def column(self, name):
+            return [Value(f"{name} {i}") for i in range(3)]
+
+    pairs = language._pairs(Batch(), "row")
+    assert next(pairs) == ("row 0", "text 0") and len(read) == 2
+    assert [text for _, text in pairs] == ["text 1", "text 2"]
+
+
 def test_language_slices(monkeypatch):
     text = "AbcÄ漢😀 xyz" * 50
     whole = np.concatenate(list(language._trigrams(text)))
