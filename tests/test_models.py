@@ -165,6 +165,29 @@ def test_neighbours_where_nothing_is_ruled_out(spark, monkeypatch, metric, narro
     assert len(visits) == 1 and visits[0] < 3 * 100 and blocks[1] > 5
 
 
+def test_outlines_spare_wide_products(monkeypatch):
+    """Rows whose length lies in few columns are told apart by these: no tile is multiplied over all its columns."""
+    rng, parts, part = np.random.default_rng(3), [], neighbours._Sparse.part
+    x = np.hstack([rng.random((300, 3)) * 400, rng.random((300, 2_000)) * (rng.random((300, 2_000)) < 0.02)])
+    x[5], x[6] = x[7], 0
+
+    def table(keys):
+        rows = [np.flatnonzero(x[i]) for i in keys]
+        columns = [keys, ["a"] * len(keys), [0] * len(keys), [math.inf] * len(keys), rows, [x[i][r] for i, r in zip(keys, rows)]]
+        types = [pa.int64(), pa.string(), pa.int32(), pa.float64(), pa.list_(pa.int32()), pa.list_(pa.float64())]
+        return pa.table([pa.array(c, t) for c, t in zip(columns, types)], names=["_key", "_label", "_cell", "_tau", "_i", "_v"])
+
+    monkeypatch.setattr(neighbours._Sparse, "part", lambda self, lo, hi: parts.append(lo) or part(self, lo, hi))
+    meet = neighbours._meeting(x.shape[1], 4, "cosine", np.arange(3))
+    queries = [i for i in range(0, 300, 7) if i != 6]
+    got = meet(table(queries), table([*range(300)])).to_pylist()
+    unit = x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-300)
+    for q in queries:
+        mine = sorted((r["distance"], r["neighbour"]) for r in got if r["_q"] == q)
+        assert [d for d, _ in mine] == pytest.approx(np.sort(np.maximum(1 - unit @ unit[q], 0))[:4], abs=1e-12)
+    assert [r["neighbour"] for r in got if r["_q"] == 7][:2] == [5, 7] and not parts
+
+
 def test_zero_distance_outvotes(spark):
     near = spark.createDataFrame(
         [(1, "a", 0.0), (1, "b", 0.001), (1, "b", 0.001), (2, "a", 1.0), (2, "b", 0.5)], "id int, label string, distance double"
