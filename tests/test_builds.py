@@ -4,13 +4,14 @@ from __future__ import annotations
 
 import dataclasses
 import json
+import random
 
 import pytest
 from pyspark.sql import functions as F
 
 from chorale.api import FeatureEngineer, Pipeline
 from chorale.config import AUDIO_FEATURES, ROWS_PER_CLASS
-from chorale.operators import guards, profile
+from chorale.operators import catalogue, guards, profile
 from chorale.operators.catalogue import CatalogueTables
 from chorale.plans import build, evaluate, queries
 from chorale.plans.sample_tables import catalogue_tables, lyrics_table
@@ -39,6 +40,30 @@ def test_catalogue_join(spark):
     ]
 
 
+def test_catalogue_folds_numbers(spark, monkeypatch):
+    """Few genres are folded as bits, and names by their place: no lists are gathered by track, and rows are as from lists."""
+    rng = random.Random(8)
+    names = [None, "Zoë", "Bob", "Bob", "Äbe", "abe", "Abe", ""] + [f"n{i % 9}" for i in range(40)]
+    tracks = [(f"t{i}", f"n{i}", "20", i, 0) for i in range(60)]
+    tables = CatalogueTables(
+        spark.createDataFrame(tracks, "id string, name string, popularity string, duration long, explicit int"),
+        spark.createDataFrame([(t[0], *[0.5] * 9) for t in tracks], "id string, " + ", ".join(f"{c} double" for c in AUDIO_FEATURES)),
+        spark.createDataFrame([(rng.choice(tracks)[0], rng.randrange(50)) for _ in range(150)], "track_id string, artist_id int"),
+        spark.createDataFrame([*enumerate(names), (2, "A second name")], "id int, name string"),
+        spark.createDataFrame(
+            [(rng.randrange(50), rng.choice([None, *(f"g{i}" for i in range(catalogue.MASKED_GENRES))])) for _ in range(200)],
+            "artist_id int, genre_id string",
+        ),
+    )
+    masked = catalogue.join_catalogue(tables)
+    assert "collect_set" not in masked._jdf.queryExecution().optimizedPlan().toString()
+    found = sorted(masked.collect())
+    monkeypatch.setattr(catalogue, "MASKED_GENRES", 3)
+    listed = catalogue.join_catalogue(tables)
+    assert "collect_set" in listed._jdf.queryExecution().optimizedPlan().toString()
+    assert found == sorted(listed.collect()) and len(found) > 30
+
+
 def test_cached_join_is_read_back(spark, data_dir, tmp_path):
     tables = catalogue_tables(spark, data_dir)
     first = readers.load_catalogue(tables, cache_dir=str(tmp_path)).count()
