@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import time
+
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from chorale.llm import chat, exact, jaccard, langid, mixing, packing, quality, scoring, shards, urls
+from chorale.session import materialize
 
 FILES = [public_tokenizers.path(x) for x in ("byte_bpe_50k.json", "byte_bpe_50k.tiktoken")]
 SENTENCE = "the quick brown fox jumps over the lazy dog and runs back to its den before night falls on all the hills"
@@ -181,3 +185,34 @@ def test_urls(spark):
     assert by[6].blocked and by[6].pattern == "b.com" and by[6].since == 10
     assert urls.judge(captures, entries.limit(0)).filter("blocked").count() == 0
     assert urls.judge(captures.limit(0), entries).count() == 0
+
+
+def test_chunks_ask_for_each_cell_once(monkeypatch):
+    """Slices of one chunk share what they ask for, and texts come back from their slices."""
+    monkeypatch.setattr(scoring, "SLICE", 200)
+    texts = [None if i == 7 else b"The same few words again, and %d" % (i % 3) for i in range(60)]
+    rows = pa.RecordBatch.from_arrays([pa.array(range(60)), pa.array(range(60)), pa.array(texts, pa.binary())], names=["key", "row", "text"])
+    dealt = list(scoring._dealt(iter([rows])))
+    assert len(dealt) > 5 and {b.column("chunk")[0].as_py() for b in dealt} == {0}
+    lower = [(t or b"").lower() for t in texts]
+    assert [t for b in dealt for t in scoring._texts(b.column("sizes")[0].as_py(), b.column("texts")[0].as_py())] == lower
+    assert [k for b in dealt for k in b.column("key")[0].as_py()] == list(range(60))
+    asked = list(scoring._asking(4)(iter(dealt)))
+    cells = [c for b in asked for data in b.column("cells").to_pylist() for c in scoring._read_gaps(data).tolist()]
+    assert cells == scoring._wanted(lower).tolist()
+
+
+def test_shuffle_files_go_when_a_table_is_written(spark):
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def shuffled() -> set[str]:
+        found = files.getAllFiles()
+        return {found.apply(i).getName() for i in range(found.size()) if found.apply(i).getName().startswith("shuffle_")}
+
+    before = shuffled()
+    stored = materialize(spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count(), "swept")
+    for _ in range(50):
+        if not shuffled() - before:
+            break
+        time.sleep(0.2)
+    assert not shuffled() - before and stored.count() == 7
