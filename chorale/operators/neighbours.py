@@ -351,20 +351,33 @@ def _filled(shape: tuple[int, int], entries, kind=float) -> np.ndarray:
 def _pair_distances(q: _Sparse, s: _Sparse, rows: np.ndarray, cols: np.ndarray, width: int, metric: str) -> np.ndarray:
     """Distances of chosen pairs, term by term, so that equal rows tie exactly. ``rows`` ascend."""
     out, step = np.empty(len(rows)), max(1, _DENSE_CELLS // max(width, 1) // 4)
-    # By cosine only the rows are written out, so those of one row go together.
-    most = step if metric != "cosine" else max(step, _DENSE_CELLS // 4 // max(s.longest, 1))
+    # Only the rows are written out, so those of one row go together.
+    most = max(step, _DENSE_CELLS // 4 // max(s.longest, q.longest, 1))
     nth, lo = np.cumsum(np.diff(rows, prepend=rows[:1]) != 0), 0
     while lo < len(rows):
         hi = min(lo + most, int(np.searchsorted(nth, nth[lo] + step)))
         own, place = np.unique(rows[lo:hi], return_inverse=True)
-        a = _filled((len(own), width), q.take(own))
+        entries = q.take(own)
+        a = _filled((len(own), width), entries)
         b = s.take(cols[lo:hi])
+        met = a[place[b[0]], b[1]]
         if metric == "cosine":
-            dot = np.bincount(b[0], a[place[b[0]], b[1]] * b[2], len(place))
+            dot = np.bincount(b[0], met * b[2], len(place))
             out[lo:hi] = np.maximum(1.0 - dot, 0.0)
         else:
-            gap = a[place] - _filled((len(place), width), b)
-            out[lo:hi] = np.sqrt((gap * gap).sum(axis=1))
+            # The gaps where the other has an entry, and what a row has besides: its entries without those met.
+            at = np.zeros((len(own), width), np.int32)
+            lengths = np.bincount(entries[0], minlength=len(own))
+            first = np.cumsum(lengths) - lengths
+            at[entries[0], entries[1]] = np.arange(len(entries[0])) - first[entries[0]] + 1
+            many = lengths[place]
+            begin = np.cumsum(many) - many
+            pair = np.repeat(np.arange(len(place)), many)
+            beside = entries[2][np.arange(len(pair)) - begin[pair] + first[place][pair]]
+            hit = at[place[b[0]], b[1]]
+            beside[(begin[b[0]] + hit - 1)[hit > 0]] = 0
+            gap = met - b[2]
+            out[lo:hi] = np.sqrt(np.bincount(b[0], gap * gap, len(place)) + np.bincount(pair, beside * beside, len(place)))
         lo = hi
     return out
 

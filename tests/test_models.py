@@ -477,3 +477,25 @@ def test_logistic_gradient_vanishes_at_the_optimum(points):
     done, early = classify.fit_logistic(rows), classify.fit_logistic(rows, maxIter=1)
     assert max(r["largest"] for r in classify.logistic_gradient(done, rows).collect()) < 1e-4
     assert max(r["largest"] for r in classify.logistic_gradient(early, rows).collect()) > 1e-3
+
+
+def test_distances_of_wide_rows_touch_their_entries_only(monkeypatch):
+    """By Euclid too only query rows are written out, in few steps; pairs would be 10,000 numbers each."""
+    rng = np.random.default_rng(3)
+    width, n = 10_000, 60
+    at = [np.sort(rng.choice(width, rng.integers(0, 30), replace=False)).astype(np.int32) for _ in range(n)]
+    value = [rng.normal(size=len(i)) for i in at]
+    value[4][:] = 0
+    at[1], value[1] = at[0], value[0].copy()
+    table = pa.table([pa.array(at, pa.list_(pa.int32())), pa.array(value, pa.list_(pa.float64()))], names=["_i", "_v"])
+    held, cells, filled = neighbours._Sparse(table, False), [], neighbours._filled
+    monkeypatch.setattr(neighbours, "_filled", lambda shape, *rest: cells.append(shape[0]) or filled(shape, *rest))
+    rows, cols = (x.ravel() for x in np.indices((n, n)))
+    found = neighbours._pair_distances(held, held, rows, cols, width, "euclidean")
+    dense = np.zeros((n, width))
+    for i in range(n):
+        dense[i, at[i]] = value[i]
+    assert np.allclose(found, np.sqrt(((dense[rows] - dense[cols]) ** 2).sum(axis=1)), atol=1e-12)
+    assert (found[rows == cols] == 0).all() and (found[cols == 0] == found[cols == 1]).all()
+    # Every row once, not every pair twice.
+    assert sum(cells) == n
