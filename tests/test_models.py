@@ -7,6 +7,7 @@ import math
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
 from chorale.operators import classify, cluster, features, language, metrics, neighbours, reduce, scaling, tfidf
@@ -499,3 +500,38 @@ def test_distances_of_wide_rows_touch_their_entries_only(monkeypatch):
     assert (found[rows == cols] == 0).all() and (found[cols == 0] == found[cols == 1]).all()
     # Every row once, not every pair twice.
     assert sum(cells) == n
+
+
+def test_meetings_in_rounds_find_the_same(spark, monkeypatch):
+    """What a round sends is bounded; its k best join those of the others."""
+    rng = np.random.default_rng(11)
+    rows = []
+    for i in range(160):
+        at = np.sort(rng.choice(1_500, 12, replace=False))
+        rows.append((i, "ab"[i % 2], Vectors.sparse(1_500, at.tolist(), rng.random(12).tolist())))
+    table = spark.createDataFrame(rows, ["id", "genre", "features"]).withColumn("features", F.unwrap_udt("features"))
+    stored, queries_ = table.filter("id < 110"), table.filter("id >= 100")
+    monkeypatch.setattr(neighbours, "BLOCK_ROWS", 16)
+    monkeypatch.setattr(neighbours, "MEETING_ROWS", 20)
+
+    def found():
+        kept = neighbours.nearest(stored, queries_, "features", "genre", "id", 3, "cosine").collect()
+        return sorted((r["id"], round(r["distance"], 9), r["neighbour"], r["label"]) for r in kept)
+
+    once, made, rounds = found(), [], neighbours._rounds
+    monkeypatch.setattr(neighbours, "ROUND", 0)
+    monkeypatch.setattr(neighbours, "ROUND_BYTES", 1)
+    monkeypatch.setattr(neighbours, "_rounds", lambda *a: made.append(rounds(*a)) or made[-1])
+    assert found() == once and len(made[0]) > 2
+    x = np.array([r[2].toArray() for r in rows])
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    gap = 1 - x[100:] @ x[:110].T
+    assert np.allclose([d for _, d, _, _ in once], np.sort(gap, axis=1)[:, :3].ravel(), atol=1e-8)
+
+
+def test_rounds_send_what_they_may():
+    visits = [{"_block": b, "bytes": 100} for b in (0, 0, 2, 3, 7)]
+    more = neighbours.MEETING_BYTES
+    assert neighbours._rounds(visits, [(0, 0), (2, 0), (3, 0), (7, 0)], 2 * more + 400) == [(0, 2), (3, 7)]
+    assert neighbours._rounds(visits, [(0, 0), (2, 0), (3, 0), (7, 0)], 1) == [(0, 0), (2, 2), (3, 3), (7, 7)]
+    assert neighbours._rounds([], [], 1) == []
